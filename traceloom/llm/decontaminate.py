@@ -1,6 +1,8 @@
 """Benchmark decontamination: a hash set of the benchmark's n-grams, probed with every token window.
 
-DataFrame functions only. The benchmark's windows are broadcast while they
+DataFrame functions only. A window travels as two independent 64-bit hashes of
+its words, of which the first is probed and the second verifies, so that no
+row carries a document's words. The benchmark's windows are broadcast while they
 number at most ``max_broadcast``; a larger benchmark is joined by shuffle.
 """
 
@@ -21,10 +23,10 @@ def normal_words(text: str) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
-    """(size, key, gram, item_id): every window of ``size`` words; a shorter item is one window."""
+    """(size, key, proof, item_id): every window of ``size`` words; a shorter item is one window."""
     w = benchmark.select("item_id", normal_words("text").alias("w")).where("size(w) > 0").withColumn("size", F.least(F.size("w"), F.lit(size)))
     grams = w.select("item_id", "size", F.explode(F.expr("transform(sequence(1, size(w) - size + 1), i -> slice(w, i, size))")).alias("gram"))
-    return grams.select("size", F.xxhash64("gram").alias("key"), "gram", "item_id").distinct()
+    return grams.select("size", F.xxhash64("gram").alias("key"), F.xxhash64(F.lit(1), "gram").alias("proof"), "item_id").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, max_broadcast: int = 500_000) -> DataFrame:
@@ -41,9 +43,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, max_bro
     one = read.select("doc_id", normal_words("text").alias("w"), F.xxhash64("text").alias("body"))
     spans = None
     for n in sizes:
-        keys = one.where(F.size("w") >= n).select("doc_id", "body", "w", F.posexplode(F.expr(f"transform(sequence(1, size(w) - {n - 1}), i -> xxhash64(slice(w, i, {n})))")).alias("at", "key"))
-        of = small_side(grams.where(F.col("size") == n).select("key", "gram", "item_id"), max_broadcast)
-        hit = keys.join(of, "key").where(F.slice("w", F.col("at") + 1, n) == F.col("gram"))
+        hashes = F.expr(f"transform(sequence(1, size(w) - {n - 1}), i -> struct(xxhash64(slice(w, i, {n})) AS key, xxhash64(1, slice(w, i, {n})) AS proof))")
+        keys = one.where(F.size("w") >= n).select("doc_id", "body", F.posexplode(hashes).alias("at", "h")).select("doc_id", "body", "at", "h.key", "h.proof")
+        of = small_side(grams.where(F.col("size") == n).select("key", "proof", "item_id"), max_broadcast)
+        hit = keys.join(of, ["key", "proof"])
         hit = hit.select("doc_id", "body", "at", F.lit(n).alias("n"), "item_id")
         spans = hit if spans is None else spans.union(hit)
     counts = read.select("doc_id", F.xxhash64("text").alias("body"), F.size(normal_words("text")).cast("long").alias("n_words"))

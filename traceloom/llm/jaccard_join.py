@@ -127,12 +127,17 @@ def _token_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return wanted.mapInArrow(run, "doc_id long, tokens binary")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (src, dst) among (query, host, member) rows: members are gathered by host, queries streamed past them."""
-    spark = pairs.sparkSession
-    members = pairs.select("host", F.col("member").alias("doc_id")).distinct().select("host", "doc_id", F.lit(0).alias("role"))
-    asked = pairs.select("host", F.col("query").alias("doc_id")).distinct().select("host", "doc_id", F.lit(1).alias("role"))
-    rows = members.union(asked).join(sets, "doc_id").select("host", "role", "doc_id", "tokens")
+def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int, load: int = 256) -> DataFrame:
+    """Links (src, dst): the members of a host are gathered, and its queries streamed past them.
+
+    ``asked`` has (query, host), ``members`` (host, member). A host with many
+    queries is copied, so that each copy is asked by about ``load`` of them.
+    """
+    spark = asked.sparkSession
+    copies = asked.groupBy("host").agg(F.ceil(F.count("*") / load).cast("int").alias("copies"))
+    who = asked.join(copies, "host").select("host", F.pmod(F.xxhash64("query"), "copies").cast("int").alias("copy"), F.col("query").alias("doc_id"), F.lit(1).alias("role"))
+    inner = members.join(copies, "host").select("host", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"), F.col("member").alias("doc_id"), F.lit(0).alias("role"))
+    rows = inner.union(who).join(sets, "doc_id").select(F.xxhash64("host", "copy").alias("host"), "role", "doc_id", "tokens")
 
     def run(batches):
         host, ids, inside, union, out = None, [], [], np.zeros(0, np.uint64), []
@@ -240,13 +245,19 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
     return packed.repartition(buckets, "bucket").mapInArrow(meet, "query long, host long").distinct()
 
 
+def _bits(spark, total: int, most: int) -> int:
+    """Counters of a task take at most half the bytes of the file part it reads."""
+    part = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(12, min(most, int(np.log2(part / 4)), int(np.ceil(np.log2(total / 64 + 1)))))
+
+
 def _pairs(found: set) -> pa.RecordBatch:
     batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["query", "host"])
     found.clear()
     return batch
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard: int = 64, max_bits: int = 24) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard: int = 64, max_bits: int = 25) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 
     A-Z are lower-cased, words split at white space; a document of fewer words
@@ -258,35 +269,34 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard:
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # About one counter for 128 bytes of text, within fixed bounds.
-    bits = min(max_bits, max(14, int(np.ceil(np.log2(total / 128 + 1)))))
-    level = spark.sparkContext.broadcast(_frequencies(docs, size, bits))
+    level = spark.sparkContext.broadcast(_frequencies(docs, size, _bits(spark, total, max_bits)))
     feats = cut(_features(docs, size, percent, level))
     named = feats.where("n > 0 AND doc_id IS NOT NULL")
     key = ["n", "set_a", "set_b"]
     same = cut(named.groupBy(*key).agg(F.min("doc_id").alias("rep")))
-    reps = cut(named.select(*key, F.col("doc_id"), "bands", "prefix").join(same, (F.col("doc_id") == F.col("rep")) & (named["n"] == same["n"]) & (named["set_a"] == same["set_a"]) & (named["set_b"] == same["set_b"]), "left_semi").select("doc_id", "n", "bands", "prefix").dropDuplicates(["doc_id"]))
+    reps = same.select(F.col("rep").alias("doc_id"), "n").dropDuplicates(["doc_id"])
 
     # Stars: each document proposes one centre among the least documents of its bands.
-    bands = reps.select("doc_id", F.explode("bands").alias("band"))
+    bands = named.select("doc_id", F.explode("bands").alias("band")).join(reps.select("doc_id"), "doc_id", "left_semi")
     centres = bands.groupBy("band").agg(F.min("doc_id").alias("host"), F.count("*").alias("k")).where("k > 1")
     star = bands.join(centres, "band").where("doc_id <> host").groupBy("doc_id", "host").agg(F.count("*").alias("k"))
     star = star.groupBy("doc_id").agg(F.max(F.struct("k", (-F.col("host")).alias("h"))).alias("best"))
-    star = cut(star.select(F.col("doc_id").alias("query"), (-F.col("best.h")).alias("host")).withColumn("member", F.col("host")))
+    star = cut(star.select(F.col("doc_id").alias("query"), (-F.col("best.h")).alias("host")))
     sets = _token_sets(docs, star.select(F.explode(F.array("query", "host")).alias("doc_id")).distinct(), size)
-    links = cut(_verify(star, sets.dropDuplicates(["doc_id"]), percent).distinct())
+    centre = star.select("host", F.col("host").alias("member")).distinct()
+    links = cut(_verify(star, centre, sets, percent).distinct())
     groups = cut(connected_components(links))
 
     # The matrix: shards of groups, asked by documents of other groups.
-    gid = reps.join(groups, reps["doc_id"] == groups["node"], "left").select("doc_id", "n", "prefix", F.coalesce("component", "doc_id").alias("gid"))
+    gid = reps.join(groups, reps["doc_id"] == groups["node"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("gid"))
     sizes = groups.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("k"))
     host = F.when(F.col("gsize") == 1, F.col("doc_id")).otherwise(F.xxhash64("gid", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("gsize") / shard))))
-    cells = cut(gid.join(sizes, gid["gid"] == sizes["c"], "left").withColumn("gsize", F.coalesce("k", F.lit(1))).select("doc_id", "n", "gid", "gsize", host.alias("host"), "prefix"))
-    asked = cut(_matrix(cells, percent))
-    members = cells.select("host", F.col("doc_id").alias("member")).join(small_side(asked.select("host").distinct()), "host")
-    opened = cut(asked.join(members, "host"))
-    sets = _token_sets(docs, opened.select(F.explode(F.array("query", "member")).alias("doc_id")).distinct(), size)
-    more = cut(_verify(opened, sets.dropDuplicates(["doc_id"]), percent).distinct())
+    cells = cut(gid.join(sizes, gid["gid"] == sizes["c"], "left").withColumn("gsize", F.coalesce("k", F.lit(1))).select(F.col("doc_id").alias("member"), "n", "gid", "gsize", host.alias("host")))
+    asked = cut(_matrix(named.select("doc_id", "prefix").join(small_side(cells), F.col("doc_id") == F.col("member")), percent))
+    members = cut(cells.select("host", "member").join(small_side(asked.select("host").distinct()), "host"))
+    wanted = asked.select(F.col("query").alias("doc_id")).union(members.select("member")).distinct()
+    sets = _token_sets(docs, wanted, size)
+    more = cut(_verify(asked, members, sets, percent).distinct())
 
     joined = connected_components(links.union(more))
     named_rep = named.select("doc_id", *key).distinct().join(same, key).select("doc_id", "rep")
