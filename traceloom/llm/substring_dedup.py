@@ -87,18 +87,48 @@ def unpack(batches, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(docs), np.concatenate(ats), np.concatenate(hs)
 
 
-def _by_document(doc: np.ndarray, at: np.ndarray, rows: int = 50_000):
-    """(doc_id, positions) rows of paired arrays."""
-    by = np.lexsort((at, doc))
-    doc, at = doc[by], at[by]
-    edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc)) if len(doc) else np.zeros(1, int)
-    for lo in range(0, len(edges) - 1, rows):
-        some = edges[lo : lo + rows + 1]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[some[:-1]]), pa.array([at[a:z].astype("<u4").tobytes() for a, z in zip(some, some[1:])], pa.binary())], ["doc_id", "at"])
+SHARDED = "shard int, docs binary, counts binary, at binary"
 
 
-def _positions(parts: list[bytes]) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(parts), "<u4").astype(np.int64))
+def _to_shards(doc: np.ndarray, at: np.ndarray, shards: int):
+    """Paired arrays as one row for each shard of documents, packed."""
+    if not len(doc):
+        return
+    shard = (vec.mix(doc.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    by = np.lexsort((at, doc, shard))
+    doc, at, shard = doc[by], at[by], shard[by]
+    edges = np.searchsorted(shard, np.arange(shards + 1))
+    out = []
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        own, counts = np.unique(doc[edges[k] : edges[k + 1]], return_counts=True)
+        out.append((k, own.tobytes(), counts.astype("<u4").tobytes(), at[edges[k] : edges[k + 1]].astype("<u4").tobytes()))
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 3)], ["shard", "docs", "counts", "at"])
+
+
+def _by_document(sharded: DataFrame) -> DataFrame:
+    """One (doc_id, at) row for each document, its positions packed in order."""
+
+    def run(batches, rows: int = 20_000):
+        docs, ats = [], []
+        for b in batches:
+            for d, c, a in zip(*(x.to_pylist() for x in b.columns[1:])):
+                docs.append(np.repeat(np.frombuffer(d, np.int64), np.frombuffer(c, "<u4")))
+                ats.append(np.frombuffer(a, "<u4"))
+        if not docs:
+            return
+        doc, at = np.concatenate(docs), np.concatenate(ats)
+        by = np.lexsort((at, doc))
+        doc, at = doc[by], at[by]
+        edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc))
+        for lo in range(0, len(edges) - 1, rows):
+            some = edges[lo : lo + rows + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(doc[some[:-1]]), pa.array([at[x:z].tobytes() for x, z in zip(some, some[1:])], pa.binary())], ["doc_id", "at"])
+
+    return sharded.repartition(width(sharded.sparkSession), "shard").mapInArrow(run, "doc_id long, at binary")
+
+
+def _positions(packed: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(packed, "<u4").astype(np.int64))
 
 
 def _probe(docs: DataFrame, block: int, buckets: int) -> DataFrame:
@@ -119,6 +149,7 @@ def _probe(docs: DataFrame, block: int, buckets: int) -> DataFrame:
 
 def _hits(packed: DataFrame, block: int) -> DataFrame:
     """(doc_id, at): windows of ``block`` words that an indexed block of another document equals, and those blocks."""
+    shards = 4 * width(packed.sparkSession)
 
     def run(batches):
         doc, at, h = unpack(batches, wide=False)
@@ -132,9 +163,9 @@ def _hits(packed: DataFrame, block: int) -> DataFrame:
         low = np.minimum.reduceat(np.where(indexed, doc, np.iinfo(np.int64).max), first)
         high = np.maximum.reduceat(doc, first)
         take = (doc > low[group]) | (indexed & (doc < high[group]))
-        yield from _by_document(doc[take], at[take])
+        yield from _to_shards(doc[take], at[take], shards)
 
-    return packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, "doc_id long, at binary")
+    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, SHARDED))
 
 
 def _extend(texts: DataFrame, size: int, block: int, buckets: int) -> DataFrame:
@@ -172,6 +203,7 @@ def _extend(texts: DataFrame, size: int, block: int, buckets: int) -> DataFrame:
 
 def _repeats(packed: DataFrame) -> DataFrame:
     """(doc_id, at): windows that a document with a smaller doc_id has too."""
+    shards = 4 * width(packed.sparkSession)
 
     def run(batches):
         doc, at, h = unpack(batches, wide=True)
@@ -181,9 +213,9 @@ def _repeats(packed: DataFrame) -> DataFrame:
         doc, at, h = doc[by], at[by], h[by]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         low = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(h))))
-        yield from _by_document(doc[doc > low], at[doc > low])
+        yield from _to_shards(doc[doc > low], at[doc > low], shards)
 
-    return packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, "doc_id long, at binary")
+    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, SHARDED))
 
 
 def repeated_windows(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -191,9 +223,9 @@ def repeated_windows(docs: DataFrame, size: int = 50) -> DataFrame:
     block = size // 2
     buckets = width(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    hits = cut(_hits(_probe(named, block, buckets), block).groupBy("doc_id").agg(F.collect_list("at").alias("hits")))
+    hits = cut(_hits(_probe(named, block, buckets), block).withColumnRenamed("at", "hits"))
     near = named.join(small_side(hits.select("doc_id")), "doc_id", "left_semi").join(hits, "doc_id").select("doc_id", "text", "hits")
-    return cut(_repeats(_extend(near, size, block, buckets)).groupBy("doc_id").agg(F.collect_list("at").alias("parts")))
+    return cut(_repeats(_extend(near, size, block, buckets)).withColumnRenamed("at", "parts"))
 
 
 def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -208,7 +240,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ids = small_side(found.select(F.col("doc_id").alias("__id")))
     hit = read.join(ids, F.col("doc_id") == F.col("__id"), "left_semi").join(found, "doc_id").select("doc_id", "text", "parts")
-    clean = read.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("parts"))
+    clean = read.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").select("doc_id", "text", F.lit(None).cast("binary").alias("parts"))
 
     def run(batches):
         for b in batches:
