@@ -1,8 +1,9 @@
 """N-gram Jaccard join by a token-group matrix.
 
-Similar documents are first drawn into groups by verified star links, then each
-group (in shards of about ``shard`` documents) is represented by the union of
-its tokens. The matrix of prefix tokens and groups, sorted by a shared rarity
+Similar documents are first drawn to star centres; verified star links make the
+first components. Components, and the documents that are near one centre
+without a link, are the groups, in shards of about ``shard`` documents, and each
+is represented by the union of its tokens. The matrix of prefix tokens and groups, sorted by a shared rarity
 order, yields (query, group) pairs; a group is opened for a query only if the
 union holds enough of the query's tokens, and then its members are verified.
 Prefix filtering and the group bound are exact: no link between documents of
@@ -130,24 +131,25 @@ def _token_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int, load: int = 256) -> DataFrame:
     """Links (src, dst): the members of a host are gathered, and its queries streamed past them.
 
-    ``asked`` has (query, host), ``members`` (host, member). A host with many
+    ``asked`` has (query, host), ``members`` (host, member, gid), where members
+    of one gid are known to be connected. A host with many
     queries is copied, so that each copy is asked by about ``load`` of them.
     """
     spark = asked.sparkSession
     copies = asked.groupBy("host").agg(F.ceil(F.count("*") / load).cast("int").alias("copies"))
-    who = asked.join(copies, "host").select("host", F.pmod(F.xxhash64("query"), "copies").cast("int").alias("copy"), F.col("query").alias("doc_id"), F.lit(1).alias("role"))
-    inner = members.join(copies, "host").select("host", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"), F.col("member").alias("doc_id"), F.lit(0).alias("role"))
-    rows = inner.union(who).join(sets, "doc_id").select(F.xxhash64("host", "copy").alias("host"), "role", "doc_id", "tokens")
+    who = asked.join(copies, "host").select("host", F.pmod(F.xxhash64("query"), "copies").cast("int").alias("copy"), F.col("query").alias("doc_id"), F.lit(1).alias("role"), F.lit(0).cast("long").alias("gid"))
+    inner = members.join(copies, "host").select("host", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"), F.col("member").alias("doc_id"), F.lit(0).alias("role"), "gid")
+    rows = inner.union(who).join(sets, "doc_id").select(F.xxhash64("host", "copy").alias("host"), "role", "doc_id", "gid", "tokens")
 
     def run(batches):
         host, ids, inside, union, out = None, [], [], np.zeros(0, np.uint64), []
         for b in batches:
-            for h, role, doc, raw in zip(*(c.to_pylist() for c in b.columns)):
+            for h, role, doc, gid, raw in zip(*(c.to_pylist() for c in b.columns)):
                 if h != host:
                     host, ids, inside, union = h, [], [], None
                 t = np.frombuffer(raw, np.uint64)
                 if role == 0:
-                    ids.append(doc)
+                    ids.append((doc, gid))
                     inside.append(t)
                     continue
                 if not inside:
@@ -156,13 +158,14 @@ def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
                     union = np.unique(np.concatenate(inside))
                 if 100 * np.isin(t, union, assume_unique=True).sum() < percent * len(t):
                     continue  # the group stays closed
-                for other, own in zip(ids, inside):
-                    if other == doc or 100 * min(len(own), len(t)) < percent * max(len(own), len(t)):
+                joined = set()
+                for (other, of), own in zip(ids, inside):
+                    if other == doc or of in joined or 100 * min(len(own), len(t)) < percent * max(len(own), len(t)):
                         continue
                     same = len(np.intersect1d(t, own, assume_unique=True))
                     if 100 * same >= percent * (len(own) + len(t) - same):
                         out.append((doc, other))
-                        break  # one link joins the query to the whole group
+                        joined.add(of)  # one link joins the query to all of that component
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["src", "dst"])
                 out = []
@@ -257,7 +260,7 @@ def _pairs(found: set) -> pa.RecordBatch:
     return batch
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard: int = 64, max_bits: int = 25) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard: int = 64, max_bits: int = 25, orders: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 
     A-Z are lower-cased, words split at white space; a document of fewer words
@@ -276,24 +279,31 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard:
     same = cut(named.groupBy(*key).agg(F.min("doc_id").alias("rep")))
     reps = same.select(F.col("rep").alias("doc_id"), "n").dropDuplicates(["doc_id"])
 
-    # Stars: each document proposes one centre among the least documents of its bands.
+    # Stars: a band's centres are the documents that come first in a few fixed orders; each document
+    # proposes, in every order, the centre that most of its bands have.
     bands = named.select("doc_id", F.explode("bands").alias("band")).join(reps.select("doc_id"), "doc_id", "left_semi")
-    centres = bands.groupBy("band").agg(F.min("doc_id").alias("host"), F.count("*").alias("k")).where("k > 1")
-    star = bands.join(centres, "band").where("doc_id <> host").groupBy("doc_id", "host").agg(F.count("*").alias("k"))
-    star = star.groupBy("doc_id").agg(F.max(F.struct("k", (-F.col("host")).alias("h"))).alias("best"))
-    star = cut(star.select(F.col("doc_id").alias("query"), (-F.col("best.h")).alias("host")))
+    first = [F.min("doc_id"), *(F.min_by("doc_id", F.xxhash64("doc_id", F.lit(r))) for r in range(1, orders))]
+    centres = bands.groupBy("band").agg(F.array(*first).alias("hosts"), F.count("*").alias("k")).where("k > 1")
+    star = bands.join(centres, "band").select("doc_id", F.posexplode("hosts").alias("turn", "host")).where("doc_id <> host")
+    star = star.groupBy("doc_id", "turn", "host").agg(F.count("*").alias("k"))
+    star = star.groupBy("doc_id", "turn").agg(F.max(F.struct("k", (-F.col("host")).alias("h"))).alias("best"))
+    star = cut(star.select(F.col("doc_id").alias("query"), (-F.col("best.h")).alias("host")).distinct())
     sets = _token_sets(docs, star.select(F.explode(F.array("query", "host")).alias("doc_id")).distinct(), size)
-    centre = star.select("host", F.col("host").alias("member")).distinct()
+    centre = star.select("host", F.col("host").alias("member"), F.col("host").alias("gid")).distinct()
     links = cut(_verify(star, centre, sets, percent).distinct())
     groups = cut(connected_components(links))
 
     # The matrix: shards of groups, asked by documents of other groups.
-    gid = reps.join(groups, reps["doc_id"] == groups["node"], "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("gid"))
+    near = star.groupBy(F.col("query").alias("q")).agg(F.min("host").alias("near"))
+    gid = reps.join(groups, reps["doc_id"] == groups["node"], "left").join(near, F.col("doc_id") == F.col("q"), "left")
+    gid = gid.select("doc_id", "n", F.coalesce("component", "doc_id").alias("gid"), F.coalesce("component", "near", "doc_id").alias("cluster"))
     sizes = groups.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("k"))
-    host = F.when(F.col("gsize") == 1, F.col("doc_id")).otherwise(F.xxhash64("gid", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("gsize") / shard))))
-    cells = cut(gid.join(sizes, gid["gid"] == sizes["c"], "left").withColumn("gsize", F.coalesce("k", F.lit(1))).select(F.col("doc_id").alias("member"), "n", "gid", "gsize", host.alias("host")))
+    wide = gid.groupBy(F.col("cluster").alias("w")).agg(F.count("*").alias("wide"))
+    host = F.when(F.col("wide") == 1, F.col("doc_id")).otherwise(F.xxhash64("cluster", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("wide") / shard))))
+    cells = gid.join(sizes, gid["gid"] == sizes["c"], "left").join(wide, F.col("cluster") == F.col("w")).withColumn("gsize", F.coalesce("k", F.lit(1)))
+    cells = cut(cells.select(F.col("doc_id").alias("member"), "n", "gid", "gsize", host.alias("host")))
     asked = cut(_matrix(named.select("doc_id", "prefix").join(small_side(cells), F.col("doc_id") == F.col("member")), percent))
-    members = cut(cells.select("host", "member").join(small_side(asked.select("host").distinct()), "host"))
+    members = cut(cells.select("host", "member", "gid").join(small_side(asked.select("host").distinct()), "host"))
     wanted = asked.select(F.col("query").alias("doc_id")).union(members.select("member")).distinct()
     sets = _token_sets(docs, wanted, size)
     more = cut(_verify(asked, members, sets, percent).distinct())
