@@ -36,3 +36,42 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         raise RuntimeError("components did not settle; raise max_rounds")
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
+
+
+def routes(edges: DataFrame, start: str, terminals: tuple[str, ...], max_steps: int = 12) -> DataFrame:
+    """All edge-simple paths from ``start`` to a terminal over (edge_id, a, b): a frontier of paths, one join a step.
+
+    For workflow graphs, whose size does not grow with the data.
+    """
+    e = F.broadcast(edges.select("edge_id", "a", "b"))
+    front = edges.sparkSession.createDataFrame([(start, [])], "node string, path array<int>")
+    done = front.where("false")
+    for _ in range(max_steps):
+        front = front.join(e, F.col("node") == F.col("a")).where(~F.array_contains("path", F.col("edge_id")))
+        front = cut(front.select(F.col("b").alias("node"), F.concat("path", F.array("edge_id")).alias("path")))
+        done = done.union(front.where(F.col("node").isin(*terminals)))
+        if front.isEmpty():
+            break
+    return done.select("node", F.size("path").alias("steps"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("route"))
+
+
+def reachable(edges: DataFrame, start: str, max_steps: int = 50) -> DataFrame:
+    """Nodes reached from ``start`` and the least number of steps to each."""
+    seen = edges.sparkSession.createDataFrame([(start, 0)], "node string, steps int")
+    front = seen
+    for step in range(1, max_steps + 1):
+        front = cut(front.join(edges, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(step)))
+        if front.isEmpty():
+            break
+        seen = cut(seen.union(front))
+    return seen
+
+
+def lint(edges: DataFrame, start: str, terminals: tuple[str, ...]) -> DataFrame:
+    """(finding, node): dead ends that are no terminal, nodes nothing leads to, terminals that go on."""
+    out = edges.select(F.col("a").alias("node")).distinct()
+    into = edges.select(F.col("b").alias("node")).distinct()
+    dead = into.join(out, "node", "left_anti").where(~F.col("node").isin(*terminals)).select(F.lit("dead_end").alias("finding"), "node")
+    lost = out.join(into, "node", "left_anti").where(F.col("node") != start).select(F.lit("unreached").alias("finding"), "node")
+    on = out.where(F.col("node").isin(*terminals)).select(F.lit("terminal_goes_on").alias("finding"), "node")
+    return dead.union(lost).union(on)

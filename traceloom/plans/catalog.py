@@ -1,4 +1,108 @@
 """All registered queries and their DuckDB equivalents."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from traceloom.functions import text
+from traceloom.operators import conversations, evaluation, evidence, graph, retrieval, sampling
+from traceloom.session import table
+from traceloom.streaming import episodes
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def _add(name: str, query: Callable, sql: str | None, *tables: str) -> None:
+    QUERIES[name] = lambda spark, d: query(*(table(spark, d, t) for t in tables))
+    if sql:
+        ORACLES[name] = sql
+
+
+FLOW = [(1, "start", "ask"), (2, "ask", "search"), (3, "search", "ok"), (4, "search", "empty"), (5, "search", "error"), (6, "empty", "ask"), (7, "ok", "book"), (8, "book", "end"), (9, "error", "end"), (10, "empty", "end"), (11, "orphan", "ok"), (12, "book", "stuck")]
+FLOW_SQL = "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, a, b in FLOW) + ") e(edge_id, a, b)"
+
+
+def _flow(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(FLOW, "edge_id int, a string, b string")
+
+
+SEG = "WITH m AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS seg FROM conversations), s AS (SELECT conv_id, seg::BIGINT AS seg, count(*) AS n_messages, count(*) FILTER (role = 'assistant') AS n_assistant, sum(length(text))::BIGINT AS n_chars FROM m WHERE seg >= 1 GROUP BY 1, 2) "
+_add("conversation_segments", conversations.segment_percentiles, SEG + ", p AS (SELECT conv_id, count(*) AS n_segments, sum(n_chars)::BIGINT AS n_chars FROM s GROUP BY 1) SELECT n_segments, count(*) AS n_conversations, quantile_disc(n_chars, 0.5) AS p50, quantile_disc(n_chars, 0.95) AS p95 FROM p GROUP BY 1", "conversations")
+_add("segment_table", conversations.segments, SEG + "SELECT * FROM s", "conversations")
+_add("segment_rounds", conversations.rounds, "WITH l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations), r AS (SELECT *, sum((b IS NULL OR b <> role)::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS round FROM l) SELECT conv_id, round, min(role) AS role, count(*) AS n_messages, min(turn) AS first_turn FROM r GROUP BY 1, 2", "conversations")
+PRE = "WITH m AS (SELECT *, count(*) OVER o AS n_prior, sum(length(text)) OVER o AS chars, count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS n_assistant FROM conversations WINDOW o AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)), a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth FROM m WHERE role = 'assistant'), p AS (SELECT conv_id, nth, n_prior, chars::BIGINT AS chars, unnest(range(1, CASE WHEN nth = n_assistant AND n_assistant > 1 THEN 4 ELSE 2 END)) AS copy FROM a) "
+_add("prefix_expansion", conversations.prefixes, PRE + "SELECT * FROM p", "conversations")
+_add("longest_prefix_dedupe", conversations.longest_prefix, PRE + "SELECT conv_id, n_prior, chars FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n_prior DESC, copy) AS r FROM p) WHERE r = 1", "conversations")
+_add("history_cap", conversations.last_n, "WITH b AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) SELECT conv_id, turn, role, count(*) OVER (PARTITION BY conv_id) - r AS position FROM b WHERE r <= 4", "conversations")
+_add("assistant_spans", conversations.assistant_spans, "WITH m AS (SELECT *, sum(length(role) + length(text) + 3) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS upto, max(turn) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS last FROM conversations) SELECT conv_id, turn, upto - length(text) - 1 AS start, upto - 1 AS stop, turn = last AS is_last FROM m WHERE role = 'assistant'", "conversations")
+_add("structure_audit", conversations.order_audit, "WITH m AS (SELECT *, row_number() OVER w - 1 AS r, lag(role) OVER w AS b FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), p AS (SELECT conv_id, bool_and(r = turn) AS c, bool_and(role <> 'system' OR r = 0) AS s, bool_and(b IS NULL OR b <> role) AS a FROM m GROUP BY 1), l AS (SELECT conv_id, 'contiguous' AS rule, c AS ok FROM p UNION ALL SELECT conv_id, 'system_first', s FROM p UNION ALL SELECT conv_id, 'alternating', a FROM p) SELECT rule, count(*) FILTER (ok) AS n_pass, count(*) FILTER (NOT ok) AS n_fail, min(conv_id) FILTER (NOT ok) AS first_fail FROM l GROUP BY 1", "conversations")
+
+_add("slice_summary", evaluation.slice_summary, "SELECT bucket, event_type, count(*) AS n, count(*) FILTER (event_type <> 'error') AS n_ok, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM (SELECT user_id % 5 AS bucket, event_type, value FROM events) GROUP BY GROUPING SETS ((), (bucket), (event_type))", "events")
+_add("micro_vs_macro_rate", evaluation.pooled_and_averaged, "WITH d AS (SELECT user_id, ts::DATE AS day, count(*) FILTER (event_type <> 'view') AS r, count(*) FILTER (event_type = 'purchase') AS c FROM events GROUP BY 1, 2) SELECT user_id, CASE WHEN sum(r) = 0 THEN 1.0 ELSE sum(c) / sum(r) END::DOUBLE AS pooled, avg(CASE WHEN r = 0 THEN 1.0 ELSE c / r END::DOUBLE) AS averaged, count(*) AS n_days FROM d GROUP BY 1", "events")
+_add("cost_rollup", evaluation.cost_per_task, "SELECT l_orderkey, tokens_in, tokens_out, tokens_in * 2.5::DOUBLE / 1e6 + tokens_out * 10.0::DOUBLE / 1e6 AS cost FROM (SELECT l_orderkey, sum(l_quantity::BIGINT)::BIGINT AS tokens_in, count(*) AS tokens_out FROM lineitem GROUP BY 1)", "lineitem")
+_add("metric_unpivot", evaluation.metrics_long, "WITH a AS (SELECT event_type, min(value) AS lo, max(value) AS hi, count(value)::DOUBLE AS n FROM events GROUP BY 1) SELECT event_type, 'min' AS metric, lo AS value FROM a UNION ALL SELECT event_type, 'max', hi FROM a UNION ALL SELECT event_type, 'count', n FROM a", "events")
+_add("endpoint_validity", evaluation.endpoint_validity, "WITH h AS (SELECT user_id, ts::DATE AS day, count(DISTINCT hour(ts)) AS k, max(hour(ts)) - min(hour(ts)) + 1 AS span FROM events GROUP BY 1, 2) SELECT user_id, count(*) FILTER (k = span) AS n_valid, count(*) AS n_days FROM h GROUP BY 1", "events")
+GATES = [("n", ">=", 100.0), ("error_rate", "<", 0.2), ("max_value", "<=", 50.0)]
+_add("acceptance_gates", lambda e: evaluation.gates(e, GATES), "WITH m AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (event_type = 'error') / count(*) AS error_rate, max(value) AS max_value FROM events) SELECT 'n' AS metric, '>=' AS op, 100.0::DOUBLE AS bound, CASE WHEN n >= 100 THEN 'PASS' ELSE 'FAIL' END AS status FROM m UNION ALL SELECT 'error_rate', '<', 0.2, CASE WHEN error_rate < 0.2 THEN 'PASS' ELSE 'FAIL' END FROM m UNION ALL SELECT 'max_value', '<=', 50.0, CASE WHEN max_value <= 50 THEN 'PASS' ELSE 'FAIL' END FROM m", "events")
+
+
+def _board(nation: DataFrame, region: DataFrame) -> DataFrame:
+    board = nation.where("n_nationkey < 20").select((F.col("n_nationkey") + 1).cast("int").alias("id"), F.col("n_name").alias("run"), F.col("n_regionkey").alias("score"))
+    runs = nation.where("n_nationkey >= 15").select(F.col("n_name").alias("run"), (F.col("n_nationkey") * 10).alias("score"))
+    return evaluation.upsert(board, runs, "run", "score")
+
+
+_add("leaderboard_upsert", _board, "WITH b AS (SELECT n_nationkey + 1 AS id, n_name AS run, n_regionkey AS score FROM nation WHERE n_nationkey < 20), r AS (SELECT n_name AS run, n_nationkey * 10 AS score FROM nation WHERE n_nationkey >= 15) SELECT id, run, coalesce(r.score, b.score) AS score FROM b LEFT JOIN r USING (run) UNION ALL SELECT (SELECT max(id) FROM b) + row_number() OVER (ORDER BY run) AS id, run, score FROM r WHERE run NOT IN (SELECT run FROM b)", "nation", "region")
+_add("success_gated_reward", evaluation.gated_reward, "SELECT user_id, bool_or(event_type = 'purchase') AS goal, count(*) FILTER (event_type = 'error') AS u, CASE WHEN bool_or(event_type = 'purchase') THEN greatest(0.5, 1.5 - 0.2 * count(*) FILTER (event_type = 'error'))::DOUBLE ELSE 0.0 END AS reward FROM events GROUP BY 1", "events")
+_add("difficulty_category", evaluation.difficulty, "WITH d AS (SELECT user_id, ts::DATE AS day, bool_or(event_type = 'purchase') AS won FROM events GROUP BY 1, 2) SELECT user_id, CASE WHEN bool_and(won) THEN 'solved' WHEN NOT bool_or(won) THEN 'unsolved' ELSE 'mixed' END AS category, count(*) AS attempts FROM d GROUP BY 1", "events")
+_add("lcs_score", evaluation.lcs_credit, None, "events")
+
+_add("evidence_atoms", evidence.atoms, "SELECT sha256(text) AS atom, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last FROM documents GROUP BY 1 HAVING count(*) > 1", "documents")
+_add("world_entries", evidence.world, "SELECT sha256(l_partkey || '/' || l_suppkey) AS key_sha256, arg_min(l_returnflag || '|' || l_linestatus, sha256(l_returnflag || '|' || l_linestatus)) AS result, count(DISTINCT l_returnflag || '|' || l_linestatus) AS n_results FROM lineitem GROUP BY 1", "lineitem")
+_add("world_conflicts", evidence.conflicts, "WITH p AS (SELECT l_partkey, l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) SELECT l_partkey, l_suppkey, count(*) AS variants, sum(n)::BIGINT AS n, string_agg(l_returnflag || ':' || n, ',' ORDER BY l_returnflag) AS occurrences FROM p GROUP BY 1, 2 HAVING count(*) > 1", "lineitem")
+_add("layered_lookup", evidence.layered_lookup, "WITH o AS (SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'sealed' WHEN 'MACHINERY' THEN 'cached' ELSE 'fallback' END AS kind, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_name ELSE 'none' END AS answer FROM orders LEFT JOIN customer ON o_custkey = c_custkey) SELECT kind, count(*) AS n, min(answer) AS least_answer FROM o GROUP BY 1", "orders", "customer", "nation")
+_add("manifest_counts", evidence.manifest, "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY GROUPING SETS ((), (o_orderstatus), (o_orderpriority))", "orders")
+_add("aggregate_digest", evidence.digest, "SELECT n_regionkey, sha256(string_agg(n_name || '|' || sha256(n_name), ';' ORDER BY n_name)) AS digest FROM nation GROUP BY 1", "nation")
+_add("evidence_groups", evidence.evidence_groups, "WITH RECURSIVE k AS (SELECT doc_id, sha256(text) AS k FROM documents UNION ALL SELECT doc_id, source || ':' || n_chars FROM documents), roots AS (SELECT k, min(doc_id) AS root FROM k GROUP BY 1), e AS (SELECT doc_id AS a, root AS b FROM k JOIN roots USING (k) WHERE doc_id <> root UNION SELECT root, doc_id FROM k JOIN roots USING (k) WHERE doc_id <> root), walk AS (SELECT a AS node, b AS reach FROM e UNION SELECT w.node, e.b FROM walk w JOIN e ON w.reach = e.a), g AS (SELECT doc_id, least(doc_id, coalesce(min(reach), doc_id)) AS group_id FROM documents LEFT JOIN walk ON doc_id = node GROUP BY doc_id) SELECT group_id, count(*) AS n, max(doc_id) AS last FROM g GROUP BY 1", "documents")
+_add("grouped_split", evidence.grouped_split, "SELECT CASE WHEN ('0x' || substr(sha256(text), 1, 4))::BIGINT % 100 < 10 THEN 'held_out' ELSE 'train' END AS side, lang, count(*) AS n, count(DISTINCT text) AS n_texts FROM documents GROUP BY 1, 2", "documents")
+_add("split_leakage_check", evidence.leakage, "SELECT sha256(text) AS atom FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT sha256(text) FROM documents WHERE doc_id % 2 = 1", "documents")
+_add("coverage_matrix", evidence.coverage, "WITH s AS (SELECT DISTINCT user_id % 50 AS bucket, event_type, hour(ts)::INT AS hour FROM events) SELECT bucket, event_type, h::INT AS hour FROM (SELECT DISTINCT bucket FROM s), (SELECT DISTINCT event_type FROM s), range(24) r(h) EXCEPT SELECT * FROM s", "events")
+
+DOT = "list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i]::DOUBLE * embedding[i]::DOUBLE))"
+_add("vector_topk", lambda v: retrieval.vector_topk(v, (0, 1, 2)), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id IN (0, 1, 2)) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
+
+
+def _tf(words: tuple[str, ...]) -> str:
+    return "(" + " + ".join(f"(length(lower(text)) - length(replace(lower(text), '{w}', ''))) // {len(w)}" for w in words) + ")"
+
+
+A, B = ("the", "and"), ("tion", "ing")
+_add("keyword_tf", lambda d: retrieval.keyword_tf(d, A), f"SELECT doc_id, {_tf(A)}::BIGINT AS tf FROM documents WHERE {_tf(A)} > 0", "documents")
+TOP = "SELECT doc_id, row_number() OVER (ORDER BY tf DESC, doc_id) - 1 AS {r} FROM (SELECT doc_id, {tf} AS tf FROM documents WHERE {tf} > 0 ORDER BY tf DESC, doc_id LIMIT 100)"
+_add("rrf_fusion", lambda d: retrieval.rrf(d, A, B), f"WITH a AS ({TOP.format(r='r0', tf=_tf(A))}), b AS ({TOP.format(r='r1', tf=_tf(B))}), s AS (SELECT doc_id, coalesce(1.5::DOUBLE / (60 + r0 + 1), 0) + coalesce(0.7::DOUBLE / (60 + r1 + 1), 0) AS score FROM a FULL JOIN b USING (doc_id)) SELECT * FROM s WHERE score >= 0.02", "documents")
+_add("location_priority", lambda c, n, r: retrieval.by_place(c, n, r, "trips in ASIA, FRANCE and CHINA"), "WITH p AS (SELECT n_name AS place, 2 AS priority, n_nationkey FROM nation UNION ALL SELECT r_name, 1, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey), h AS (SELECT * FROM p WHERE contains('trips in ASIA, FRANCE and CHINA', place)), f AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY priority, place) AS r FROM customer JOIN h ON c_nationkey = n_nationkey) SELECT place, priority, count(*) AS n FROM f WHERE r = 1 GROUP BY 1, 2", "customer", "nation", "region")
+_add("distinct_excerpts", retrieval.excerpts, r"WITH f AS (SELECT source, lower(trim(regexp_replace(substr(text, 1, 60), '\s+', ' ', 'g'))) AS excerpt, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM f WHERE length(excerpt) >= 12) WHERE rank <= 3", "documents")
+
+_add("hash_permutation", sampling.permutation, "SELECT event_id, user_id % 64 AS bucket, row_number() OVER (PARTITION BY user_id % 64 ORDER BY sha256('s/' || event_id)) AS rank FROM events", "events")
+_add("first_n_per_group", lambda o: sampling.first_n(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 7), "SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS r FROM orders) WHERE r <= 7", "orders")
+_add("quota_allocation", sampling.quotas, "WITH c AS (SELECT p_brand, count(*) AS n, sum(count(*)) OVER ()::BIGINT AS a FROM part GROUP BY 1), x AS (SELECT p_brand, n * 1000 // a AS base, n * 1000 % a AS rest FROM c) SELECT p_brand, base + (row_number() OVER (ORDER BY rest DESC, p_brand) <= 1000 - sum(base) OVER ())::BIGINT AS quota FROM x", "part")
+_add("anchor_sample_exact", sampling.anchors, "SELECT lang, toxic, doc_id, rank FROM (SELECT lang, toxic, doc_id, row_number() OVER (PARTITION BY lang, toxic ORDER BY sha256(doc_id::VARCHAR)) AS rank FROM documents JOIN labels USING (doc_id)) WHERE rank <= 5", "documents", "labels")
+_add("batch_schedule", sampling.schedule, "WITH r AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY sha256(p_partkey::VARCHAR)) - 1 AS pos, count(*) OVER (PARTITION BY p_brand) AS n FROM part), a AS (SELECT p_brand, p_partkey, pos FROM r UNION ALL SELECT p_brand, p_partkey, pos + n FROM r WHERE pos < (32 - n % 32) % 32) SELECT p_brand, p_partkey, pos // 32 AS batch, pos % 32 AS slot FROM a", "part")
+
+QUERIES["route_enumeration"] = lambda s, d: graph.routes(_flow(s), "start", ("end",))
+ORACLES["route_enumeration"] = f"WITH RECURSIVE w AS (SELECT 'start' AS node, []::INT[] AS path UNION ALL SELECT b, list_append(path, edge_id) FROM w JOIN {FLOW_SQL} ON node = a WHERE NOT list_contains(path, edge_id)) SELECT node, len(path)::INT AS steps, array_to_string(path, '>') AS route FROM w WHERE node = 'end'"
+QUERIES["reachability"] = lambda s, d: graph.reachable(_flow(s), "start")
+ORACLES["reachability"] = f"WITH RECURSIVE w AS (SELECT 'start' AS node, 0 AS steps UNION SELECT b, steps + 1 FROM w JOIN {FLOW_SQL} ON node = a WHERE steps < 12) SELECT node, min(steps) AS steps FROM w GROUP BY 1"
+QUERIES["graph_lint"] = lambda s, d: graph.lint(_flow(s), "start", ("end",))
+ORACLES["graph_lint"] = f"WITH e AS (SELECT * FROM {FLOW_SQL}) SELECT 'dead_end' AS finding, b AS node FROM e WHERE b NOT IN (SELECT a FROM e) AND b <> 'end' UNION SELECT 'unreached', a FROM e WHERE a NOT IN (SELECT b FROM e) AND a <> 'start' UNION SELECT 'terminal_goes_on', a FROM e WHERE a = 'end'"
+
+_add("price_extract", lambda d: d.select("doc_id", text.least_price("text").alias("price")), "SELECT doc_id, list_min(list_filter(list_transform(regexp_extract_all(text, '([0-9]{2,6})', 1), lambda x: x::INT), lambda x: x BETWEEN 30 AND 99999)) AS price FROM documents", "documents")
+_add("rule_audit_long", text.rule_audit, r"WITH w AS (SELECT trim(text) <> '' AS a, NOT contains(text, '<') AS b, NOT regexp_matches(text, 'AKIA[A-Z0-9]{14,}') AS c, length(text) = n_chars AS d, NOT regexp_matches(text, '[a-z0-9.]+@[a-z0-9]+\.[a-z]{2,}') AS e FROM documents), l AS (SELECT 'not_blank' AS rule, a AS ok FROM w UNION ALL SELECT 'no_markup', b FROM w UNION ALL SELECT 'no_key', c FROM w UNION ALL SELECT 'length_is_right', d FROM w UNION ALL SELECT 'no_mail_address', e FROM w) SELECT rule, count(*) FILTER (coalesce(ok, false)) AS n_pass, count(*) FILTER (NOT coalesce(ok, false)) AS n_fail FROM l GROUP BY 1", "documents")
+_add("date_surface_forms", lambda o: o.select("o_orderkey", F.array_join(text.date_forms(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 12).cast("int")), F.to_date("o_orderdate")), "|").alias("forms")), "WITH x AS (SELECT o_orderkey, o_orderdate::DATE AS t, o_orderdate::DATE + (o_orderkey % 12)::INT AS day, (o_orderkey % 12) AS n FROM orders) SELECT o_orderkey, concat_ws('|', strftime(day, '%Y-%m-%d'), month(day) || '/' || day(day), CASE n WHEN 1 THEN 'tomorrow' WHEN 2 THEN 'in two days' WHEN 3 THEN 'in three days' END, CASE date_diff('day', date_trunc('week', t), date_trunc('week', day)) WHEN 0 THEN 'this week' WHEN 7 THEN 'next week' END) AS forms FROM x", "orders")
+_add("char_coverage", lambda n, r: n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", F.round(text.char_coverage("r_name", "n_name"), 4).alias("coverage")), "SELECT n_name, round(len(list_intersect(list_distinct(string_split(lower(r_name), '')), list_distinct(string_split(lower(n_name), '')))) / len(list_distinct(string_split(lower(r_name), ''))), 4) AS coverage FROM nation JOIN region ON n_regionkey = r_regionkey", "nation", "region")
+_add("episode_replay", episodes.replay, None, "events")
+_add("session_rollup", episodes.session_rollup, "WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS started, count(*) AS n, max(value) AS top FROM s GROUP BY user_id, k", "events")
