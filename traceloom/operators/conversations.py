@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BY_TURN = Window.partitionBy("conv_id").orderBy("turn")
-SO_FAR = BY_TURN.rowsBetween(Window.unboundedPreceding, 0)
+
+def by_turn():
+    return Window.partitionBy("conv_id").orderBy("turn")
+
+
+def so_far():
+    return by_turn().rowsBetween(Window.unboundedPreceding, 0)
 
 
 def with_segments(messages: DataFrame) -> DataFrame:
     """Adds ``seg``: a new segment begins at each user turn; what precedes the first is segment 0."""
-    return messages.withColumn("seg", F.sum((F.col("role") == "user").cast("long")).over(SO_FAR))
+    return messages.withColumn("seg", F.sum((F.col("role") == "user").cast("long")).over(so_far()))
 
 
 def segments(messages: DataFrame) -> DataFrame:
@@ -29,8 +34,8 @@ def segment_percentiles(messages: DataFrame) -> DataFrame:
 
 def rounds(messages: DataFrame) -> DataFrame:
     """Gaps and islands: consecutive messages of one role are a round."""
-    new = (F.lag("role").over(BY_TURN) != F.col("role")) | F.lag("role").over(BY_TURN).isNull()
-    tagged = messages.withColumn("round", F.sum(F.when(new, 1).otherwise(0)).over(SO_FAR))
+    new = (F.lag("role").over(by_turn()) != F.col("role")) | F.lag("role").over(by_turn()).isNull()
+    tagged = messages.withColumn("round", F.sum(F.when(new, 1).otherwise(0)).over(so_far()))
     return tagged.groupBy("conv_id", F.col("round").cast("long").alias("round")).agg(F.min("role").alias("role"), F.count("*").alias("n_messages"), F.min("turn").alias("first_turn"))
 
 
@@ -40,9 +45,9 @@ def prefixes(messages: DataFrame, final_copies: int = 3) -> DataFrame:
     A conversation with at most one assistant turn is one row and not repeated.
     """
     whole = Window.partitionBy("conv_id")
-    sized = messages.withColumn("n_prior", F.count("*").over(SO_FAR)).withColumn("chars", F.sum(F.length("text")).over(SO_FAR))
+    sized = messages.withColumn("n_prior", F.count("*").over(so_far())).withColumn("chars", F.sum(F.length("text")).over(so_far()))
     sized = sized.withColumn("n_assistant", F.count_if(F.col("role") == "assistant").over(whole))
-    ends = sized.where("role = 'assistant'").withColumn("nth", F.row_number().over(BY_TURN).cast("long"))
+    ends = sized.where("role = 'assistant'").withColumn("nth", F.row_number().over(by_turn()).cast("long"))
     copies = F.when((F.col("nth") == F.col("n_assistant")) & (F.col("n_assistant") > 1), F.lit(final_copies)).otherwise(1)
     return ends.select("conv_id", "nth", "n_prior", "chars", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("copy"))
 
@@ -63,14 +68,14 @@ def last_n(messages: DataFrame, n: int = 4) -> DataFrame:
 def assistant_spans(messages: DataFrame) -> DataFrame:
     """Character span of every assistant message in the rendered conversation, by differences of prefix lengths."""
     line = F.length("role") + F.length("text") + 3
-    run = messages.withColumn("upto", F.sum(line).over(SO_FAR)).withColumn("last", F.max(F.when(F.col("role") == "assistant", F.col("turn"))).over(Window.partitionBy("conv_id")))
+    run = messages.withColumn("upto", F.sum(line).over(so_far())).withColumn("last", F.max(F.when(F.col("role") == "assistant", F.col("turn"))).over(Window.partitionBy("conv_id")))
     spans = run.where("role = 'assistant'")
     return spans.select("conv_id", "turn", (F.col("upto") - F.length("text") - 1).alias("start"), (F.col("upto") - 1).alias("stop"), (F.col("turn") == F.col("last")).alias("is_last"))
 
 
 def order_audit(messages: DataFrame) -> DataFrame:
     """PASS or FAIL per rule: contiguous ordinals, a user first, no system turn later, alternation."""
-    numbered = messages.withColumn("r", F.row_number().over(BY_TURN) - 1).withColumn("before", F.lag("role").over(BY_TURN))
+    numbered = messages.withColumn("r", F.row_number().over(by_turn()) - 1).withColumn("before", F.lag("role").over(by_turn()))
     per = numbered.groupBy("conv_id").agg(
         F.bool_and(F.col("r") == F.col("turn")).alias("contiguous"),
         F.bool_and((F.col("role") != "system") | (F.col("r") == 0)).alias("system_first"),
