@@ -138,11 +138,14 @@ def price(values: np.ndarray) -> tuple[float, np.ndarray]:
     return float(best[m]), counts
 
 
-def solve(demand: np.ndarray, max_rounds: int = 20_000) -> list[tuple[np.ndarray, float]]:
+def solve(demand: np.ndarray, gap: float = 1e-3, max_rounds: int = 20_000) -> list[tuple[np.ndarray, float]]:
     """Patterns and fractional uses that cover ``demand`` with the fewest sequences.
 
-    Revised simplex with an explicit inverse, columns priced by ``price``. If
-    it stops at ``max_rounds`` the basis is still feasible, only less tight.
+    Revised simplex with an explicit inverse, columns priced by ``price``. It
+    stops when no pattern is worth over 1 + ``gap``, or when the uses are within
+    ``gap`` of the pieces' volume, so they are within ``gap`` of the optimum,
+    well under what rounding costs. If it stops at
+    ``max_rounds`` the basis is still feasible, only less tight.
     """
     classes = np.flatnonzero(demand)
     k, m = len(classes), len(demand)
@@ -152,11 +155,14 @@ def solve(demand: np.ndarray, max_rounds: int = 20_000) -> list[tuple[np.ndarray
     basis[np.arange(k), np.arange(k)] = m // (classes + 1)
     inverse = np.diag(1 / basis.diagonal())
     use = demand[classes] / basis.diagonal()
+    volume = demand @ np.arange(1, m + 1) / m
     for _ in range(max_rounds):
+        if use.sum() <= (1 + gap) * volume:
+            break
         dual = np.zeros(m)
         dual[classes] = np.maximum(inverse.sum(0), 0)
         value, counts = price(dual)
-        if value <= 1 + 1e-7:
+        if value <= 1 + gap:
             break
         column = counts[classes].astype(float)
         step = inverse @ column
@@ -223,7 +229,7 @@ def slots(plan: list[tuple[np.ndarray, int]], m: int) -> tuple[list[list[tuple[i
     return of, sequence
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 4, end_id: int = 1, rows_a_bucket: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 8, end_id: int = 1, rows_a_bucket: int = 50_000) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece.
 
     Null text counts as empty and yields the one piece [end_id]. Repeated rows
