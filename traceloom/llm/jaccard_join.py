@@ -184,7 +184,13 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
         def emit():
             docs = np.array([x[:5] for x in held], np.int64)
             t = np.concatenate([np.frombuffer(x[5], np.uint64) for x in held])
-            row = np.repeat(np.arange(len(held)), [len(x[5]) // 8 for x in held])
+            sizes = np.array([len(x[5]) // 8 for x in held])
+            row = np.repeat(np.arange(len(held)), sizes)
+            # Of a pair, the smaller document's first shared token lies in a shorter prefix: one bit says so.
+            place = np.arange(len(t)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            n = docs[:, 1]
+            early = place < (n + 1 - (2 * percent * n + 99 + percent) // (100 + percent))[row]
+            value = t >> np.uint64(33) << np.uint64(1) | early.astype(np.uint64)
             to = ((t & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(to, kind="stable")
             edges = np.searchsorted(to[by], np.arange(buckets + 1))
@@ -193,7 +199,7 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
                 at = by[edges[k] : edges[k + 1]]
                 if len(at):
                     some, counts = np.unique(row[at], return_counts=True)
-                    out.append((k, docs[some].T.tobytes(), counts.astype("<u2").tobytes(), (t[at] >> np.uint64(32)).astype("<u4").tobytes()))
+                    out.append((k, docs[some].T.tobytes(), counts.astype("<u2").tobytes(), value[at].astype("<u4").tobytes()))
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 3)], names)
 
@@ -219,17 +225,18 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
             return
         doc, n, gid, gsize, host = np.concatenate(docs, 1)
         row, tok = np.concatenate(rows), np.concatenate(toks)
+        early, tok = (tok & 1).astype(bool), tok >> 1
         by = np.lexsort((gid[row], tok))
-        row, tok = row[by], tok[by]
+        row, tok, early = row[by], tok[by], early[by]
         edge = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1], [True])))
         mixed = gid[row[edge[:-1]]] != gid[row[edge[1:] - 1]]
         found: set[tuple[int, int]] = set()
         for a, z in zip(edge[:-1][mixed].tolist(), edge[1:][mixed].tolist()):
-            own = row[a:z]
-            own = own[np.argsort(n[own], kind="stable")]
+            order = a + np.argsort(n[row[a:z]], kind="stable")
+            own, first = row[order], early[order]
             sizes = n[own]
             upto = np.searchsorted(sizes, sizes * 100 // percent, "right")
-            for i in range(len(own)):
+            for i in np.flatnonzero(first).tolist():
                 other = own[i + 1 : upto[i]]
                 if not len(other):
                     continue
