@@ -199,7 +199,7 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
                 at = by[edges[k] : edges[k + 1]]
                 if len(at):
                     some, counts = np.unique(row[at], return_counts=True)
-                    out.append((k, docs[some].T.tobytes(), counts.astype("<u2").tobytes(), value[at].astype("<u4").tobytes()))
+                    out.append((k, docs[some].T.tobytes(), counts.astype("<u4").tobytes(), value[at].astype("<u4").tobytes()))
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 3)], names)
 
@@ -216,7 +216,7 @@ def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
         for b in batches:
             for d, c, t in zip(*(x.to_pylist() for x in b.columns[1:])):
                 own = np.frombuffer(d, np.int64).reshape(5, -1)
-                counts = np.frombuffer(c, "<u2").astype(np.int64)
+                counts = np.frombuffer(c, "<u4").astype(np.int64)
                 docs.append(own)
                 rows.append(np.repeat(np.arange(base, base + len(counts)), counts))
                 toks.append(np.frombuffer(t, "<u4"))
