@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from traceloom.session import cut
+from traceloom.session import cut, width
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words kept by a Python worker between tasks; beyond it the cache starts anew.
@@ -255,7 +255,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 8, e
             out[i] = sequence + more, at + rest
         return pd.DataFrame(out, columns=["sequence_id", "place"])
 
-    buckets = max(1, int(demand.sum()) // rows_a_bucket)
+    # A class can hold most pieces, so it is dealt to at least as many buckets as there are partitions.
+    buckets = max(width(docs.sparkSession), int(demand.sum()) // rows_a_bucket)
     dealt = cutting.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
     sizes = dealt.groupBy("class", "bucket").count()
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
