@@ -175,7 +175,7 @@ def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
 
 def _matrix(reps: DataFrame, percent: int, flush: int = 20_000) -> DataFrame:
     """(query, host) pairs of documents and groups of other components that share a prefix token."""
-    buckets = 4 * width(reps.sparkSession)
+    buckets = width(reps.sparkSession)
 
     def deal(batches):
         names = ["bucket", "docs", "counts", "tokens"]
@@ -292,12 +292,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard:
     first = [F.min("doc_id"), *(F.min_by("doc_id", F.xxhash64("doc_id", F.lit(r))) for r in range(1, orders))]
     centres = bands.groupBy("band").agg(F.array(*first).alias("hosts"), F.count("*").alias("k")).where("k > 1")
     star = bands.join(centres, "band").select("doc_id", F.posexplode("hosts").alias("turn", "host")).where("doc_id <> host")
-    star = star.groupBy("doc_id", "turn", "host").agg(F.count("*").alias("k"))
+    star = star.repartition("doc_id").groupBy("doc_id", "turn", "host").agg(F.count("*").alias("k"))
     star = star.groupBy("doc_id", "turn").agg(F.max(F.struct("k", (-F.col("host")).alias("h"))).alias("best"))
     star = cut(star.select(F.col("doc_id").alias("query"), (-F.col("best.h")).alias("host")).distinct())
     sets = _token_sets(docs, star.select(F.explode(F.array("query", "host")).alias("doc_id")).distinct(), size)
     centre = star.select("host", F.col("host").alias("member"), F.col("host").alias("gid")).distinct()
-    links = cut(_verify(star, centre, sets, percent).distinct())
+    links = cut(_verify(star, centre, sets, percent))
     groups = cut(connected_components(links))
 
     # The matrix: shards of groups, asked by documents of other groups.
@@ -313,9 +313,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard:
     members = cut(cells.select("host", "member", "gid").join(small_side(asked.select("host").distinct()), "host"))
     wanted = asked.select(F.col("query").alias("doc_id")).union(members.select("member")).distinct()
     sets = _token_sets(docs, wanted, size)
-    more = cut(_verify(asked, members, sets, percent).distinct())
+    more = cut(_verify(asked, members, sets, percent))
 
-    joined = connected_components(links.union(more))
+    joined = connected_components(groups.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more))
     named_rep = named.select("doc_id", *key).distinct().join(same, key).select("doc_id", "rep")
     final = cut(named_rep.join(joined, F.col("rep") == F.col("node"), "left").select(F.col("doc_id").alias("__id"), F.coalesce("component", "rep").alias("component")))
     lowest = final.groupBy("__id").agg(F.min("component").alias("component"))
