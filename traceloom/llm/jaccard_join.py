@@ -305,9 +305,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard:
     gid = reps.join(groups, reps["doc_id"] == groups["node"], "left").join(near, F.col("doc_id") == F.col("q"), "left")
     gid = gid.select("doc_id", "n", F.coalesce("component", "doc_id").alias("gid"), F.coalesce("component", "near", "doc_id").alias("cluster"))
     sizes = groups.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("k"))
-    wide = gid.groupBy(F.col("cluster").alias("w")).agg(F.count("*").alias("wide"))
-    host = F.when(F.col("wide") == 1, F.col("doc_id")).otherwise(F.xxhash64("cluster", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("wide") / shard))))
-    cells = gid.join(sizes, gid["gid"] == sizes["c"], "left").join(wide, F.col("cluster") == F.col("w")).withColumn("gsize", F.coalesce("k", F.lit(1)))
+    wide = cut(gid.groupBy(F.col("cluster").alias("w")).agg(F.count("*").alias("wide")).where("wide > 1"))
+    host = F.when(F.col("wide").isNull(), F.col("doc_id")).otherwise(F.xxhash64("cluster", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("wide") / shard))))
+    cells = gid.join(sizes, gid["gid"] == sizes["c"], "left").join(small_side(wide), F.col("cluster") == F.col("w"), "left").withColumn("gsize", F.coalesce("k", F.lit(1)))
     cells = cut(cells.select(F.col("doc_id").alias("member"), "n", "gid", "gsize", host.alias("host")))
     asked = cut(_matrix(named.select("doc_id", "prefix").join(small_side(cells), F.col("doc_id") == F.col("member")), percent))
     members = cut(cells.select("host", "member", "gid").join(small_side(asked.select("host").distinct()), "host"))
