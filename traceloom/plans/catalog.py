@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.functions import text
-from traceloom.operators import conversations, evaluation, evidence, graph, retrieval, sampling
+from traceloom.operators import arguments, audits, conversations, evaluation, evidence, graph, retrieval, sampling
 from traceloom.session import table
 from traceloom.streaming import episodes
 
@@ -106,3 +106,52 @@ _add("date_surface_forms", lambda o: o.select("o_orderkey", F.array_join(text.da
 _add("char_coverage", lambda n, r: n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", F.round(text.char_coverage("r_name", "n_name"), 4).alias("coverage")), "SELECT n_name, round(len(list_intersect(list_distinct(string_split(lower(r_name), '')), list_distinct(string_split(lower(n_name), '')))) / len(list_distinct(string_split(lower(r_name), ''))), 4) AS coverage FROM nation JOIN region ON n_regionkey = r_regionkey", "nation", "region")
 _add("episode_replay", episodes.replay, None, "events")
 _add("session_rollup", episodes.session_rollup, "WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS started, count(*) AS n, max(value) AS top FROM s GROUP BY user_id, k", "events")
+
+K = "TRY_CAST(json_extract_string(props, '$.k') AS INT)"
+_add("typed_arguments", arguments.typed, f"SELECT event_id, {K} AS k, coalesce(json_extract_string(props, '$.note'), '') AS note, {K} IS NOT NULL AS ok FROM events", "events")
+_add("argument_rules", arguments.schema_rules, f"WITH r AS (SELECT props IS NOT NULL AS o, len(list_filter(json_keys(props), lambda x: x <> 'k')) = 0 AS d, {K} BETWEEN 1 AND 30 AS i FROM events) SELECT 'object' AS rule, count(*) FILTER (o) AS n_pass, count(*) AS n FROM r UNION ALL SELECT 'declared', count(*) FILTER (d), count(*) FROM r UNION ALL SELECT 'in_range', count(*) FILTER (i), count(*) FROM r", "events")
+_add("latest_binding", arguments.latest_binding, "WITH b AS (SELECT *, last_value(CASE WHEN event_type = 'view' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bound FROM events) SELECT event_id, bound, CASE WHEN bound IS NULL THEN 'unbound' ELSE 'ok' END AS status FROM b WHERE event_type = 'purchase'", "events")
+_add("slot_collisions", lambda e: arguments.slot_collisions(e, {"view": "seen", "click": "seen"}), "WITH s AS (SELECT CASE WHEN event_type IN ('view', 'click') THEN 'seen' ELSE event_type END AS slot, count(DISTINCT value) AS v FROM events GROUP BY user_id, ts::DATE, 1) SELECT slot, count(*) AS n, max(v) AS most FROM s WHERE v > 1 GROUP BY 1", "events")
+_add("template_render", arguments.customer_cards, "SELECT c_custkey, c_name || ' of ' || coalesce(n_name, '') || ': ' || c_mktsegment AS card FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey", "customer", "nation")
+_add("seeded_fallback", arguments.seeded_values, "SELECT p_partkey, ('0x' || substr(sha256('f/' || p_partkey), 1, 8))::BIGINT % 97 AS value FROM part", "part")
+_add("attempt_seeds", arguments.attempt_seeds, "SELECT p_partkey, a::INT AS attempt, 7 + p_partkey * 10000 + a * 100 AS seed FROM part, range(4) t(a)", "part")
+_add("identity_fingerprint", arguments.fingerprints, "SELECT sha256(p_brand || '|' || p_size || '|' || p_type) AS fingerprint, count(*) AS n, min(p_partkey) AS first FROM part GROUP BY 1", "part")
+
+_add("one_to_one_audit", lambda d, l: audits.one_to_one(d, l, "doc_id"), "WITH a AS (SELECT doc_id, count(*) AS a FROM documents GROUP BY 1), b AS (SELECT doc_id, count(*) AS b FROM labels GROUP BY 1) SELECT CASE WHEN b IS NULL THEN 'only_left' WHEN a IS NULL THEN 'only_right' WHEN a > 1 OR b > 1 THEN 'repeated' ELSE 'matched' END AS status, count(*) AS n, min(doc_id) AS least_key FROM a FULL JOIN b USING (doc_id) GROUP BY 1", "documents", "labels")
+_add("call_result_audit", audits.call_results, "WITH r AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_linenumber) AS d, max(l_linenumber) AS top FROM lineitem GROUP BY 1) SELECT CASE WHEN l_orderkey IS NULL THEN 'no_result' WHEN o_orderkey IS NULL THEN 'no_call' WHEN d < n THEN 'repeated' WHEN top <> n THEN 'gap' ELSE 'ok' END AS status, count(*) AS n_calls FROM orders FULL JOIN r ON o_orderkey = l_orderkey GROUP BY 1", "orders", "lineitem")
+_add("positional_outer_join", audits.by_position, "WITH r AS (SELECT l_orderkey, l_partkey, l_returnflag = 'R' AS side, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_linenumber, l_partkey) AS pos FROM lineitem), a AS (SELECT l_orderkey, pos, l_partkey AS returned FROM r WHERE side), b AS (SELECT l_orderkey, pos, l_partkey AS other FROM r WHERE NOT side) SELECT * FROM a FULL JOIN b USING (l_orderkey, pos)", "lineitem")
+_add("set_equality", audits.set_difference, "WITH a AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag <> 'R') SELECT side, count(*) AS n FROM (SELECT 'only_returned' AS side, x.* FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'only_other', y.* FROM (FROM b EXCEPT FROM a) y) GROUP BY 1", "lineitem")
+_add("single_result_check", audits.single_result, "SELECT l_partkey, l_suppkey, count(DISTINCT l_extendedprice) AS n_results FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_extendedprice) > 1", "lineitem")
+QUERIES["branch_completeness"] = lambda s, d: audits.branch_gaps(_flow(s), ("search", "book"))
+ORACLES["branch_completeness"] = f"SELECT tool, status, count(edge_id) AS n FROM (VALUES ('search'), ('book')) t(tool), (VALUES ('ok'), ('empty'), ('error')) u(status) LEFT JOIN {FLOW_SQL} ON a = tool AND b = status GROUP BY 1, 2 HAVING count(edge_id) <> 1"
+POS = "p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events)"
+_add("causal_path", audits.causal_path, f"WITH {POS}, s AS (SELECT *, event_type || '_' || lpad(pos::VARCHAR, greatest(2, length(pos::VARCHAR))::INT, '0') AS state FROM p) SELECT event_id, state, coalesce(lead(state) OVER (PARTITION BY user_id ORDER BY pos), 'end') AS next_state FROM s", "events")
+_add("unbound_uses", audits.unbound_uses, f"WITH {POS}, f AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS f FROM p GROUP BY 1) SELECT user_id, count(*) FILTER (event_type = 'purchase') AS uses, count(*) FILTER (event_type = 'purchase' AND (f IS NULL OR pos < f)) AS unbound FROM p JOIN f USING (user_id) GROUP BY 1", "events")
+_add("milestone_credit", audits.milestones, f"WITH {POS}, a AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS m FROM p GROUP BY 1), b AS (SELECT user_id, min(pos) FILTER (event_type = 'click' AND pos > m) AS m2 FROM p JOIN a USING (user_id) GROUP BY 1), c AS (SELECT user_id, min(pos) FILTER (event_type = 'purchase' AND pos > m2) AS m3 FROM p JOIN b USING (user_id) GROUP BY 1), k AS (SELECT user_id, (m IS NOT NULL)::BIGINT + (m2 IS NOT NULL)::BIGINT + (m3 IS NOT NULL)::BIGINT AS credited FROM a JOIN b USING (user_id) JOIN c USING (user_id)) SELECT user_id, credited, round(credited / 3, 6) AS ratio FROM k", "events")
+_add("route_catalog", audits.route_catalog, f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p WHERE pos <= 3 GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
+_add("run_lengths", audits.runs, f"WITH {POS}, i AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS g FROM p WHERE event_type = 'view') SELECT user_id, min(pos) AS first, max(pos) AS last FROM i GROUP BY user_id, g", "events")
+FIELDS = ("l_discount", "l_linestatus", "l_quantity", "l_returnflag", "l_tax")
+_add("first_differing_key", audits.first_differing, "SELECT a.l_orderkey, CASE " + " ".join(f"WHEN a.{f} IS DISTINCT FROM b.{f} THEN '{f}'" for f in FIELDS) + " END AS field FROM lineitem a JOIN lineitem b USING (l_orderkey) WHERE a.l_linenumber = 1 AND b.l_linenumber = 2", "lineitem")
+_add("date_series", audits.date_series, "SELECT (o_orderdate::DATE + i::INT)::DATE AS day, count(*) AS n FROM orders, range(3) t(i) GROUP BY 1", "orders")
+_add("topic_rotation", audits.topic_rotation, "SELECT o_orderkey, ['price', 'time', 'place'][(row_number() OVER (PARTITION BY o_orderpriority, o_orderdate::DATE ORDER BY o_orderkey) - 1) % 3 + 1] AS topic FROM orders", "orders")
+_add("status_fold", audits.status_fold, "WITH d AS (SELECT CASE WHEN bool_or(event_type = 'error') THEN 'error' WHEN NOT bool_or(event_type = 'purchase') THEN 'empty' ELSE 'ok' END AS status FROM events GROUP BY user_id, ts::DATE) SELECT status, count(*) AS n FROM d GROUP BY 1", "events")
+_add("training_rows", audits.training_rows, "WITH a AS (SELECT conv_id, flatten(list(list_transform(range(len(string_split(coalesce(text, ''), ' '))), lambda i: CASE WHEN role = 'assistant' THEN turn::INT ELSE -100 END) ORDER BY turn)) AS l FROM conversations GROUP BY 1), k AS (SELECT conv_id, len(l)::INT AS n_words, CASE WHEN len(l) > 64 THEN l[len(l) - 63:] ELSE l END AS l FROM a) SELECT conv_id, n_words, len(l)::INT AS n_kept, array_to_string(list_concat(l, list_transform(range((8 - len(l) % 8) % 8), lambda i: -100)), ',') AS labels FROM k", "conversations")
+
+_add("place_stem", lambda n: n.select("n_name", text.stem(F.col("n_name"), ("IA", "AN", "E")).alias("stem"), F.expr("trim(TRAILING 'AEIN' FROM n_name)").alias("stripped")), "WITH a AS (SELECT n_name, CASE WHEN instr(n_name, 'IA') > 2 THEN left(n_name, instr(n_name, 'IA') - 1) ELSE n_name END AS x FROM nation), b AS (SELECT n_name, CASE WHEN instr(x, 'AN') > 2 THEN left(x, instr(x, 'AN') - 1) ELSE x END AS x FROM a) SELECT n_name, CASE WHEN instr(x, 'E') > 2 THEN left(x, instr(x, 'E') - 1) ELSE x END AS stem, rtrim(n_name, 'AEIN') AS stripped FROM b", "nation")
+RATES = ("([0-9]+)/10", "([0-9][.][0-9])", "([0-9]+)")
+_add("pattern_cascade", lambda d: d.select("doc_id", text.first_match("text", RATES).alias("found")), "SELECT doc_id, CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN regexp_extract(text, '{p}', 1)" for p in RATES) + " END AS found FROM documents", "documents")
+TIERS = (("STEEL", "basic"), ("BRASS", "middle"), ("PROMO", "high"), ("1", "first"))
+_add("tier_mapping", lambda p: p.groupBy(text.tier("p_type", TIERS).alias("tier")).agg(F.count("*").alias("n")), "SELECT CASE " + " ".join(f"WHEN contains(p_type, '{a}') THEN '{b}'" for a, b in TIERS) + " ELSE 'none' END AS tier, count(*) AS n FROM part GROUP BY 1", "part")
+_add("block_strip", lambda p: p.select("page_id", F.sha2(text.without_block("html", "script"), 256).alias("digest")), "SELECT page_id, sha256(regexp_replace(html, '(?is)<script>.*?</script>', '', 'g')) AS digest FROM pages", "pages")
+_add("plain_form_groups", lambda c: c.groupBy(F.sha2(text.plain_form("text"), 256).alias("form")).agg(F.count("*").alias("n")).where("n > 1"), r"SELECT sha256(regexp_replace(regexp_replace(text, '[ \t\n\r]+', '', 'g'), '[.!。！]+$', '')) AS form, count(*) AS n FROM conversations GROUP BY 1 HAVING count(*) > 1", "conversations")
+_add("dialogue_acts", lambda c: c.groupBy("role", text.dialogue_act("text").alias("act")).agg(F.count("*").alias("n"), F.count_if(text.meaningful("text")).alias("n_meaningful")), "SELECT role, CASE WHEN trim(coalesce(text, '')) = '' THEN 'invalid' WHEN regexp_matches(lower(text), 'cannot|unable|not able to') THEN 'refusal' WHEN contains(text, '?') THEN 'ask' ELSE 'final' END AS act, count(*) AS n, count(*) FILTER (length(replace(text, ' ', '')) >= 12 AND len(list_distinct(string_split(replace(text, ' ', ''), ''))) >= 4) AS n_meaningful FROM conversations GROUP BY 1, 2", "conversations")
+_add("fenced_json", lambda e: e.withColumn("reply", F.concat(F.lit("so:\n```json\n"), "props", F.lit("\n```"))).select("event_id", F.get_json_object(text.fenced_json("reply"), "$.k").alias("k")), "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events", "events")
+
+
+def _credit(events: DataFrame) -> DataFrame:
+    n = {a: F.count_if(F.col("event_type") == t) for a, t in (("required", "view"), ("correct", "click"), ("extra", "error"))}
+    per = events.groupBy("user_id").agg(*(c.alias(a) for a, c in n.items()))
+    return per.select("user_id", F.round(text.gated_credit(F.least("correct", "required"), F.col("required"), F.col("extra")), 6).alias("reward"))
+
+
+_add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
