@@ -347,6 +347,28 @@ def test_character_network_learns():
     assert ((net.logits(x[400:]) > 0) == y[400:]).mean() > 0.9
 
 
+def secret_texts(r):
+    """(text, planted secret or None): assigned values and hex runs, planted tokens of no base pattern, slugs."""
+    pick = lambda chars, n: "".join(r.choice(list(chars), n))
+    key = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = lambda n: " ".join(pick("abcdefghijklmnopqrstuvwxyz", int(r.integers(2, 9))) for _ in range(n))
+    out = []
+    for i in range(600):
+        planted = pick(key, int(r.integers(24, 40))) if i % 4 == 0 else None
+        middle = planted or ("token=" + pick(key, int(r.integers(24, 40))), "key " + pick("0123456789abcdef", 32), "-".join((words(1), words(1), "summer", "offer", str(r.integers(1000, 2030)))))[i % 4 - 1]
+        out.append((f"{words(6)} {middle} {words(6)}", planted))
+    return out
+
+
+def test_secrets_outside_the_base_patterns_are_added(spark):
+    texts = secret_texts(np.random.default_rng(3))
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    added = {r.doc_id for r in secrets.scan_secrets(docs).collect() if r.n_added}
+    planted, slugs = {i for i, (_, p) in enumerate(texts) if p}, {i for i in range(len(texts)) if i % 4 == 3}
+    assert len(added & planted) > 0.9 * len(planted), (len(added & planted), len(planted))
+    assert len(added & slugs) < 0.2 * len(slugs), (len(added & slugs), len(slugs))
+
+
 # pipeline
 
 
