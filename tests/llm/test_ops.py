@@ -369,6 +369,22 @@ def test_secrets_outside_the_base_patterns_are_added(spark):
     assert len(added & slugs) < 0.2 * len(slugs), (len(added & slugs), len(slugs))
 
 
+@pytest.mark.parametrize("long", [60, 3 * secrets.PIECE])
+def test_character_network_sees_the_whole_candidate(long):
+    """Candidates that differ only at their end differ in score, and every position counts once, in any block."""
+    net = secrets.CharNet()
+    a, b = "a1" * (long // 2), "a1" * (long // 2 - 4) + "Z+9/Z+9/"
+    xs = [secrets.encode(f"see {t} end", 4, 4 + len(t)) for t in (a, b, "a1" * 8)]
+    assert [len(x) for x in xs] == [len(t) + secrets.BEFORE + secrets.AFTER for t in (a, b, "a1" * 8)]
+    got = net.logits(xs)
+    assert got[0] != got[1]
+    for x, score in zip(xs, got):
+        h = [sum(net.kernel[j][x[i + j]] for j in range(net.reach)) + net.shift for i in range(len(x) - net.reach + 1)]
+        assert abs(np.maximum(np.max(h, 0), 0) @ net.out + net.bias - score) < 1e-9
+    top, at = net._best(xs)
+    assert np.allclose(sum(net.kernel[j][at[:, :, j], np.arange(len(net.out))] for j in range(net.reach)) + net.shift, top)
+
+
 # pipeline
 
 
