@@ -18,6 +18,14 @@ def test_against_sql(spark, small, name):
     assert compare.difference(QUERIES[name](spark, small), compare.duck(small), ORACLES[name]) == ""
 
 
+def test_vector_topk_answers_every_query(spark, small):
+    ids = [r.vec_id for r in table(spark, small, "embeddings").select("vec_id").collect()]
+    got = defaultdict(int)
+    for r in QUERIES["vector_topk_whole"](spark, small).collect():
+        got[r.query_id] += 1
+    assert got == {i: min(10, len(ids) - 1) for i in ids if i % 20 == 0}
+
+
 def test_entry_imports_without_the_optional_folders():
     import __spark_entry__ as entry
 

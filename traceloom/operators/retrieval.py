@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,15 @@ def vector_topk(vectors: DataFrame, query_ids: tuple[int, ...], k: int = 10) ->
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def vector_topk_of(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
+    """As ``vector_topk``, for every vector with ``is_query``; Spark keeps ``k`` of each query and partition before the shuffle."""
+    q = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    dot = F.expr("aggregate(zip_with(q, embedding, (a, b) -> cast(a AS double) * b), 0D, (s, x) -> s + x)")
+    scored = vectors.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot, 4).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
     """Sum of non-overlapping occurrences of each word in lower-cased text; documents without any are left out."""
     low = F.lower("text")

@@ -74,6 +74,7 @@ _add("coverage_matrix", evidence.coverage, "WITH s AS (SELECT DISTINCT user_id %
 
 DOT = "list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i]::DOUBLE * embedding[i]::DOUBLE))"
 _add("vector_topk", lambda v: retrieval.vector_topk(v, (0, 1, 2)), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id IN (0, 1, 2)) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
+_add("vector_topk_whole", lambda v: retrieval.vector_topk_of(v, F.col("vec_id") % 20 == 0), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id % 20 = 0) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
 
 
 def _tf(words: tuple[str, ...]) -> str:
