@@ -26,6 +26,15 @@ def test_vector_topk_answers_every_query(spark, small):
     assert got == {i: min(10, len(ids) - 1) for i in ids if i % 20 == 0}
 
 
+def test_route_catalog_tells_routes_with_one_beginning_apart(spark, small):
+    want = defaultdict(list)
+    for user, days in _by_user(spark, small).items():
+        want[">".join(a for d in sorted(days) for a in days[d])].append(user)
+    got = {r.route: (r.n_users, r.least_user) for r in QUERIES["route_catalog_whole"](spark, small).collect()}
+    assert got == {route: (len(users), min(users)) for route, users in want.items()}
+    assert max(route.count(">") for route in got) > 3
+
+
 def test_entry_imports_without_the_optional_folders():
     import __spark_entry__ as entry
 

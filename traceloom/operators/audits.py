@@ -80,9 +80,10 @@ def milestones(events: DataFrame, plan: tuple[str, ...] = ("view", "click", "pur
     return done.select("user_id", "credited", F.round(F.col("credited") / len(plan) if plan else F.lit(1.0), 6).alias("ratio"))
 
 
-def route_catalog(events: DataFrame, steps: int = 3) -> DataFrame:
-    """Routes by the first ``steps`` actions of a user: number of users and the least of them."""
-    e = events.withColumn("pos", F.row_number().over(_in_order())).where(F.col("pos") <= steps)
+def route_catalog(events: DataFrame, steps: int | None = 3) -> DataFrame:
+    """Routes by the first ``steps`` actions of a user, or all without a number: number of users and the least of them."""
+    e = events.withColumn("pos", F.row_number().over(_in_order()))
+    e = e if steps is None else e.where(F.col("pos") <= steps)
     route = F.expr("array_join(transform(array_sort(collect_list(struct(pos, event_type))), x -> x.event_type), '>')")
     return e.groupBy("user_id").agg(route.alias("route")).groupBy("route").agg(F.count("*").alias("n_users"), F.min("user_id").alias("least_user"))
 

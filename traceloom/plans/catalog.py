@@ -130,6 +130,7 @@ _add("causal_path", audits.causal_path, f"WITH {POS}, s AS (SELECT *, event_type
 _add("unbound_uses", audits.unbound_uses, f"WITH {POS}, f AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS f FROM p GROUP BY 1) SELECT user_id, count(*) FILTER (event_type = 'purchase') AS uses, count(*) FILTER (event_type = 'purchase' AND (f IS NULL OR pos < f)) AS unbound FROM p JOIN f USING (user_id) GROUP BY 1", "events")
 _add("milestone_credit", audits.milestones, f"WITH {POS}, a AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS m FROM p GROUP BY 1), b AS (SELECT user_id, min(pos) FILTER (event_type = 'click' AND pos > m) AS m2 FROM p JOIN a USING (user_id) GROUP BY 1), c AS (SELECT user_id, min(pos) FILTER (event_type = 'purchase' AND pos > m2) AS m3 FROM p JOIN b USING (user_id) GROUP BY 1), k AS (SELECT user_id, (m IS NOT NULL)::BIGINT + (m2 IS NOT NULL)::BIGINT + (m3 IS NOT NULL)::BIGINT AS credited FROM a JOIN b USING (user_id) JOIN c USING (user_id)) SELECT user_id, credited, round(credited / 3, 6) AS ratio FROM k", "events")
 _add("route_catalog", audits.route_catalog, f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p WHERE pos <= 3 GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
+_add("route_catalog_whole", lambda e: audits.route_catalog(e, None), f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
 _add("run_lengths", audits.runs, f"WITH {POS}, i AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS g FROM p WHERE event_type = 'view') SELECT user_id, min(pos) AS first, max(pos) AS last FROM i GROUP BY user_id, g", "events")
 FIELDS = ("l_discount", "l_linestatus", "l_quantity", "l_returnflag", "l_tax")
 _add("first_differing_key", audits.first_differing, "SELECT a.l_orderkey, CASE " + " ".join(f"WHEN a.{f} IS DISTINCT FROM b.{f} THEN '{f}'" for f in FIELDS) + " END AS field FROM lineitem a JOIN lineitem b USING (l_orderkey) WHERE a.l_linenumber = 1 AND b.l_linenumber = 2", "lineitem")
