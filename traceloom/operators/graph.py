@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.session import cut
+from traceloom.session import cut, skew_join
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -13,19 +13,20 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Alternates large-star and small-star contraction (each a groupBy with a
     map-side minimum and an equi-join), so rounds grow with the logarithm of
-    the graph and no component is ever gathered in one task. Self loops and
-    null ends are ignored.
+    the graph. A node with a large share of all edges is joined by broadcast, so
+    no component is gathered in one task. Self loops and null ends are ignored;
+    no edges give no rows.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     pairs = cut(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     for _ in range(max_rounds):
         # Large star: every larger neighbour of u goes to the least of u and its neighbours.
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        pairs = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")).select("u", F.least("u", "m").alias("m"), "k")
+        pairs = cut(skew_join(both.where("v > u"), least, ["u"], "k").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: u and its smaller neighbours go to the least of them.
-        least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        moved = pairs.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k"))
+        moved = skew_join(pairs, least, ["u"], "k").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
         if _is_star_forest(pairs):
             break

@@ -26,7 +26,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = 300_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
 
     For narrow, already written tables only. Above the bound the hint is left
@@ -36,16 +36,39 @@ def small_side(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], weight: str, how: str = "inner", top: int = 1000) -> DataFrame:
+    """``left`` joined to ``right``, whose keys are unique and whose column ``weight`` tells how many rows of ``left`` have them.
+
+    The ``top`` heaviest keys are broadcast, a number that no input changes, and
+    their rows stay where they are. Every other key has less than one in ``top``
+    of the rows, so a join by shuffle deals these evenly. Both sides are read
+    twice and should be written tables or cheap. ``how`` is inner or left.
+    """
+    hot = right.orderBy(F.desc(weight), *on).limit(top)
+    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(right, on, how)
+    return left.join(F.broadcast(hot), on).unionByName(rest)
+
+
+def lookup(left: DataFrame, right: DataFrame, on: list[str], weight: str, how: str = "inner", max_rows: int = 300_000) -> DataFrame:
+    """As ``skew_join``, but ``right``, a written table, is broadcast whole while it has at most ``max_rows`` rows."""
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(left, right, on, weight, how)
+
+
 def width(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: what the session shuffles by."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, or, in a local session that sets none, a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="traceloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="traceloom-"))
     return sc.getCheckpointDir()
 
 
