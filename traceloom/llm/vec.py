@@ -7,7 +7,9 @@ cost does not depend on the window length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +18,7 @@ import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -24,11 +26,30 @@ LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
 
 
+def tidy(run: Callable) -> Callable:
+    """``run``, a function of Arrow batches, which gives its memory back to the system when its task ends.
+
+    Python workers live on between tasks, each with what its allocators hold.
+    """
+
+    @functools.wraps(run)
+    def to_the_end(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return to_the_end
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 to base**(n-1) modulo 2**64."""
     had = _powers.get(base)
     if had is None or len(had) < n:
-        step = np.full(max(n, 1 << 12), base, np.uint64)
+        step = np.full(max(1 << 12, 1 << (n - 1).bit_length()) if n <= CHUNK else n, base, np.uint64)
         step[0] = 1
         had = np.multiply.accumulate(step)
         if len(had) <= 2 * CHUNK:
@@ -45,6 +66,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def rows(batches, step: int = 256) -> Iterator[tuple]:
+    """Rows of Arrow batches as Python values, few of them at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, step):
+            yield from zip(*(c.slice(lo, step).to_pylist() for c in b.columns))
+
+
 @dataclass
 class Words:
     """Words of rows ``lo`` to ``hi`` of a column. Offsets are in bytes of ``data``."""
