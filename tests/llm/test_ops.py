@@ -79,18 +79,39 @@ def test_token_counts_forget_and_awkward(spark):
 # op2
 
 
-def test_trie_spills_and_keeps_every_string():
-    r = random.Random(5)
-    words = [bytes(r.choice(b"ab") for _ in range(r.randrange(0, 40))) for _ in range(3000)]
-    trie = exact_dedup.PatriciaTrie(max, limit=20_000)
-    for i, w in enumerate(words):
-        trie.insert(w, i, 1, hashlib.sha256(w).hexdigest())
-    assert trie.spilled
-    got = [(k, n.owner, n.rows, n.tag) for k, n in trie.items()]
-    want = defaultdict(list)
-    for i, w in enumerate(words):
+@pytest.mark.parametrize("seed", range(9))
+def test_trie_spills_and_keeps_every_string(seed):
+    """Random strings, one chain of extensions, and leads that lie under one another."""
+    r = random.Random(seed)
+    make = (lambda: bytes(r.choice(b"ab") for _ in range(r.randrange(40))), lambda: b"a" * r.randrange(200), lambda: b"abc" * r.randrange(9) + bytes(r.choice(b"abc") for _ in range(r.randrange(9))))[seed % 3]
+    keep = r.choice([max, min])
+    trie, want = exact_dedup.PatriciaTrie(keep, limit=10_000), defaultdict(list)
+    for _ in range(3000):
+        w, i = make(), r.choice([None, *range(50)])
         want[w].append(i)
-    assert sorted(got) == sorted((w, max(v), len(v), hashlib.sha256(w).hexdigest()) for w, v in want.items())
+        trie.insert(w, i, 1, 1, hashlib.sha256(w).hexdigest())
+    assert trie.spilled
+    got = [(k, n.owner, n.owners, n.rows, n.tag) for k, n in trie.items()]
+    owner = {w: keep((x for x in v if x is not None), default=None) for w, v in want.items()}
+    assert sorted(got) == sorted((w, owner[w], v.count(owner[w]), len(v), hashlib.sha256(w).hexdigest()) for w, v in want.items())
+
+
+def test_exact_dedup_with_nested_spills(spark):
+    """Many texts with common openings in tries of 20 kB; every text has one class."""
+    r = random.Random(1)
+    texts = ["".join(r.choice(["a", "ab", "abc"]) for _ in range(r.randrange(60))) for _ in range(1500)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    last = {t: i for i, t in enumerate(texts)}
+    got = [(x.doc_id, x.keep_id, x.group_size) for x in exact_dedup.exact_dedup(docs, memory=20_000).collect()]
+    assert sorted(got) == sorted((i, last[t], texts.count(t)) for i, t in enumerate(texts))
+
+
+def test_keep_first_copies_loses_no_text(spark):
+    rows = [(5, "A", 1, "x"), (7, "A", 2, "x"), (5, "B", 3, "x"), (8, "D", 4, "x"), (8, "D", 4, "x"), (8, "D", 5, "w"), (None, "E", 6, "x"), (None, "E", 6, "x"), (None, "A", 7, "x"), (9, None, 8, "x"), (3, "", 9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sha long, row string")
+    got = sorted((r.text or "", r.doc_id, r.sha) for r in exact_dedup.keep_first_copies(docs).collect())
+    assert got == [("", 9, 8), ("A", 7, 2), ("B", 5, 3), ("D", 8, 4), ("E", None, 6)]
+    assert exact_dedup.keep_first_copies(docs.limit(0)).count() == 0
 
 
 def test_exact_dedup_awkward(spark):
