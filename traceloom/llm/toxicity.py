@@ -28,7 +28,7 @@ LEXICON = ("airhead", "bastard", "bozo", "brainless", "clown", "coward", "creep"
 PATTERNS = ("two distinct hits", "three distinct hits", "five hits", "a hit in a hundred words", "two hits within ten words", "no hit")
 EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*%$#&+-_/\\~`^=@0123456789"
 STEMS = range(3, 9)
-SEEN_WORDS = 400_000
+SEEN_WORDS = 150_000
 
 
 @dataclass
@@ -97,17 +97,19 @@ def _apart(sample: DataFrame) -> DataFrame:
                 edges = np.searchsorted(at, w.first)
                 for r in range(w.hi - w.lo):
                     own = h[edges[r] : edges[r + 1]]
-                    keys[w.lo + r] = own.min().astype(np.int64) if len(own) else hash((b.column(0)[w.lo + r].as_py(), r))
+                    keys[w.lo + r] = own.min().astype(np.int64) if len(own) else b.column(0)[w.lo + r].as_py()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys)], ["doc_id", "text", "toxic", "key"])
 
-    return sample.mapInArrow(least, "doc_id long, text string, toxic int, key long").dropDuplicates(["key", "toxic"]).drop("key")
+    keyed = sample.mapInArrow(vec.tidy(least), "doc_id long, text string, toxic int, key long")
+    return keyed.groupBy("key", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("least")).select("least.doc_id", "least.text", "toxic")
 
 
-def _mine(sample: DataFrame, least: int, most: int) -> tuple[list[str], list[str]]:
-    """Words and stems that toxic sample rows hold and clean ones all but never do.
+def _mine(sample: DataFrame, least: int) -> tuple[list[str], list[str]]:
+    """All words and stems that toxic sample rows hold and clean ones all but never do.
 
     A stem must begin several different words, and adds nothing where a chosen
-    word or stem is in as many rows.
+    word or stem is in as many rows; nor does a word whose stem is chosen. What
+    is collected is bounded by the sample's toxic texts.
     """
 
     def count(batches):
@@ -130,16 +132,16 @@ def _mine(sample: DataFrame, least: int, most: int) -> tuple[list[str], list[str
                 yield pa.RecordBatch.from_arrays([pa.array(k, pa.string()), n if toxic else zero, zero if toxic else n, kinds], ["term", "pos", "neg", "forms"])
 
     schema = "term string, pos long, neg long, forms long"
-    terms = sample.select("text", "toxic").mapInArrow(count, schema).groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("forms").alias("forms"))
+    terms = sample.select("text", "toxic").mapInArrow(vec.tidy(count), schema).groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("forms").alias("forms"))
     strong = (F.col("pos") >= least) & (F.col("pos") >= 50 * F.col("neg")) & (~F.col("term").startswith("^") | (F.col("forms") >= 3))
     words: list[str] = []
     stems: dict[str, int] = {}
     rows: dict[str, int] = {}
-    for r in terms.where(strong).orderBy(F.desc("pos"), F.length("term"), "term").limit(20 * most).collect():
+    for r in terms.where(strong).orderBy(F.desc("pos"), F.length("term"), "term").collect():
         stem = r.term[1:] if r.term[0] == "^" else None
-        if len(words) + len(stems) >= most:
-            break
         if stem is None:
+            if any(r.term[:k] in stems for k in STEMS):
+                continue
             words.append(r.term)
             rows[r.term] = r.pos
         elif not any(stem[:k] in stems for k in STEMS) and not any(w.startswith(stem) and 10 * n >= 9 * r.pos for w, n in rows.items()):
@@ -186,14 +188,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000, max_mined: int = 160, threshold: float = 0.3) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000, threshold: float = 0.3) -> Model:
     """The model, from at most ``max_positive + max_negative`` labelled rows.
 
     Without labelled rows the lexicon votes alone and the label model starts
     from its votes.
     """
     sample = cut(_apart(_sample(docs, labels, max_positive, max_negative)))
-    words, stems = _mine(sample, 4, max_mined)
+    words, stems = _mine(sample, 4)
     names = list(dict.fromkeys([*LEXICON, *words]))
     of_word = {w: i for i, w in enumerate(names)}
     of_stem = {s: len(names) + i for i, s in enumerate(stems)}
@@ -207,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
                 kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], ["toxic", "voters", "patterns"])
 
-    rows = sample.select("text", F.col("toxic").cast("int")).mapInArrow(vote, "toxic int, voters array<int>, patterns array<int>").collect()  # bounded by the sample
+    rows = sample.select("text", F.col("toxic").cast("int")).mapInArrow(vec.tidy(vote), "toxic int, voters array<int>, patterns array<int>").collect()  # bounded by the sample
     votes, y = np.zeros((len(rows), k + len(PATTERNS))), np.zeros(len(rows))
     for i, (toxic, voters, patterns) in enumerate(rows):
         votes[i, voters] = 1
@@ -230,6 +232,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negati
     return Model(of_word, of_stem, w[:-1], float(w[-1] + shift), rates, near)
 
 
+def _scorer(model: Model, docs: DataFrame):
+    """A function for tasks: of texts, scores and the number of voters that vote."""
+    own = docs.sparkSession.sparkContext.broadcast((model.words, model.stems, model.weights, model.bias))
+
+    def start():
+        words, stems, weights, bias = own.value
+        v = Voter(words, stems)
+
+        def score(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            out, hits = np.empty(len(column)), np.empty(len(column), np.int32)
+            for lo in range(0, len(column), 256):
+                for i, text in enumerate(column.slice(lo, 256).to_pylist(), lo):
+                    voters, patterns = v.votes(text)
+                    out[i] = bias + weights[voters].sum() + weights[v.n :] @ patterns
+                    hits[i] = len(voters)
+            return 1 / (1 + np.exp(-np.clip(out, -30, 30))), hits
+
+        return score
+
+    return start
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, model: Model | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_hits) of every document.
 
@@ -239,28 +263,31 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     documents give no rows. Only doc_id and text, and of labels doc_id and
     toxic, are read.
     """
-    model = model or fit(docs, labels, threshold=threshold)
-    own = docs.sparkSession.sparkContext.broadcast((model.words, model.stems, model.weights, model.bias))
+    start = _scorer(model or fit(docs, labels, threshold=threshold), docs)
 
     def run(batches):
-        words, stems, weights, bias = own.value
-        v = Voter(words, stems)
+        scores = start()
         for b in batches:
-            out = np.empty(b.num_rows)
-            hits = np.empty(b.num_rows, np.int32)
-            for i, text in enumerate(b.column(1).to_pylist()):
-                voters, patterns = v.votes(text)
-                out[i] = bias + weights[voters].sum() + weights[v.n :] @ patterns
-                hits[i] = len(voters)
-            score = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+            score, hits = scores(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits)], ["doc_id", "score", "predicted", "n_hits"])
 
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int, n_hits int")
+    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(vec.tidy(run), "doc_id long, score double, predicted int, n_hits int")
     held = F.coalesce(F.expr("crc32(cast(cast(doc_id AS string) AS binary)) % 4 = 2"), F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "n_hits")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without documents predicted toxic; all columns stay."""
-    bad = cut(toxicity_scores(docs, labels, threshold).where("predicted = 1").select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(small_side(bad), docs["doc_id"] == F.col("__bad"), "left_anti")
+    """``docs`` without the rows whose text is predicted toxic; all columns stay.
+
+    Every row is judged by its own text and passed on or not where it is read,
+    so null and repeated doc_ids, and columns of any name, need no care. Null
+    and empty texts are never toxic by a vote. No rows give no rows.
+    """
+    start, text = _scorer(fit(docs, labels, threshold=threshold), docs), docs.columns.index("text")
+
+    def run(batches):
+        scores = start()
+        for b in batches:
+            yield b.filter(pa.array(scores(b.column(text))[0] < threshold))
+
+    return docs.mapInArrow(vec.tidy(run), docs.schema)
