@@ -10,7 +10,6 @@ slots, and pieces take slots by their rank in the class.
 
 from __future__ import annotations
 
-import json
 import zlib
 from bisect import bisect_right
 
@@ -20,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from traceloom.llm import vec
 from traceloom.session import cut, width
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-#: Words kept by a Python worker between tasks; beyond it the cache starts anew.
-CACHE_WORDS = 1_500_000
+#: Words kept by a Python worker between tasks. Beyond it they become the older half of the cache, from which
+#: a word that occurs again comes back without being coded anew.
+CACHE_WORDS = 160_000
 _coders: dict[str, "WordCoder"] = {}
 
 
@@ -32,60 +33,30 @@ class WordCoder:
     """Token ids of whole texts, coding each distinct word once.
 
     A text is cut at spaces and line feeds, across which the tokenizer neither
-    normalises nor merges. Latin-1 words are normalised and split here, as the
-    file's rules say, and coded by its own model; all else goes to the full
-    tokenizer.
+    normalises nor merges. Words that are not known go through the tokenizer as
+    one pre-split list, so that normalising, splitting and merging are its own.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        spec = json.loads(self.full.to_str())
-        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
-        pattern = next((s["pattern"]["Regex"] for s in steps if s["type"] == "Split"), None)
-        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        self.specials = [t["content"] for t in spec["added_tokens"]]
-        suffix = spec["model"].get("end_of_word_suffix")
-        self.plain = None
-        if pattern and kinds == ["NFC", "Replace", "Lowercase"] and suffix:
-            self.split = regex.compile(pattern).findall
-            ends = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
-            for token, i in spec["model"]["vocab"].items():
-                ends[i] = token.endswith(suffix)
-            self.ends = ends
-            self.plain = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": steps[-1]}))
-        self.known: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.known) > CACHE_WORDS:
-            self.known, self.parts = {"": b""}, {}
-        new = list({w for t in texts for w in t}.difference(self.known))
-        quick, slow = [], []
-        for w in new:
-            plain = self.plain is not None and (w.isascii() or max(w) < "Ā") and not any(s in w for s in self.specials)
-            (quick if plain else slow).append(w)
-        cut_up = [self.split(w.lower()) for w in quick] if quick else []
-        todo = list({p for c in cut_up for p in c}.difference(self.parts))
-        for i in range(0, len(todo), 2000):
-            some = todo[i : i + 2000]
-            ids = np.array(self.plain.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(some):  # a model whose words end otherwise
-                for p in some:
-                    self.parts[p] = np.array(self.full.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            raw, at = ids.tobytes(), 0
-            for p, stop in zip(some, (stops * 4).tolist()):
-                self.parts[p], at = raw[at:stop], stop
-        for w, c in zip(quick, cut_up):
-            self.known[w] = self.parts[c[0]] if len(c) == 1 else b"".join([self.parts[p] for p in c])
-        for i in range(0, len(slow), 500):
-            some = slow[i : i + 500]
-            for w, e in zip(some, self.full.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        new = {w for t in texts for w in t}.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        words = list(new - again)
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            coded = self.full.encode_batch([some], is_pretokenized=True, add_special_tokens=False)[0]
+            edges = (np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(some) + 1)) * 4).tolist()
+            raw = np.array(coded.ids, "<u4").tobytes()
+            self.known.update((w, raw[a:z]) for w, a, z in zip(some, edges, edges[1:]))
 
     def code(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -109,9 +80,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
         own = coder(tokenizer)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
-            for lo in range(0, len(ids), 256):
+            for lo in range(0, len(ids), 512):
                 out = []
-                for doc, raw in zip(ids[lo : lo + 256], own.code([t or "" for t in texts.slice(lo, 256).to_pylist()])):
+                for doc, raw in zip(ids[lo : lo + 512], own.code([t or "" for t in texts.slice(lo, 512).to_pylist()])):
                     raw += end
                     n = len(raw) // 4
                     for s in range(0, n, capacity):
@@ -119,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
                         out.append((doc, s, len(part) // 4, zlib.crc32(part), n))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(vec.tidy(run), PIECE_SCHEMA)
 
 
 def price(values: np.ndarray) -> tuple[float, np.ndarray]:
@@ -261,7 +232,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 8, e
     sizes = dealt.groupBy("class", "bucket").count()
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("class", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    own = Window.partitionBy("class", "bucket").orderBy("doc_id", "start")
+    own = Window.partitionBy("class", "bucket").orderBy("doc_id", "start", "length", "ids_crc32")
     ranked = dealt.withColumn("rank", F.row_number().over(own) - 1).join(sizes, ["class", "bucket"])
     put = ranked.withColumn("at", place("class", F.col("rank") + F.col("base"))).select(*cutting.columns, "at.sequence_id", "at.place")
     inside = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
