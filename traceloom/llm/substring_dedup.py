@@ -8,7 +8,8 @@ extended: the ``size``-word windows around them are compared across documents,
 and runs of them are the maximal exact repeats.
 
 Windows travel packed: one row carries a bucket's windows of many documents, as
-32 bits of hash and a 16-bit step each.
+32 bits of hash and a 16-bit step each. That is enough to find hits; the windows
+of ``size`` words around them are compared by 96 bits of two independent hashes.
 """
 
 from __future__ import annotations
@@ -21,23 +22,27 @@ from pyspark.sql import functions as F
 from traceloom.llm import vec
 from traceloom.session import cut, small_side, width
 
-PACKED = "bucket int, docs binary, counts binary, steps binary, hashes binary"
+PACKED = "bucket int, docs binary, counts binary, steps binary, hashes binary, proofs binary"
 SEGMENT = 1 << 16
 
 
 class Packer:
-    """Collects (document, position, hash) and emits them by bucket. A document longer than SEGMENT words is several."""
+    """Collects (document, position, hash, proof) and emits them by bucket. A document longer than SEGMENT words is several."""
 
-    def __init__(self, buckets: int, wide: bool, limit: int = 1 << 22):
+    def __init__(self, buckets: int, wide: bool, limit: int = 1 << 21):
         self.buckets, self.wide, self.limit = buckets, wide, limit
-        self.docs, self.rows, self.at, self.hashes, self.held = [], [], [], [], 0
+        self._begin()
 
-    def add(self, docs: np.ndarray, row: np.ndarray, at: np.ndarray, h: np.ndarray) -> None:
-        """``row`` points into ``docs``; rows ascend and positions ascend within a row."""
+    def _begin(self) -> None:
+        self.docs, self.rows, self.at, self.hashes, self.proofs, self.held = [], [], [], [], [], 0
+
+    def add(self, docs: np.ndarray, row: np.ndarray, at: np.ndarray, h: np.ndarray, proof: np.ndarray | None = None) -> None:
+        """``row`` points into ``docs``; rows ascend and positions ascend within a row. Wide windows have a proof."""
         self.rows.append(row + sum(map(len, self.docs)))
         self.docs.append(docs)
         self.at.append(at)
         self.hashes.append(h)
+        self.proofs.append(np.zeros(0, "<u4") if proof is None else (proof >> np.uint64(32)).astype("<u4"))
         self.held += len(h)
 
     def full(self) -> bool:
@@ -46,8 +51,8 @@ class Packer:
     def emit(self):
         if not self.held:
             return
-        docs, row, at, h = (np.concatenate(x) for x in (self.docs, self.rows, self.at, self.hashes))
-        self.docs, self.rows, self.at, self.hashes, self.held = [], [], [], [], 0
+        docs, row, at, h, proof = (np.concatenate(x) for x in (self.docs, self.rows, self.at, self.hashes, self.proofs))
+        self._begin()
         seg, at = at // SEGMENT, at % SEGMENT
         to = ((h & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)).astype(np.int64)
         by = np.argsort(to, kind="stable")
@@ -65,26 +70,24 @@ class Packer:
             table = np.stack([docs[row[own][first]], seg[own][first]])
             value = h[own] if self.wide else (h[own] >> np.uint64(32)).astype("<u4")
             counts = np.diff(np.append(first, len(own)))
-            out.append((k, table.tobytes(), counts.astype("<u4").tobytes(), step.astype("<u2").tobytes(), value.tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 4)], ["bucket", "docs", "counts", "steps", "hashes"])
-
-
-def unpack(batches, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents, positions and hashes of a task's rows."""
-    docs, ats, hs = [], [], []
-    for b in batches:
-        for d, c, s, h in zip(*(x.to_pylist() for x in b.columns[1:])):
-            table, counts = np.frombuffer(d, np.int64).reshape(2, -1), np.frombuffer(c, "<u4").astype(np.int64)
-            step = np.frombuffer(s, "<u2").astype(np.int64)
-            run = np.cumsum(step)
-            first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-            at = run - np.repeat(run[first] - step[first], counts)
-            docs.append(np.repeat(table[0], counts))
-            ats.append(at + np.repeat(table[1] * SEGMENT, counts))
-            hs.append(np.frombuffer(h, np.uint64 if wide else "<u4"))
-    if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(docs), np.concatenate(ats), np.concatenate(hs)
+            out.append((k, table.tobytes(), counts.astype("<u4").tobytes(), step.astype("<u2").tobytes(), value.tobytes(), proof[own].tobytes() if self.wide else b""))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 5)], ["bucket", "docs", "counts", "steps", "hashes", "proofs"])
+
+
+def unpack(batches, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, positions, hashes and proofs of a task's rows."""
+    docs, ats, hs, proofs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64 if wide else "<u4")], [np.zeros(0, "<u4")]
+    for _, d, c, s, h, p in vec.rows(batches):
+        table, counts = np.frombuffer(d, np.int64).reshape(2, -1), np.frombuffer(c, "<u4").astype(np.int64)
+        step = np.frombuffer(s, "<u2").astype(np.int64)
+        run = np.cumsum(step)
+        first = np.concatenate(([0], np.cumsum(counts)[:-1]))
+        at = run - np.repeat(run[first] - step[first], counts)
+        docs.append(np.repeat(table[0], counts))
+        ats.append(at + np.repeat(table[1] * SEGMENT, counts))
+        hs.append(np.frombuffer(h, np.uint64 if wide else "<u4"))
+        proofs.append(np.frombuffer(p, "<u4"))
+    return np.concatenate(docs), np.concatenate(ats), np.concatenate(hs), np.concatenate(proofs)
 
 
 SHARDED = "shard int, docs binary, counts binary, at binary"
@@ -124,7 +127,7 @@ def _by_document(sharded: DataFrame) -> DataFrame:
             some = edges[lo : lo + rows + 1]
             yield pa.RecordBatch.from_arrays([pa.array(doc[some[:-1]]), pa.array([at[x:z].tobytes() for x, z in zip(some, some[1:])], pa.binary())], ["doc_id", "at"])
 
-    return sharded.repartition(width(sharded.sparkSession), "shard").mapInArrow(run, "doc_id long, at binary")
+    return sharded.repartition(width(sharded.sparkSession), "shard").mapInArrow(vec.tidy(run), "doc_id long, at binary")
 
 
 def _positions(packed: bytes) -> np.ndarray:
@@ -144,7 +147,7 @@ def _probe(docs: DataFrame, block: int, buckets: int) -> DataFrame:
                     yield from pack.emit()
         yield from pack.emit()
 
-    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+    return docs.select("doc_id", "text").mapInArrow(vec.tidy(run), PACKED)
 
 
 def _hits(packed: DataFrame, block: int) -> DataFrame:
@@ -152,7 +155,7 @@ def _hits(packed: DataFrame, block: int) -> DataFrame:
     shards = 4 * width(packed.sparkSession)
 
     def run(batches):
-        doc, at, h = unpack(batches, wide=False)
+        doc, at, h, _ = unpack(batches, wide=False)
         if not len(h):
             return
         by = np.argsort(h, kind="stable")
@@ -165,7 +168,7 @@ def _hits(packed: DataFrame, block: int) -> DataFrame:
         take = (doc > low[group]) | (indexed & (doc < high[group]))
         yield from _to_shards(doc[take], at[take], shards)
 
-    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, SHARDED))
+    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(vec.tidy(run), SHARDED))
 
 
 def _extend(texts: DataFrame, size: int, block: int, buckets: int) -> DataFrame:
@@ -177,8 +180,9 @@ def _extend(texts: DataFrame, size: int, block: int, buckets: int) -> DataFrame:
             ids, hits = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_pylist()
             for w in vec.words(b.column(1)):
                 i, h = vec.windows(w, size)
+                _, proof = vec.windows(w, size, vec.OTHER)
                 edges = np.searchsorted(i, w.first)
-                rows, ats, hs = [], [], []
+                rows, ats, hs, proofs = [], [], [], []
                 for r in range(w.hi - w.lo):
                     n = int(edges[r + 1] - edges[r])
                     if not n:
@@ -192,13 +196,14 @@ def _extend(texts: DataFrame, size: int, block: int, buckets: int) -> DataFrame:
                     rows.append(np.full(len(own), r))
                     ats.append(own)
                     hs.append(h[edges[r] + own])
+                    proofs.append(proof[edges[r] + own])
                 if rows:
-                    pack.add(ids[w.lo : w.hi], np.concatenate(rows), np.concatenate(ats), np.concatenate(hs))
+                    pack.add(ids[w.lo : w.hi], *(np.concatenate(x) for x in (rows, ats, hs, proofs)))
                 if pack.full():
                     yield from pack.emit()
         yield from pack.emit()
 
-    return texts.mapInArrow(run, PACKED)
+    return texts.mapInArrow(vec.tidy(run), PACKED)
 
 
 def _repeats(packed: DataFrame) -> DataFrame:
@@ -206,16 +211,16 @@ def _repeats(packed: DataFrame) -> DataFrame:
     shards = 4 * width(packed.sparkSession)
 
     def run(batches):
-        doc, at, h = unpack(batches, wide=True)
+        doc, at, h, proof = unpack(batches, wide=True)
         if not len(h):
             return
-        by = np.argsort(h, kind="stable")
-        doc, at, h = doc[by], at[by], h[by]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        by = np.lexsort((proof, h))
+        doc, at, h, proof = doc[by], at[by], h[by], proof[by]
+        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (proof[1:] != proof[:-1]))))
         low = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(h))))
         yield from _to_shards(doc[doc > low], at[doc > low], shards)
 
-    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(run, SHARDED))
+    return _by_document(packed.repartition(width(packed.sparkSession), "bucket").mapInArrow(vec.tidy(run), SHARDED))
 
 
 def repeated_windows(docs: DataFrame, size: int = 50) -> DataFrame:
@@ -265,7 +270,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
                     kept.append(b" ".join(body if stay.all() else [x for x, s in zip(body, stay.tolist()) if s]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    out = hit.union(clean).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
+    out = hit.union(clean).mapInArrow(vec.tidy(run), "doc_id long, n_words long, n_removed long, kept binary")
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept"))
 
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+OTHER = 0xD6E8FEB86659FD93
 INVERSE = pow(BASE, -1, 1 << 64)
 CHUNK = 1 << 19
 SPACE = np.zeros(256, bool)
@@ -135,14 +136,14 @@ def _split(part: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, edges).astype(np.int64), h
 
 
-def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position among the chunk's words, hash) of every window of ``size`` words inside one row."""
+def windows(w: Words, size: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+    """(position among the chunk's words, hash) of every window of ``size`` words inside one row. Another odd ``base`` gives another hash."""
     n = len(w.hashes)
     if n < size:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(w.hashes * powers(BASE, n), out=sums[1:])
-    h = mix((sums[size:] - sums[:-size]) * powers(INVERSE, n)[: n - size + 1] + np.uint64(size))
+    np.cumsum(w.hashes * powers(base, n), out=sums[1:])
+    h = mix((sums[size:] - sums[:-size]) * powers(pow(base, -1, 1 << 64), n)[: n - size + 1] + np.uint64(size))
     row = np.repeat(np.arange(len(w.first) - 1), w.counts())
     at = np.flatnonzero(row[: n - size + 1] == row[size - 1 :])
     return at, h[at]
