@@ -166,6 +166,18 @@ def test_urls_awkward(spark):
     assert got[1] == ("www.example.com", "/en/x", "www.example.com/en/", "allow") and got[12][:3] == ("com", "", None) and got[10][:3] == ("", "", None)
 
 
+def test_urls_with_a_vocabulary_from_a_table(spark):
+    terms = spark.createDataFrame([("Bad", 1.0), ("mild", 0.4), ("MEEK", 0.6), ("soft", 0.3), (None, 1.0), ("", 1.0), ("mild", 0.1)], "term string, weight double")
+    words = url_filter.read_vocabulary(terms)
+    assert words == {"bad": 1.0, "mild": 0.4, "meek": 0.6, "soft": 0.3}
+    with pytest.raises(ValueError):
+        url_filter.read_vocabulary(terms, 2)
+    urls = ["http://a.org/bad", "http://a.org/mild-soft", "http://a.org/mild-meek", "http://a.org/mild-mild-mild", "http://a.org/" + "x/" * 60_000 + "bad", "http://a.org/bad"]
+    pages = spark.createDataFrame([(i, u, 1, 2) for i, u in enumerate(urls)], "page_id long, url string, hits long, host long")
+    assert [r.verdict for r in url_filter.judge_urls(pages, vocabulary=words).orderBy("page_id").collect()] == ["block", "allow", "block", "allow", "block", "block"]
+    assert url_filter.judge_urls(pages.limit(0)).count() == 0 and url_filter.judge_urls(pages, vocabulary={}).where("verdict = 'block'").count() == 0
+
+
 # op5
 
 
