@@ -41,9 +41,13 @@ def _hits(docs: DataFrame, benchmark: DataFrame, size: int, max_broadcast: int)
     if not sizes:
         return None
     one = docs.select("doc_id", F.xxhash64("text").alias("body"), F.transform(normal_words("text"), lambda x: F.xxhash64(x)).alias("h"))
-    probes = [F.expr(f"transform(slice(sequence(0, size(h)), 2, greatest(size(h) - {n - 1}, 0)), i -> struct(i AS at, {n} AS n, xxhash64(slice(h, i, {n})) AS key))") for n in sizes]
-    keys = one.select("doc_id", "body", "h", F.explode(F.concat(*probes)).alias("p")).select("doc_id", "body", "h", "p.at", "p.n", "p.key")
-    proof = F.expr("xxhash64(1, slice(h, at, n))")
+    words = lambda n, i: ", ".join(f"get(h, {i} + {k})" for k in range(n))  # noqa: E731  no slices: each would copy its whole array
+    probes = [F.struct(F.lit(n).alias("n"), F.expr(f"transform(h, (x, i) -> xxhash64({words(n, 'i')}))").alias("keys")) for n in sizes]
+    keys = one.withColumn("p", F.explode(F.array(*probes))).select("doc_id", "body", "h", "p.n", F.posexplode("p.keys").alias("at", "key"))
+    keys = keys.where(F.col("at") + F.col("n") <= F.size("h"))
+    proof = F.lit(None).cast("long")
+    for n in sizes:
+        proof = F.when(F.col("n") == n, F.expr(f"xxhash64(1, {words(n, 'at')})")).otherwise(proof)
     few = grams.withColumnRenamed("proof", "wanted")
     if few.limit(max_broadcast + 1).count() <= max_broadcast:
         few = F.broadcast(few)
