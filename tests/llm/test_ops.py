@@ -331,6 +331,16 @@ def test_jaccard_join_at_the_threshold(spark):
     assert got == brute_components(docs)
 
 
+def test_hot_tokens_are_met_in_blocks(spark):
+    """The pairs of the matrix do not depend on the size of its blocks."""
+    r = np.random.default_rng(8)
+    rows = [(i, int(r.integers(90, 130)), 1000 + i % 7 if i % 3 else i, int(i % 7 + 2) if i % 3 else 1, 2000 + i % 11 if i % 3 else i, np.unique(r.integers(0, 12, 6)).astype(np.uint64).tobytes()) for i in range(300)]
+    reps = spark.createDataFrame(rows, "doc_id long, n long, gid long, gsize long, host long, prefix binary").repartition(5)
+    whole = {tuple(x) for x in jaccard_join._matrix(reps, 80, 0).collect()}
+    cut_up = jaccard_join._matrix(reps, 80, 0, block=16).collect()
+    assert whole and len(cut_up) == len(whole) and {tuple(x) for x in cut_up} == whole
+
+
 def test_jaccard_join_awkward(spark):
     docs = [(i, t) for i, t in dict.fromkeys(AWKWARD) if i is not None]
     rows = jaccard_join.jaccard_components(awkward(spark)).collect()
@@ -345,6 +355,10 @@ def test_jaccard_join_awkward(spark):
 
 def test_decontamination_awkward(spark):
     bench = spark.createDataFrame([(1, PASSAGE), (2, "One!"), (3, None), (4, "--"), (10, "a B, c")], "item_id long, text string")
+    named = awkward(spark).withColumnRenamed("component", "__bad").withColumnRenamed("keep_id", "body")
+    kept = decontaminate.drop_contaminated(named, bench)
+    assert kept.columns == named.columns and sorted((x.doc_id or 0, x.text) for x in kept.where("length(text) < 60").collect()) == [(2, ""), (3, "   \n\t"), (8, AWKWARD[10][1])]
+    assert {x.doc_id for x in kept.where("text IS NULL OR length(text) > 1000").collect()} == {None, 1, 6, 7}
     got = defaultdict(list)
     for r in decontaminate.contamination(awkward(spark), bench).collect():
         got[r.doc_id].append((r.n_words, r.n_hit, r.n_items, r.contaminated, r.items_sha256))

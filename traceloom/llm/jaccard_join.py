@@ -19,6 +19,8 @@ Tokens are 64-bit hashes of word shingles.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -164,7 +166,8 @@ def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
         for h, role, doc, gid, raw in vec.rows(batches):
             if h != host:
                 if out:
-                    yield _pairs(out)
+                    yield _pairs(np.array(sorted(out), np.int64))
+                    out.clear()
                 host, ids, inside, union = h, [], [], None
             t = np.frombuffer(raw, np.uint64)
             if role == 0:
@@ -186,13 +189,13 @@ def _verify(asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int,
                     out.add((doc, other))
                     joined.add(of)  # one link joins the query to all of that component
         if out:
-            yield _pairs(out)
+            yield _pairs(np.array(sorted(out), np.int64))
 
     return rows.repartition(width(spark), "host").sortWithinPartitions("host", "role").mapInArrow(vec.tidy(run), "query long, host long").toDF("src", "dst")
 
 
-def _cross(a: np.ndarray, b: np.ndarray, percent: int) -> set[tuple[int, int]]:
-    """(query, host) of documents of ``a`` that ask hosts of ``b``.
+def _cross(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Rows (query, host) of documents of ``a`` that ask hosts of ``b``.
 
     Columns are documents that hold one token; rows are doc, n, gid, gsize, host
     and early. A document asks the hosts of larger groups, so a large group is
@@ -205,7 +208,7 @@ def _cross(a: np.ndarray, b: np.ndarray, percent: int) -> set[tuple[int, int]]:
     low, high = np.minimum.reduceat(doc_n, first), np.maximum.reduceat(doc_n, first)
     early = np.maximum.reduceat(b[5][by], first)
     gid, size, host = gid[first], size[first], host[first]
-    found: set[tuple[int, int]] = set()
+    found = [np.zeros((0, 2), np.int64)]
     own = a[:, np.lexsort((a[2], a[3]))]
     for lo in range(0, own.shape[1], 512):
         doc, n, g, k, _, soon = (x[:, None] for x in own[:, lo : lo + 512])
@@ -216,19 +219,30 @@ def _cross(a: np.ndarray, b: np.ndarray, percent: int) -> set[tuple[int, int]]:
         asks &= (100 * high[at:] >= percent * n) & (percent * low[at:] <= 100 * n)
         asks &= (soon > 0) & (n <= high[at:]) | (early[at:] > 0) & (low[at:] <= n)
         x, y = np.nonzero(asks)
-        found.update(zip(doc[x, 0].tolist(), host[at + y].tolist()))
-    return found
+        found.append(np.stack([doc[x, 0], host[at + y]], 1))
+    return np.concatenate(found)
+
+
+MET = "query long, hosts binary, token long, block int, blocks int, docs binary"
 
 
-MET = "query long, host long, token long, block int, blocks int, docs binary"
+def _packed(pairs: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    """One (query, hosts) for each query of the pairs."""
+    both = np.unique(np.concatenate(pairs), axis=0)
+    pairs.clear()
+    if not len(both):
+        return []
+    edges = np.flatnonzero(np.concatenate(([True], both[1:, 0] != both[:-1, 0], [True]))).tolist()
+    hosts = np.ascontiguousarray(both[:, 1])
+    return [(int(both[a, 0]), hosts[a:z].tobytes()) for a, z in zip(edges, edges[1:])]
 
 
-def _met(found: set, blocks: list[tuple] = ()) -> pa.RecordBatch:
-    """Pairs, and blocks of documents whose pairs are still to be found."""
-    pairs = [(q, h, None, None, None, None) for q, h in found]
-    found.clear()
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pairs, *((None, None, *x) for x in blocks)), kinds)], ["query", "host", "token", "block", "blocks", "docs"])
+def _met(pairs: list[np.ndarray], blocks: list[tuple] = ()) -> Iterator[pa.RecordBatch]:
+    """Packed pairs, and blocks of documents whose pairs are still to be found."""
+    rows = [(*x, None, None, None, None) for x in (_packed(pairs) if pairs else [])] + [(None, None, *x) for x in blocks]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["query", "hosts", "token", "block", "blocks", "docs"])
 
 
 def _matrix(reps: DataFrame, percent: int, total: int, flush: int = 10_000, block: int = 4096) -> DataFrame:
@@ -302,45 +316,61 @@ def _matrix(reps: DataFrame, percent: int, total: int, flush: int = 10_000, bloc
         gid = doc[2][row]
         low, high = np.minimum.reduceat(gid, edge[:-1]), np.maximum.reduceat(gid, edge[:-1])
         mixed = low != high
-        found: set[tuple[int, int]] = set()
+        found, held = [], 0
         for a, z in zip(edge[:-1][mixed].tolist(), edge[1:][mixed].tolist()):
             some = np.concatenate([doc[:, row[a:z]], (tok[a:z] & 1).astype(np.int64)[None]])
             if z - a <= block:
-                found |= _cross(some, some, percent)
+                found.append(_cross(some, some, percent))
+                held += len(found[-1])
             else:
                 parts = np.array_split(some, -(-(z - a) // block), 1)
                 name = int(tok[a] >> 1) * buckets + bucket  # of the token; a bucket's tokens are told apart by 31 bits
                 for i, part in enumerate(parts):
-                    yield _met(set(), [(name, i, len(parts), np.ascontiguousarray(part).tobytes())])
-            if len(found) > 50_000:
-                yield _met(found)
-        if found:
-            yield _met(found)
+                    yield from _met([], [(name, i, len(parts), np.ascontiguousarray(part).tobytes())])
+            if held > 200_000:
+                yield from _met(found)
+                held = 0
+        yield from _met(found)
 
     def meet_blocks(batches):
         cell, first = None, None
         for x, y, token, docs in vec.rows(batches):
             now = np.frombuffer(docs, np.int64).reshape(6, -1)
             if x == y:
-                found = _cross(now, now, percent)
+                yield from _met([_cross(now, now, percent)])
             elif cell != (token, x, y):
                 cell, first = (token, x, y), now
-                continue
             else:
-                found = _cross(first, now, percent) | _cross(now, first, percent)
-            if found:
-                yield _pairs(found)
+                yield from _met([_cross(first, now, percent), _cross(now, first, percent)])
+
+    def merge(batches):
+        """Each pair once; the rows of a query follow one another."""
+        now, own, out, held = None, [], [], 0
+        for query, hosts in vec.rows(batches):
+            if query != now and own:
+                out.append(np.stack(np.broadcast_arrays(np.int64(now), np.unique(np.concatenate(own))), 1))
+                held, own = held + len(out[-1]), []
+                if held > 50_000:
+                    yield _pairs(np.concatenate(out))
+                    out, held = [], 0
+            now = query
+            own.append(np.frombuffer(hosts, np.int64))
+        if own:
+            out.append(np.stack(np.broadcast_arrays(np.int64(now), np.unique(np.concatenate(own))), 1))
+        if out:
+            yield _pairs(np.concatenate(out))
 
+    parts = width(reps.sparkSession)
     packed = reps.select("doc_id", "n", "gid", "gsize", "host", "prefix").mapInArrow(vec.tidy(deal), "bucket int, docs binary, counts binary, tokens binary")
-    met = cut(packed.repartition(width(reps.sparkSession), "bucket").sortWithinPartitions("bucket").mapInArrow(vec.tidy(meet), MET))
-    pairs = met.where("docs IS NULL").select("query", "host")
+    met = cut(packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(vec.tidy(meet), MET))
+    pairs = met.where("docs IS NULL").select("query", "hosts")
     hot = met.where("docs IS NOT NULL")
     if not hot.isEmpty():
         cells = hot.select("token", "block", "docs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         cells = cells.select(F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "token", "docs")
-        cells = cells.repartition(width(reps.sparkSession), "token", "x", "y").sortWithinPartitions("token", "x", "y")
-        pairs = pairs.union(cells.mapInArrow(vec.tidy(meet_blocks), "query long, host long"))
-    return pairs.distinct()
+        cells = cells.repartition(parts, "token", "x", "y").sortWithinPartitions("token", "x", "y")
+        pairs = pairs.union(cells.mapInArrow(vec.tidy(meet_blocks), MET).select("query", "hosts"))
+    return pairs.repartition(parts, "query").sortWithinPartitions("query").mapInArrow(vec.tidy(merge), "query long, host long")
 
 
 def _bits(spark, total: int, most: int) -> int:
@@ -349,10 +379,8 @@ def _bits(spark, total: int, most: int) -> int:
     return max(12, min(most, int(np.log2(part / 4)), int(np.ceil(np.log2(total / 64 + 1)))))
 
 
-def _pairs(found: set) -> pa.RecordBatch:
-    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["query", "host"])
-    found.clear()
-    return batch
+def _pairs(found: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["query", "host"])
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, shard: int = 64, max_bits: int = 25, orders: int = 4) -> DataFrame:
