@@ -6,6 +6,8 @@ from collections import defaultdict
 import pytest
 
 import compare
+from traceloom.functions import scalar
+from traceloom.operators import graph, records, scoring
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -35,10 +37,19 @@ def test_route_catalog_tells_routes_with_one_beginning_apart(spark, small):
     assert max(route.count(">") for route in got) > 3
 
 
-def test_entry_imports_without_the_optional_folders():
-    import __spark_entry__ as entry
+def test_entry_imports_without_the_optional_folders(tmp_path):
+    """In a copy without the subpackage and the pipeline, the other queries are still there."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
 
-    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    root = Path(__file__).resolve().parents[1]
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    shutil.copytree(root / "traceloom", tmp_path / "traceloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
 
 
 def _lcs(a, b):
@@ -116,3 +127,81 @@ def test_readers_and_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         files.append_new(spark.createDataFrame([(2, "c")], one.schema), str(tmp_path / "t"), "id")
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def _call(tool, args, round=1):
+    return {"tool": tool, "args": args, "round": round}
+
+
+def test_segments_are_compared():
+    a, b, c = _call("find", '{"x": 1}'), _call("find", '{"x": 2}', 2), _call("book", '{"n": true}', 2)
+    run = lambda want, got: scoring.compare(want, got, [x["round"] for x in want], [x["round"] for x in got])
+    assert run([a, b, c], [a, b, c]) == (3, 0, True, ["correct"] * 3)
+    assert run([a, b, c], [a, {**b, "round": 1}, c]) == (3, 0, False, ["correct"] * 3)
+    assert run([a, b], [b, a]) == (1, 0, False, ["out_of_order", "correct"])
+    assert run([c], [_call("book", '{"n": 1}')]) == (0, 0, False, ["wrong_args:n"])  # a boolean is no number
+    assert run([a], [_call("find", '{"x": 1.0}')]) == (1, 0, True, ["correct"])
+    assert run([a], [_call("find", "[1]")]) == (0, 0, False, ["unparseable_args"])
+    assert run([a], []) == (0, 0, False, ["missing"]) and run([], [a]) == (0, 1, False, ["extra_call"]) and run([], []) == (0, 0, True, [])
+
+
+def test_segment_match_of_whole_table(spark, small):
+    calls = defaultdict(lambda: defaultdict(list))
+    for r in table(spark, small, "events").orderBy("ts", "event_id").collect():
+        calls[r.user_id][r.ts.date()].append(_call(r.event_type, r.props, r.ts.hour))
+    got = {r.user_id: r for r in QUERIES["segment_match"](spark, small).collect()}
+    assert set(got) == set(calls)
+    for user, days in calls.items():
+        want, made, r = days[min(days)], days[max(days)], got[user]
+        same = [f"{c['tool']}{json.loads(c['args'])}" for c in want], [f"{c['tool']}{json.loads(c['args'])}" for c in made]
+        assert r.correct == _lcs(*same) and len(r.reasons) == len(want) + r.extra and r.reasons.count("correct") == r.correct
+
+
+def test_call_parsers():
+    tag = lambda body: f"<tool_call>{body}</tool_call>"
+    one = "<function=f><parameter=a>\n1\n</parameter></function>"
+    assert scoring.tagged_calls(tag(one)) == ([{"tool": "f", "args": '{"a": "1"}'}], False)
+    assert scoring.tagged_calls("plain") == ([], False) and scoring.tagged_calls(None) == ([], False)
+    for text in (tag(one + one), tag("nothing"), tag(one + "rest"), tag(one) + "< tool_call", tag("<function=f><parameter=a>1</parameter><parameter=a>2</parameter></function>")):
+        assert scoring.tagged_calls(text)[1]
+    line = lambda body: f"<think>hm</think><|tool_call_start|>{body}<|tool_call_end|>"
+    assert scoring.bracketed_calls(line("[f(a=1, b='x'), g()]")) == ([{"tool": "f", "args": '{"a": 1, "b": "x"}'}, {"tool": "g", "args": "{}"}], False)
+    for body in ("[f(1)]", "[f(a=1, a=2)]", "f(", "[]", "1", "[f(a=open('x'))]", "[f(**x)]"):
+        assert scoring.bracketed_calls(line(body)) == ([], True)
+    assert scoring.bracketed_calls(line("[f()]") + " and prose")[1] and scoring.bracketed_calls(line("f()") * 2) == ([], True)
+
+
+def test_json_forms(spark):
+    rows = ['{"b": 1, "a": [true, null]}', '{"e\u0301": 1, "\u00e9": 2}', "{1}", None, "[1.5, NaN]", '"x"']
+    frame = spark.createDataFrame([(x,) for x in rows], "j string")
+    got = [tuple(r) for r in frame.select(scalar.canonical_json("j"), scalar.loose_json("j")).collect()]
+    assert got == [('{"a":[true,null],"b":1}', '{"a": [true, null], "b": 1}'), (None, '{"e\u0301": 1, "\u00e9": 2}'), (None, None), (None, None), (None, "[1.5, NaN]"), ('"x"', '"x"')]
+    assert scalar.same_json([1, {"a": 2.0}], [1.0, {"a": 2}]) and not scalar.same_json([1], [True]) and not scalar.same_json(1, 1.0, False)
+
+
+def test_joins_of_hot_and_other_keys_agree(spark):
+    from traceloom.session import lookup, skew_join
+
+    left = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(300)] + [(None, 1), (99, 2)], "k int, v int")
+    right = left.where("k < 50").groupBy("k").count()
+    for how in ("inner", "left"):
+        want = sorted(map(repr, left.join(right, "k", how).collect()))
+        assert sorted(map(repr, skew_join(left, right, ["k"], "count", how, top=2).collect())) == want
+        assert sorted(map(repr, lookup(left, right, ["k"], "count", how, max_rows=1).collect())) == want
+
+
+def test_graphs_without_a_cap(spark):
+    chain = spark.createDataFrame([(i, f"n{i}", f"n{i + 1}") for i in range(14)], "edge_id int, a string, b string")
+    assert [r.steps for r in graph.routes(chain, "n0", ("n14",)).collect()] == [14]
+    assert graph.reachable(chain, "n0").count() == 15
+    with pytest.raises(ValueError):
+        graph.routes(chain, "n0", ("n14",), max_edges=5)
+
+
+def test_records_on_empty_and_null_rows(spark):
+    empty = spark.createDataFrame([], "key string, n long, part int, ok boolean")
+    assert records.largest_remainder(empty, "key", "n", 5).count() == 0
+    assert [r.state for r in records.pending(spark.createDataFrame([("a",)], "key string"), empty, "key").collect()] == ["pending"]
+    assert records.complete_partition(empty, "part", empty, "key").count() == 0
+    rows = spark.createDataFrame([(None, None), ("a", None), ("a", 5.0), ("b", None)], "g string, price double")
+    assert sorted(map(str, (tuple(r) for r in records.within_budget(rows, "g", "price", 1.0).collect()))) == ["('a', None)", "('b', None)", "(None, None)"]

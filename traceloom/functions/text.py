@@ -98,6 +98,9 @@ def fenced_json(column: str) -> Column:
 
 
 def gated_credit(correct: Column, required: Column, extra: Column, w_call: float = 0.8, w_clean: float = 0.2, w_extra: float = 0.1) -> Column:
-    """Weighted share of required calls, less a penalty for extra ones, within 0 and 1; silence is right where none is required."""
-    scored = w_call * correct / required + F.when(extra == 0, w_clean).otherwise(0.0) - w_extra * extra
+    """Weighted share of required calls, a bonus if all are right and none is extra, less a penalty for extra ones, within 0 and 1.
+
+    Where none is required silence gets full marks.
+    """
+    scored = w_call * correct / required + F.when((correct == required) & (extra == 0), w_clean).otherwise(0.0) - w_extra * extra
     return F.when(required == 0, F.when(extra == 0, 1.0).otherwise(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), scored)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,15 +45,20 @@ def _is_star_forest(pairs: DataFrame) -> bool:
     return roles.where("up > 1 OR up > 0 AND down > 0").isEmpty()
 
 
-def routes(edges: DataFrame, start: str, terminals: tuple[str, ...], max_steps: int = 12) -> DataFrame:
+def routes(edges: DataFrame, start: str, terminals: tuple[str, ...], max_edges: int = 10_000) -> DataFrame:
     """All edge-simple paths from ``start`` to a terminal over (edge_id, a, b): a frontier of paths, one join a step.
 
-    For workflow graphs, whose size does not grow with the data.
+    For workflow graphs, whose size does not grow with the data: more than
+    ``max_edges`` edges are an error. Ends when no path can go on, which is at
+    the latest after as many steps as there are edges.
     """
+    n = edges.limit(max_edges + 1).count()
+    if n > max_edges:
+        raise ValueError(f"a workflow of more than {max_edges} edges")
     e = F.broadcast(edges.select("edge_id", "a", "b"))
     front = edges.sparkSession.createDataFrame([(start, [])], "node string, path array<int>")
     done = front.where("false")
-    for _ in range(max_steps):
+    for _ in range(n):
         front = front.join(e, F.col("node") == F.col("a")).where(~F.array_contains("path", F.col("edge_id")))
         front = cut(front.select(F.col("b").alias("node"), F.concat("path", F.array("edge_id")).alias("path")))
         done = done.union(front.where(F.col("node").isin(*terminals)))
@@ -60,11 +67,11 @@ def routes(edges: DataFrame, start: str, terminals: tuple[str, ...], max_steps:
     return done.select("node", F.size("path").alias("steps"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("route"))
 
 
-def reachable(edges: DataFrame, start: str, max_steps: int = 50) -> DataFrame:
-    """Nodes reached from ``start`` and the least number of steps to each."""
+def reachable(edges: DataFrame, start: str) -> DataFrame:
+    """Nodes reached from ``start`` and the least number of steps to each; ends when a step reaches no new node."""
     seen = edges.sparkSession.createDataFrame([(start, 0)], "node string, steps int")
     front = seen
-    for step in range(1, max_steps + 1):
+    for step in count(1):
         front = cut(front.join(edges, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(step)))
         if front.isEmpty():
             break

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,13 +17,38 @@ def vector_topk(vectors: DataFrame, query_ids: tuple[int, ...], k: int = 10) ->
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def vector_topk_of(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
-    """As ``vector_topk``, for every vector with ``is_query``; Spark keeps ``k`` of each query and partition before the shuffle."""
-    q = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    dot = F.expr("aggregate(zip_with(q, embedding, (a, b) -> cast(a AS double) * b), 0D, (s, x) -> s + x)")
-    scored = vectors.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot, 4).alias("score"))
+def vector_topk_of(vectors: DataFrame, is_query: Column, k: int = 10, block: int = 1024) -> DataFrame:
+    """As ``vector_topk``, for every vector with ``is_query``: blocks of queries are scored against blocks of vectors.
+
+    A pair of blocks gives the ``k`` best of each of its queries, by score to
+    four places and then id; the last window ranks these. Vectors without an
+    embedding are left out; all others have one length.
+    """
+
+    def pack(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, block):
+                ids, data = b.column(0).slice(lo, block), b.column(1).slice(lo, block).flatten()
+                yield pa.RecordBatch.from_arrays([pa.array([np.asarray(ids).astype("<i8").tobytes()]), pa.array([np.asarray(data).astype("<f4").tobytes()])], ["ids", "data"])
+
+    def score(batches):
+        for b in batches:
+            for q, x, ids, data in zip(*(c.to_pylist() for c in b.columns)):
+                q, ids = np.frombuffer(q, "<i8"), np.frombuffer(ids, "<i8")
+                x, y = (np.frombuffer(v, "<f4").reshape(len(n), -1).astype(np.float64) for n, v in ((q, x), (ids, data)))
+                dots = np.floor(np.abs(x @ y.T) * 1e4 + 0.5) * np.sign(x @ y.T) / 1e4
+                dots[q[:, None] == ids] = -np.inf
+                order = np.lexsort((np.broadcast_to(ids, dots.shape), -dots), axis=1)[:, :k]
+                best = np.take_along_axis(dots, order, 1)
+                keep = np.isfinite(best)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, keep.sum(1))), pa.array(ids[order][keep]), pa.array(best[keep])], ["query_id", "vec_id", "score"])
+
+    packed = lambda rows: rows.where("embedding IS NOT NULL").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>")).mapInArrow(pack, "ids binary, data binary")
+    asked = packed(vectors.where(is_query)).toDF("queries", "asked")
+    cells = asked.crossJoin(packed(vectors))  # of blocks, not of rows
+    found = cells.mapInArrow(score, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
@@ -32,11 +59,19 @@ def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
 
 
 def rrf(docs: DataFrame, first: tuple[str, ...], second: tuple[str, ...], weights=(1.5, 0.7), k: int = 60, least: float = 0.02) -> DataFrame:
-    """Weighted reciprocal-rank fusion of two keyword rankings, each cut at 100, with a threshold."""
+    """Weighted reciprocal-rank fusion of two whole keyword rankings, with a threshold.
+
+    Ranks come from counts: rows are few per (tf) value class, so a rank is the
+    number of rows with a larger tf, summed over the distinct values of tf, plus
+    the place among equals, and no window holds a whole ranking.
+    """
     ranks = []
     for n, words in enumerate((first, second)):
-        top = keyword_tf(docs, words).orderBy(F.desc("tf"), "doc_id").limit(100)
-        ranks.append(top.select("doc_id", (F.row_number().over(Window.orderBy(F.desc("tf"), "doc_id")) - 1).alias(f"r{n}")))
+        found = keyword_tf(docs, words)
+        sizes = found.groupBy("tf").agg(F.count("*").alias("c"))
+        above = F.coalesce(F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over the few values of tf
+        place = F.row_number().over(Window.partitionBy("tf").orderBy("doc_id")) - 1
+        ranks.append(found.withColumn("place", place).join(sizes.withColumn("above", above), "tf").select("doc_id", (F.col("above") + F.col("place")).alias(f"r{n}")))
     part = lambda n: F.coalesce(weights[n] / (k + F.col(f"r{n}") + 1), F.lit(0.0))
     both = ranks[0].join(ranks[1], "doc_id", "full")
     return both.select("doc_id", (part(0) + part(1)).alias("score")).where(F.col("score") >= least)
@@ -53,8 +88,8 @@ def by_place(customers: DataFrame, nations: DataFrame, regions: DataFrame, query
 
 
 def excerpts(docs: DataFrame, n: int = 3) -> DataFrame:
-    """Of each source the first ``n`` distinct opening lines of 12 or more characters, compared without case or repeated space."""
-    line = F.trim(F.regexp_replace(F.substring("text", 1, 60), r"\s+", " "))
-    first = docs.select("source", "doc_id", F.lower(line).alias("excerpt")).where(F.length("excerpt") >= 12).groupBy("source", "excerpt").agg(F.min("doc_id").alias("doc_id"))
+    """Of each source the first ``n`` distinct texts of 12 or more characters, compared whole, by hash, without case or repeated space."""
+    line = F.trim(F.regexp_replace("text", r"\s+", " "))
+    first = docs.select("source", "doc_id", line.alias("line")).where(F.length("line") >= 12).groupBy("source", F.sha2(F.lower("line"), 256).alias("excerpt_sha256")).agg(F.min("doc_id").alias("doc_id"))
     rank = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
     return first.withColumn("rank", rank).where(F.col("rank") <= n)

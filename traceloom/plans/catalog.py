@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from traceloom.functions import text
 from traceloom.operators import arguments, audits, conversations, evaluation, evidence, graph, retrieval, sampling
+from traceloom.plans import records as record_queries
 from traceloom.session import table
 from traceloom.streaming import episodes
 
@@ -73,7 +74,7 @@ _add("split_leakage_check", evidence.leakage, "SELECT sha256(text) AS atom FROM
 _add("coverage_matrix", evidence.coverage, "WITH s AS (SELECT DISTINCT user_id % 50 AS bucket, event_type, hour(ts)::INT AS hour FROM events) SELECT bucket, event_type, h::INT AS hour FROM (SELECT DISTINCT bucket FROM s), (SELECT DISTINCT event_type FROM s), range(24) r(h) EXCEPT SELECT * FROM s", "events")
 
 DOT = "list_sum(list_transform(range(1, len(q) + 1), lambda i: q[i]::DOUBLE * embedding[i]::DOUBLE))"
-_add("vector_topk", lambda v: retrieval.vector_topk(v, (0, 1, 2)), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id IN (0, 1, 2)) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
+_add("vector_topk", lambda v: retrieval.vector_topk_of(v, F.col("vec_id") % 20 == 0), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id % 20 = 0) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
 _add("vector_topk_whole", lambda v: retrieval.vector_topk_of(v, F.col("vec_id") % 20 == 0), f"WITH s AS (SELECT x.vec_id AS query_id, e.vec_id, round({DOT}, 4) AS score FROM embeddings e, (SELECT vec_id, embedding AS q FROM embeddings WHERE vec_id % 20 = 0) x WHERE e.vec_id <> x.vec_id) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10", "embeddings")
 
 
@@ -83,10 +84,10 @@ def _tf(words: tuple[str, ...]) -> str:
 
 A, B = ("the", "and"), ("tion", "ing")
 _add("keyword_tf", lambda d: retrieval.keyword_tf(d, A), f"SELECT doc_id, {_tf(A)}::BIGINT AS tf FROM documents WHERE {_tf(A)} > 0", "documents")
-TOP = "SELECT doc_id, row_number() OVER (ORDER BY tf DESC, doc_id) - 1 AS {r} FROM (SELECT doc_id, {tf} AS tf FROM documents WHERE {tf} > 0 ORDER BY tf DESC, doc_id LIMIT 100)"
+TOP = "SELECT doc_id, row_number() OVER (ORDER BY tf DESC, doc_id) - 1 AS {r} FROM (SELECT doc_id, {tf} AS tf FROM documents WHERE {tf} > 0)"
 _add("rrf_fusion", lambda d: retrieval.rrf(d, A, B), f"WITH a AS ({TOP.format(r='r0', tf=_tf(A))}), b AS ({TOP.format(r='r1', tf=_tf(B))}), s AS (SELECT doc_id, coalesce(1.5::DOUBLE / (60 + r0 + 1), 0) + coalesce(0.7::DOUBLE / (60 + r1 + 1), 0) AS score FROM a FULL JOIN b USING (doc_id)) SELECT * FROM s WHERE score >= 0.02", "documents")
 _add("location_priority", lambda c, n, r: retrieval.by_place(c, n, r, "trips in ASIA, FRANCE and CHINA"), "WITH p AS (SELECT n_name AS place, 2 AS priority, n_nationkey FROM nation UNION ALL SELECT r_name, 1, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey), h AS (SELECT * FROM p WHERE contains('trips in ASIA, FRANCE and CHINA', place)), f AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY priority, place) AS r FROM customer JOIN h ON c_nationkey = n_nationkey) SELECT place, priority, count(*) AS n FROM f WHERE r = 1 GROUP BY 1, 2", "customer", "nation", "region")
-_add("distinct_excerpts", retrieval.excerpts, r"WITH f AS (SELECT source, lower(trim(regexp_replace(substr(text, 1, 60), '\s+', ' ', 'g'))) AS excerpt, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM f WHERE length(excerpt) >= 12) WHERE rank <= 3", "documents")
+_add("distinct_excerpts", retrieval.excerpts, r"WITH f AS (SELECT source, sha256(lower(trim(regexp_replace(text, '\s+', ' ', 'g')))) AS excerpt_sha256, min(doc_id) AS doc_id FROM documents WHERE length(trim(regexp_replace(text, '\s+', ' ', 'g'))) >= 12 GROUP BY 1, 2) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM f) WHERE rank <= 3", "documents")
 
 _add("hash_permutation", sampling.permutation, "SELECT event_id, user_id % 64 AS bucket, row_number() OVER (PARTITION BY user_id % 64 ORDER BY sha256('s/' || event_id)) AS rank FROM events", "events")
 _add("first_n_per_group", lambda o: sampling.first_n(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 7), "SELECT o_orderkey, o_orderpriority FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS r FROM orders) WHERE r <= 7", "orders")
@@ -129,7 +130,7 @@ POS = "p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, even
 _add("causal_path", audits.causal_path, f"WITH {POS}, s AS (SELECT *, event_type || '_' || lpad(pos::VARCHAR, greatest(2, length(pos::VARCHAR))::INT, '0') AS state FROM p) SELECT event_id, state, coalesce(lead(state) OVER (PARTITION BY user_id ORDER BY pos), 'end') AS next_state FROM s", "events")
 _add("unbound_uses", audits.unbound_uses, f"WITH {POS}, f AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS f FROM p GROUP BY 1) SELECT user_id, count(*) FILTER (event_type = 'purchase') AS uses, count(*) FILTER (event_type = 'purchase' AND (f IS NULL OR pos < f)) AS unbound FROM p JOIN f USING (user_id) GROUP BY 1", "events")
 _add("milestone_credit", audits.milestones, f"WITH {POS}, a AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS m FROM p GROUP BY 1), b AS (SELECT user_id, min(pos) FILTER (event_type = 'click' AND pos > m) AS m2 FROM p JOIN a USING (user_id) GROUP BY 1), c AS (SELECT user_id, min(pos) FILTER (event_type = 'purchase' AND pos > m2) AS m3 FROM p JOIN b USING (user_id) GROUP BY 1), k AS (SELECT user_id, (m IS NOT NULL)::BIGINT + (m2 IS NOT NULL)::BIGINT + (m3 IS NOT NULL)::BIGINT AS credited FROM a JOIN b USING (user_id) JOIN c USING (user_id)) SELECT user_id, credited, round(credited / 3, 6) AS ratio FROM k", "events")
-_add("route_catalog", audits.route_catalog, f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p WHERE pos <= 3 GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
+_add("route_catalog", lambda e: audits.route_catalog(e, None), f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
 _add("route_catalog_whole", lambda e: audits.route_catalog(e, None), f"WITH {POS}, r AS (SELECT user_id, string_agg(event_type, '>' ORDER BY pos) AS route FROM p GROUP BY 1) SELECT route, count(*) AS n_users, min(user_id) AS least_user FROM r GROUP BY 1", "events")
 _add("run_lengths", audits.runs, f"WITH {POS}, i AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS g FROM p WHERE event_type = 'view') SELECT user_id, min(pos) AS first, max(pos) AS last FROM i GROUP BY user_id, g", "events")
 FIELDS = ("l_discount", "l_linestatus", "l_quantity", "l_returnflag", "l_tax")
@@ -156,4 +157,7 @@ def _credit(events: DataFrame) -> DataFrame:
     return per.select("user_id", F.round(text.gated_credit(F.least("correct", "required"), F.col("required"), F.col("extra")), 6).alias("reward"))
 
 
-_add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
+_add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 AND c >= r THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
+
+QUERIES |= record_queries.QUERIES
+ORACLES |= record_queries.ORACLES
