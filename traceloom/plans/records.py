@@ -47,8 +47,9 @@ _add("budget_filter", "customer", lambda c: records.within_budget(c.select("c_cu
 WITH p AS (SELECT c_custkey, c_nationkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS price FROM customer)
 SELECT c_custkey, c_nationkey, price FROM (SELECT *, max(price) OVER (PARTITION BY c_nationkey) AS m FROM p) WHERE m IS NULL OR price IS NULL OR price <= 2000""")
 
-_add("fail_closed", "documents", lambda d: d.where((F.trim("text") != "") & (F.col("source").contains(F.col("lang")) | F.col("lang").contains(F.col("source")))).select("doc_id"),
-     "SELECT doc_id FROM documents WHERE trim(text) <> '' AND (contains(source, lang) OR contains(lang, source))")
+LABEL = "split_part(split_part(url, '/', 3), '.', 1)"
+_add("fail_closed", "pages", lambda p: p.withColumn("label", F.expr(LABEL)).where((F.trim("html") != "") & (F.lower("html").contains(F.col("label")) | F.col("label").contains(F.lower("html")))).select("page_id"),
+     f"SELECT page_id FROM pages WHERE trim(html) <> '' AND (contains(lower(html), {LABEL}) OR contains({LABEL}, lower(html)))")
 
 _add("entity_gate", "supplier nation", lambda s, n: s.join(F.broadcast(n.limit(1000)), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.round(scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0), 3).alias("km"), ((F.col("n_regionkey") == 1) | (scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0) <= 900)).alias("ok")), """
 SELECT s_suppkey, round(km, 3) AS km, n_regionkey = 1 OR km <= 900 AS ok FROM (
@@ -64,9 +65,9 @@ _add("lenient_results", "orders lineitem", lambda o, l: o.join(l.where("l_linenu
 _add("missing_transcripts", "customer orders", lambda c, o: c.join(o.groupBy("o_custkey").agg(F.count("*").alias("n")), F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), "no transcript").alias("error")),
      "SELECT c_custkey, count(o_custkey) AS n, CASE WHEN count(o_custkey) = 0 THEN 'no transcript' END AS error FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
 
-_add("unknown_names", "part", lambda p: p.withColumn("stem", F.regexp_replace("p_name", " (widget|gadget)$", "")).join(p.where("p_size < 10").select(F.regexp_replace("p_name", " (widget|gadget)$", "").alias("stem")).distinct(), "stem", "left_anti").select("p_partkey", "stem"), """
-WITH s AS (SELECT p_partkey, p_size, regexp_replace(p_name, ' (widget|gadget)$', '') AS stem FROM part)
-SELECT p_partkey, stem FROM s WHERE stem NOT IN (SELECT stem FROM s WHERE p_size < 10)""")
+_add("unknown_names", "part", lambda p: (q := p.withColumn("stem", F.regexp_replace(F.concat_ws(" ", "p_brand", "p_name"), " (widget|gadget)$", ""))).join(q.where("p_size < 5").select("stem").distinct(), "stem", "left_anti").select("p_partkey", "stem"), """
+WITH s AS (SELECT p_partkey, p_size, regexp_replace(p_brand || ' ' || p_name, ' (widget|gadget)$', '') AS stem FROM part)
+SELECT p_partkey, stem FROM s WHERE stem NOT IN (SELECT stem FROM s WHERE p_size < 5)""")
 
 _add("containment_join", "documents part", lambda d, p: records.contained(d.select("doc_id", F.concat_ws(" ", "text", F.when(F.col("doc_id") % 3 == 0, "a small widget")).alias("body")), "body", p.where("p_size < 25"), "p_name").groupBy("name").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")), r"""
 WITH t AS (SELECT doc_id, ' ' || regexp_replace(lower(concat_ws(' ', text, CASE WHEN doc_id % 3 = 0 THEN 'a small widget' END)), '[^a-z0-9_#]+', ' ', 'g') || ' ' AS body FROM documents)
