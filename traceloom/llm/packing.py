@@ -25,7 +25,7 @@ from traceloom.session import cut, width
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Words kept by a Python worker between tasks. Beyond it they become the older half of the cache, from which
 #: a word that occurs again comes back without being coded anew.
-CACHE_WORDS = 160_000
+CACHE_WORDS = 500_000
 _coders: dict[str, "WordCoder"] = {}
 
 
