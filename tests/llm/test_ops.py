@@ -464,3 +464,17 @@ def test_pipeline(spark, small):
                 assert (i in after) == (not any(tuple(w[k : k + n]) in grams for n in {len(g) for g in grams} for k in range(len(w) - n + 1)))
         else:
             assert len(after) > 0.7 * len(before)
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, []])
+def test_pipeline_run_on_awkward_tables(spark, tmp_path, rows):
+    """Nulls, repeated rows, clashing names and empty tables; every text that may stay is packed once."""
+    import corpus_pipeline
+
+    schema = SCHEMA.replace("component string", "__bad long, __gone long, sha string, body string")
+    spark.createDataFrame([(i, t, None, "s", 0, 1, 2, 3, 4, "x", None) for i, t in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, PASSAGE), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {(r.doc_id, r.doc_tokens) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    # Of the equal texts of 4 and 5, and of 1, 2 and null, the largest id stays; 7 is near 6; 9, 10 and 11 hold the passage; 13 is 12 in capitals.
+    assert {i for i, _ in got} == ({2, 3, 5, 6, 8, 12} if rows else set())
