@@ -7,7 +7,7 @@ import pytest
 
 import compare
 from traceloom.functions import scalar
-from traceloom.operators import graph, records, scoring
+from traceloom.operators import graph, records, scoring, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -205,3 +205,41 @@ def test_records_on_empty_and_null_rows(spark):
     assert records.complete_partition(empty, "part", empty, "key").count() == 0
     rows = spark.createDataFrame([(None, None), ("a", None), ("a", 5.0), ("b", None)], "g string, price double")
     assert sorted(map(str, (tuple(r) for r in records.within_budget(rows, "g", "price", 1.0).collect()))) == ["('a', None)", "('b', None)", "(None, None)"]
+
+
+def test_conversations_of_either_form_ledgers_and_checked_writes(spark, tmp_path):
+    texts = {"array": '[{"k": 1}, {"k": 2}]', "lines": '{"k": 1}\n\nno json\n{"k": 3}\n', "none": "\n \nno\n"}
+    for name, t in texts.items():
+        (tmp_path / f"{name}.json").write_text(t)
+    read = lambda name: sorted(r.k for r in files.read_conversations(spark, str(tmp_path / f"{name}.json"), "k int").collect())
+    assert read("array") == [1, 2] and read("lines") == [1, 3]
+    with pytest.raises(ValueError):
+        read("none")
+    rows = spark.createDataFrame([(i, i, "x" * 300) for i in range(50, 0, -1)], "k int, id int, error string")
+    assert files.write_checked(rows, str(tmp_path / "t")) == 50 and files.write_checked(rows, str(tmp_path / "t")) == 50
+    files.append_ledger(rows, str(tmp_path / "l"))
+    assert spark.read.json(str(tmp_path / "l")).where("length(error) = 200").count() == 50
+    files.write_merged(rows, str(tmp_path / "m"), "k", "id")
+    assert [json.loads(x)["k"] for f in sorted((tmp_path / "m").glob("part-*")) for x in f.read_text().splitlines()] == list(range(1, 51))
+    with pytest.raises(ValueError):
+        files.write_merged(rows.withColumn("id", rows.k + 1), str(tmp_path / "n"), "k", "id")
+
+
+def test_worlds_on_awkward_rows(spark):
+    turns = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", ""), (1, 3, "tool", "r"), (1, 4, "tool", "r"), (1, 5, "assistant", "done"),
+             (2, 0, "system", "s"), (2, 1, "user", None), (3, 0, "system", "s"), (3, 1, "user", "u"), (3, 2, "assistant", "a"), (3, 3, "user", "more")]
+    plans = [(1, ["tools:2", "respond"]), (2, ["respond"]), (3, ["respond"]), (4, ["collect"])]
+    got = worlds.replay_conversation(spark.createDataFrame(turns, "conv_id int, turn int, role string, text string"), spark.createDataFrame(plans, "conv_id int, actions array<string>"))
+    assert {r.conv_id: (r.position, r.problem) for r in got.collect()} == {1: (None, None), 2: (1, "blank"), 3: (3, "goes on"), 4: (0, "ends early")}
+    runs = spark.createDataFrame([("a", None), ("a", "x"), ("b", None), ("b", None), ("c", "x"), (None, "x")], "k string, r string")
+    assert {r.k: r.status for r in worlds.determinism(runs, ["k"], "r").collect()} == {"a": "differs", "b": "equal", "c": "too few", None: "too few"}
+    names = spark.createDataFrame([("", 1), (None, 1), ("ab", 2)], "place string, area int")
+    found = spark.createDataFrame([(1, "xabx", 1, None), (2, None, 1, "lost"), (3, "", 1, ""), (4, "xabab", 2, "")], "id int, name string, area int, summary string")
+    assert {r.id: r.suspect for r in worlds.suspects(found, names, "lost").collect()} == {1: True, 2: True, 3: False, 4: False}
+    assert worlds.suspects(found.where("false"), names.where("false"), "lost").count() == 0
+    entries = spark.createDataFrame([(0, "a", None, None, None), (1, "a", "r", None, None)], "ordinal int, key string, result string, key_sha256 string, result_sha256 string")
+    assert sorted(r.problem for r in worlds.world_problems(entries).collect()) == ["key hash", "key hash", "repeated key", "result hash"]
+    states = spark.createDataFrame([(0, 5, "f"), (1, 2, "f")], "epoch int, yielded int, fingerprint string")
+    assert worlds.resume_point(states, "f") == (1, 2) and worlds.resume_point(states.where("false"), "f") == (0, 0)
+    with pytest.raises(ValueError):
+        worlds.resume_point(states, "g")

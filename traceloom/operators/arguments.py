@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from traceloom.session import small_side
+
 
 def typed(events: DataFrame) -> DataFrame:
     """The declared keys of the JSON arguments: a whole number ``k``, which is required, and an optional note, empty by default."""
@@ -45,7 +47,7 @@ def render(template: str, **fields: Column) -> Column:
 
 def customer_cards(customers: DataFrame, nations: DataFrame) -> DataFrame:
     """A rendered line for each customer; nations are a table of fixed size."""
-    both = customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    both = customers.join(small_side(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return both.select("c_custkey", render("{name} of {nation}: {segment}", name=F.col("c_name"), nation=F.col("n_name"), segment=F.col("c_mktsegment")).alias("card"))
 
 

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from traceloom.session import small_side
+
 
 def vector_topk(vectors: DataFrame, query_ids: tuple[int, ...], k: int = 10) -> DataFrame:
     """For a few stated query vectors, the ``k`` vectors of largest inner product, ties by id."""
@@ -80,9 +82,9 @@ def rrf(docs: DataFrame, first: tuple[str, ...], second: tuple[str, ...], weight
 def by_place(customers: DataFrame, nations: DataFrame, regions: DataFrame, query: str) -> DataFrame:
     """Names found in the query: regions first, then nations; each with its customers."""
     places = nations.select(F.col("n_name").alias("place"), F.lit(2).alias("priority"), "n_nationkey").union(
-        nations.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", F.lit(1), "n_nationkey"))
+        nations.join(small_side(regions), F.col("n_regionkey") == F.col("r_regionkey")).select("r_name", F.lit(1), "n_nationkey"))
     hit = places.where(F.lit(query).contains(F.col("place")))
-    found = customers.join(F.broadcast(hit), F.col("c_nationkey") == F.col("n_nationkey"))
+    found = customers.join(small_side(hit), F.col("c_nationkey") == F.col("n_nationkey"))
     first = Window.partitionBy("c_custkey").orderBy("priority", "place")
     return found.withColumn("r", F.row_number().over(first)).where("r = 1").groupBy("place", "priority").agg(F.count("*").alias("n"))
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from traceloom.functions import text
 from traceloom.operators import arguments, audits, conversations, evaluation, evidence, graph, retrieval, sampling
 from traceloom.plans import records as record_queries
-from traceloom.session import table
+from traceloom.plans import worlds as world_queries
+from traceloom.session import small_side, table
 from traceloom.streaming import episodes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,7 +106,7 @@ ORACLES["graph_lint"] = f"WITH e AS (SELECT * FROM {FLOW_SQL}) SELECT 'dead_end'
 _add("price_extract", lambda d: d.select("doc_id", text.least_price("text").alias("price")), "SELECT doc_id, list_min(list_filter(list_transform(regexp_extract_all(text, '([0-9]{2,6})', 1), lambda x: x::INT), lambda x: x BETWEEN 30 AND 99999)) AS price FROM documents", "documents")
 _add("rule_audit_long", text.rule_audit, r"WITH w AS (SELECT trim(text) <> '' AS a, NOT contains(text, '<') AS b, NOT regexp_matches(text, 'AKIA[A-Z0-9]{14,}') AS c, length(text) = n_chars AS d, NOT regexp_matches(text, '[a-z0-9.]+@[a-z0-9]+\.[a-z]{2,}') AS e FROM documents), l AS (SELECT 'not_blank' AS rule, a AS ok FROM w UNION ALL SELECT 'no_markup', b FROM w UNION ALL SELECT 'no_key', c FROM w UNION ALL SELECT 'length_is_right', d FROM w UNION ALL SELECT 'no_mail_address', e FROM w) SELECT rule, count(*) FILTER (coalesce(ok, false)) AS n_pass, count(*) FILTER (NOT coalesce(ok, false)) AS n_fail FROM l GROUP BY 1", "documents")
 _add("date_surface_forms", lambda o: o.select("o_orderkey", F.array_join(text.date_forms(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 12).cast("int")), F.to_date("o_orderdate")), "|").alias("forms")), "WITH x AS (SELECT o_orderkey, o_orderdate::DATE AS t, o_orderdate::DATE + (o_orderkey % 12)::INT AS day, (o_orderkey % 12) AS n FROM orders) SELECT o_orderkey, concat_ws('|', strftime(day, '%Y-%m-%d'), month(day) || '/' || day(day), CASE n WHEN 1 THEN 'tomorrow' WHEN 2 THEN 'in two days' WHEN 3 THEN 'in three days' END, CASE date_diff('day', date_trunc('week', t), date_trunc('week', day)) WHEN 0 THEN 'this week' WHEN 7 THEN 'next week' END) AS forms FROM x", "orders")
-_add("char_coverage", lambda n, r: n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", F.round(text.char_coverage("r_name", "n_name"), 4).alias("coverage")), "SELECT n_name, round(len(list_intersect(list_distinct(string_split(lower(r_name), '')), list_distinct(string_split(lower(n_name), '')))) / len(list_distinct(string_split(lower(r_name), ''))), 4) AS coverage FROM nation JOIN region ON n_regionkey = r_regionkey", "nation", "region")
+_add("char_coverage", lambda n, r: n.join(small_side(r), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", F.round(text.char_coverage("r_name", "n_name"), 4).alias("coverage")), "SELECT n_name, round(len(list_intersect(list_distinct(string_split(lower(r_name), '')), list_distinct(string_split(lower(n_name), '')))) / len(list_distinct(string_split(lower(r_name), ''))), 4) AS coverage FROM nation JOIN region ON n_regionkey = r_regionkey", "nation", "region")
 _add("episode_replay", episodes.replay, None, "events")
 _add("session_rollup", episodes.session_rollup, "WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS started, count(*) AS n, max(value) AS top FROM s GROUP BY user_id, k", "events")
 
@@ -159,5 +160,5 @@ def _credit(events: DataFrame) -> DataFrame:
 
 _add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 AND c >= r THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
 
-QUERIES |= record_queries.QUERIES
-ORACLES |= record_queries.ORACLES
+QUERIES |= record_queries.QUERIES | world_queries.QUERIES
+ORACLES |= record_queries.ORACLES | world_queries.ORACLES

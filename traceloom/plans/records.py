@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from traceloom.functions import scalar
 from traceloom.operators import records, retrieval, scoring
-from traceloom.session import table
+from traceloom.session import small_side, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,7 +51,7 @@ LABEL = "split_part(split_part(url, '/', 3), '.', 1)"
 _add("fail_closed", "pages", lambda p: p.withColumn("label", F.expr(LABEL)).where((F.trim("html") != "") & (F.lower("html").contains(F.col("label")) | F.col("label").contains(F.lower("html")))).select("page_id"),
      f"SELECT page_id FROM pages WHERE trim(html) <> '' AND (contains(lower(html), {LABEL}) OR contains({LABEL}, lower(html)))")
 
-_add("entity_gate", "supplier nation", lambda s, n: s.join(F.broadcast(n.limit(1000)), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.round(scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0), 3).alias("km"), ((F.col("n_regionkey") == 1) | (scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0) <= 900)).alias("ok")), """
+_add("entity_gate", "supplier nation", lambda s, n: s.join(small_side(n), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.round(scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0), 3).alias("km"), ((F.col("n_regionkey") == 1) | (scalar.fixed_km(F.col("s_acctbal") / 500, F.col("s_suppkey") % 50, F.col("n_nationkey") * 1.0, F.col("n_regionkey") * 10.0) <= 900)).alias("ok")), """
 SELECT s_suppkey, round(km, 3) AS km, n_regionkey = 1 OR km <= 900 AS ok FROM (
   SELECT s_suppkey, n_regionkey, sqrt(power((s_suppkey % 50 - n_regionkey * 10) * 85.0::DOUBLE, 2) + power((s_acctbal / 500 - n_nationkey) * 111.0::DOUBLE, 2)) AS km
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)""")

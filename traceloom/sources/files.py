@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +17,20 @@ def read_records(spark: SparkSession, path: str, form: str = "jsonl", schema: st
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_conversations(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of one JSON array, or, where the text begins otherwise or the array holds none, of lines, without bad ones. No record at all is an error.
+
+    The first text that is not blank decides on the form, so all files under the path must share it.
+    """
+    head = spark.read.text(path).where("trim(value) <> ''").select(F.left(F.trim("value"), F.lit(1))).limit(1).collect()
+    rows = read_records(spark, path, "json", schema, strict=False) if head and head[0][0] == "[" else None
+    if rows is None or rows.isEmpty():
+        rows = read_records(spark, path, "jsonl", schema, strict=False)
+    if rows.isEmpty():
+        raise ValueError(f"no records in {path}")
+    return rows
+
+
 def read_numbered(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Files named by number, with the number as ``file_id``; others are left out."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^([0-9]+)\.json$", 1)
@@ -33,13 +48,10 @@ def sealed(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
 def append_new(df: DataFrame, path: str, key: str) -> int:
     """Appends the rows whose key is not in the table; a key that is there with other values is an error. Returns the number added."""
     spark = df.sparkSession
-    try:
-        old = spark.read.parquet(path)
-    except Exception as e:  # the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if not _there(spark, path):
         df.write.parquet(path)
-        return df.count()
+        return spark.read.parquet(path).count()
+    old = spark.read.parquet(path)
     rest = [c for c in df.columns if c != key]
     differs = df.join(old.select(key, *(F.col(c).alias(f"__{c}") for c in rest)), key).where(~F.forall(F.array(*(F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rest)), lambda x: x))
     if not differs.isEmpty():
@@ -49,3 +61,41 @@ def append_new(df: DataFrame, path: str, key: str) -> int:
     new.write.mode("append").parquet(path)
     new.unpersist()
     return n
+
+
+def write_checked(df: DataFrame, path: str) -> int:
+    """Adds the rows to a Parquet table and reads them back: fewer or more than were given is an error. Returns their number.
+
+    They are counted while they are written, so the input is computed once.
+    """
+    spark, before = df.sparkSession, 0
+    if _there(spark, path):
+        before = spark.read.parquet(path).count()
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    n, after = seen.get["n"], spark.read.parquet(path).count()
+    if after - before != n:
+        raise ValueError(f"{after - before} rows of {n} arrived in {path}")
+    return n
+
+
+def append_ledger(entries: DataFrame, path: str, cut: str = "error", most: int = 200) -> None:
+    """Appends JSON lines to a ledger; as in every ledger of attempts, the error's text is kept to its first ``most`` characters."""
+    entries.withColumn(cut, F.left(cut, F.lit(most))).write.mode("append").json(path)
+
+
+def write_merged(df: DataFrame, path: str, key: str, ident: str) -> None:
+    """JSON lines in order of ``key`` over the files in order of their names. A row whose ``ident`` is not its key is an error."""
+    if not df.where(~F.col(key).eqNullSafe(F.col(ident))).isEmpty():
+        raise ValueError(f"{ident} is not {key}")
+    df.repartitionByRange(key).sortWithinPartitions(key).write.json(path)
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
