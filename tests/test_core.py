@@ -7,7 +7,7 @@ import pytest
 
 import compare
 from traceloom.functions import scalar
-from traceloom.operators import graph, records, scoring, worlds
+from traceloom.operators import graph, ranks, records, scoring, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -243,3 +243,21 @@ def test_worlds_on_awkward_rows(spark):
     assert worlds.resume_point(states, "f") == (1, 2) and worlds.resume_point(states.where("false"), "f") == (0, 0)
     with pytest.raises(ValueError):
         worlds.resume_point(states, "g")
+
+
+def test_ranks_of_a_large_and_small_groups(spark):
+    rows = [("big" if i % 3 else f"g{i % 9}", i * 7919 % 1000 + i / 1e4, i % 4) for i in range(1000)]
+    df = spark.createDataFrame(rows, "g string, x double, w long").repartition(5)
+    want, total = {}, defaultdict(int)
+    for g, x, w in sorted(rows):
+        total[g] += w
+        want[g, x] = total[g]
+    got = ranks.running(df, ["g"], ["x"], "w").collect()
+    assert {(r.g, r.x): r.upto for r in got} == want and all(r.total == total[r.g] for r in got)
+    hashed = df.selectExpr("g", "sha2(cast(x AS string), 256) AS key")
+    by = defaultdict(list)
+    for r in hashed.collect():
+        by[r.g].append(r.key)
+    want = {(g, k): (i + 1, len(keys)) for g, keys in by.items() for i, k in enumerate(sorted(keys))}
+    assert {(r.g, r.key): (r["rank"], r["n"]) for r in ranks.hash_ranks(hashed, "g", "key", 1).collect()} == want
+    assert ranks.running(df.where("false"), ["g"], ["x"], "w").count() == 0

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from traceloom.operators.ranks import running
+from traceloom.session import cut
+
 
 def nearest_rank(q: float, column: str):
     """The value at rank max(0, ceil(q * n) - 1), nulls left out."""
@@ -12,13 +15,28 @@ def nearest_rank(q: float, column: str):
 
 
 def slice_summary(events: DataFrame) -> DataFrame:
-    """Count, success rate and nearest-rank percentiles overall and by each dimension on its own."""
+    """Count, success rate and nearest-rank percentiles overall and by each dimension on its own.
+
+    Values are counted before they are ranked, and the ranks of the slice over
+    everything are taken in ranges of values, not in one task. Null values
+    count as rows but have no rank.
+    """
     e = events.select((F.col("user_id") % 5).alias("bucket"), "event_type", "value")
-    e.createOrReplaceTempView("__slices")
-    return e.sparkSession.sql(
-        "SELECT bucket, event_type, count(*) AS n, count_if(event_type <> 'error') AS n_ok, percentile_disc(0.5) WITHIN GROUP (ORDER BY value) AS p50,"
-        " percentile_disc(0.95) WITHIN GROUP (ORDER BY value) AS p95 FROM __slices GROUP BY GROUPING SETS ((), (bucket), (event_type))"
-    )
+    counts = cut(_counted(e))
+    ranked = running(counts.where("value IS NOT NULL"), ["slice"], ["value"], "rows")
+    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("value")))
+    ranks = ranked.groupBy("slice").agg(at(0.5).alias("p50"), at(0.95).alias("p95"))
+    totals = counts.groupBy("slice", "bucket", "event_type").agg(F.sum("rows").alias("n"), F.sum("ok").alias("n_ok"))
+    return totals.join(ranks, "slice", "left").drop("slice")
+
+
+def _counted(e: DataFrame) -> DataFrame:
+    """(slice, bucket, event_type, value, rows, ok): how often a value occurs in each slice."""
+    per = e.groupBy("bucket", "event_type", "value").agg(F.count("*").alias("rows"), F.count_if(F.col("event_type") != "error").alias("ok"))
+    none, kind = F.lit(None), lambda k, b, t: F.struct(F.lit(k).alias("kind"), b.cast("long").alias("bucket"), t.cast("string").alias("event_type"))
+    slices = F.array(kind("all", none, none), kind("bucket", F.col("bucket"), none), kind("type", none, F.col("event_type")))
+    long = per.select(F.explode(slices).alias("s"), "value", "rows", "ok")
+    return long.groupBy(F.to_json("s").alias("slice"), "s.bucket", "s.event_type", "value").agg(F.sum("rows").alias("rows"), F.sum("ok").alias("ok"))
 
 
 def pooled_and_averaged(events: DataFrame) -> DataFrame:
@@ -35,7 +53,7 @@ def cost_per_task(lines: DataFrame, price_in: float = 2.5, price_out: float = 10
 
 
 def metrics_long(events: DataFrame) -> DataFrame:
-    """Mean, sum, minimum and maximum of a type's values as (metric, value) rows."""
+    """Minimum, maximum and number of a type's values as (metric, value) rows."""
     a = events.groupBy("event_type").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").cast("double").alias("n"))
     return a.select("event_type", F.expr("stack(3, 'min', lo, 'max', hi, 'count', n) AS (metric, value)"))
 
@@ -60,8 +78,8 @@ def upsert(board: DataFrame, runs: DataFrame, key: str, value: str) -> DataFrame
     """Rows of ``board`` (id, key, value) overwritten by ``runs`` (key, value) with their id kept; new keys get the ids after the largest."""
     new = runs.join(board.select(key), key, "left_anti")
     top = board.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
-    order = Window.orderBy(key)  # only new keys, few beside the board
-    added = new.crossJoin(F.broadcast(top)).select((F.col("top") + F.row_number().over(order)).alias("id"), key, value)
+    placed = running(new.withColumn("one", F.lit(1)), [], [key], "one")
+    added = placed.crossJoin(F.broadcast(top)).select((F.col("top") + F.col("upto")).cast("int").alias("id"), key, value)  # top is one row
     kept = board.join(runs.select(key, F.col(value).alias("__new")), key, "left").select("id", key, F.coalesce("__new", value).alias(value))
     return kept.unionByName(added)
 

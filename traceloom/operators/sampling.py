@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from traceloom.operators.ranks import hash_ranks
+
 
 def permutation(events: DataFrame, salt: str = "s", buckets: int = 64) -> DataFrame:
     """Rank within a bucket of a user's events by the hash of salt and id."""
     key = F.sha2(F.concat_ws("/", F.lit(salt), F.col("event_id").cast("string")), 256)
     e = events.select("event_id", (F.col("user_id") % buckets).alias("bucket"), key.alias("key"))
-    return e.select("event_id", "bucket", F.row_number().over(Window.partitionBy("bucket").orderBy("key")).alias("rank"))
+    return hash_ranks(e, "bucket", "key").select("event_id", "bucket", F.col("rank").cast("int").alias("rank"))
 
 
 def first_n(rows: DataFrame, group: str, order: str, n: int) -> DataFrame:
@@ -38,8 +40,7 @@ def anchors(docs: DataFrame, labels: DataFrame, per: int = 5) -> DataFrame:
 
 def schedule(parts: DataFrame, size: int = 32) -> DataFrame:
     """Batches of ``size`` of each brand, in hash order; the last is filled from its beginning."""
-    w = Window.partitionBy("p_brand")
-    r = parts.select("p_brand", "p_partkey", (F.row_number().over(w.orderBy(F.sha2(F.col("p_partkey").cast("string"), 256))) - 1).alias("at"), F.count("*").over(w).alias("n"))
+    r = hash_ranks(parts.select("p_brand", "p_partkey", F.sha2(F.col("p_partkey").cast("string"), 256).alias("key")), "p_brand", "key").withColumn("at", F.col("rank") - 1)
     full = r.withColumn("padding", (size - F.col("n") % size) % size)
     again = full.where("at < padding").select("p_brand", "p_partkey", (F.col("at") + F.col("n")).alias("at"))
     return full.select("p_brand", "p_partkey", "at").union(again).select("p_brand", "p_partkey", F.expr(f"cast(at div {size} AS bigint)").alias("batch"), (F.col("at") % size).cast("long").alias("slot"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values: (state, action): next state. Any other action is a violation and changes nothing.
@@ -17,7 +17,12 @@ def advance(state: str, action: str) -> tuple[str, bool]:
 
 
 def replay(events: DataFrame) -> DataFrame:
-    """Final state, violations and steps of each user's events in order, cut off at the step cap or at the end state."""
+    """Final state, violations and steps of each user's events in order, cut off at the step cap or at the end state.
+
+    Every event is a step, so those beyond the cap never count and only so many of a user are gathered.
+    """
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    events = events.withColumn("step", F.row_number().over(order)).where(F.col("step") <= STEP_CAP)
     moved = "CASE " + " ".join(f"WHEN s.state = '{a}' AND x.event_type = '{b}' THEN '{c}'" for (a, b), c in MOVES.items()) + " END"
     steps = F.expr(
         "aggregate(array_sort(collect_list(struct(ts, event_id, event_type))), named_struct('state', 'new', 'bad', 0, 'n', 0), (s, x) -> "
