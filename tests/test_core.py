@@ -50,6 +50,10 @@ def test_entry_imports_without_the_optional_folders(tmp_path):
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, check=True)
     assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
+    (tmp_path / "traceloom" / "llm").mkdir()
+    (tmp_path / "traceloom" / "llm" / "queries.py").write_text("import no_such_module\n")
+    again = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin"}, capture_output=True, text=True, check=True)
+    assert again.stdout == out.stdout
 
 
 def _lcs(a, b):
