@@ -10,6 +10,7 @@ from traceloom.llm.chat_format import ENTITIES, OTHER, TEMPLATE, chat_digest
 from traceloom.llm.decontaminate import contamination
 from traceloom.llm.exact_dedup import exact_dedup
 from traceloom.llm.jaccard_join import jaccard_components
+from traceloom.llm.line_dedup import line_digest
 from traceloom.llm.packing import pack
 from traceloom.llm.secrets import scan_secrets
 from traceloom.llm.substring_dedup import repeat_digest
@@ -47,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": lambda s, d: jaccard_components(table(s, d, "documents")),
     "op9_decontamination": lambda s, d: contamination(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_secret_scan": lambda s, d: scan_secrets(table(s, d, "documents")),
+    "op12_line_dedup": lambda s, d: line_digest(table(s, d, "documents")),
 }
 
 
@@ -119,4 +121,13 @@ covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnes
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op12_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT k.*, c.key IS NOT NULL AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
 }
