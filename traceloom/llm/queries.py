@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from traceloom.llm.alignment import alignment
 from traceloom.llm.chat_format import ENTITIES, OTHER, TEMPLATE, chat_digest
 from traceloom.llm.decontaminate import contamination
 from traceloom.llm.exact_dedup import exact_dedup
 from traceloom.llm.jaccard_join import jaccard_components
 from traceloom.llm.line_dedup import line_digest
+from traceloom.llm.negatives import hard_negatives
 from traceloom.llm.packing import pack
 from traceloom.llm.secrets import scan_secrets
 from traceloom.llm.substring_dedup import repeat_digest
@@ -48,7 +51,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": lambda s, d: jaccard_components(table(s, d, "documents")),
     "op9_decontamination": lambda s, d: contamination(table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_secret_scan": lambda s, d: scan_secrets(table(s, d, "documents")),
+    "op11_hard_negatives": lambda s, d: hard_negatives(table(s, d, "embeddings"), F.col("vec_id") % 100 == 0),
     "op12_line_dedup": lambda s, d: line_digest(table(s, d, "documents")),
+    "op13_alignment": lambda s, d: alignment(table(s, d, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")),
 }
 
 
@@ -121,6 +126,21 @@ covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnes
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op11_hard_negatives": r"""
+WITH raw AS (SELECT vec_id, label, embedding FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+ints AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM raw WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM ints a JOIN ints b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+neg AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS place, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM pos p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg WHERE place <= 10""",
     "op12_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
