@@ -1,13 +1,16 @@
 """Queries against SQL, and the parts that SQL cannot express against plain Python."""
 
+import itertools
 import json
+import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import compare
-from traceloom.functions import scalar
-from traceloom.operators import graph, ranks, records, scoring, worlds
+from traceloom.functions import leaves, scalar
+from traceloom.operators import evaluation, graph, ranks, records, scoring, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -131,22 +134,118 @@ def test_readers_and_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         files.append_new(spark.createDataFrame([(2, "c")], one.schema), str(tmp_path / "t"), "id")
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    with pytest.raises(ValueError):
+        files.append_new(spark.createDataFrame([(7, "a"), (7, "b")], one.schema), str(tmp_path / "t"), "id")
+    assert files.append_new(spark.createDataFrame([(7, "a"), (7, "a"), (1, "a")], one.schema), str(tmp_path / "t"), "id") == 1
+    with pytest.raises(ValueError):
+        files.append_new(spark.createDataFrame([(1, "a"), (1, "b")], one.schema), str(tmp_path / "fresh"), "id")
+    assert not (tmp_path / "fresh").exists()
+
+
+def test_one_row_a_run_on_the_board(spark):
+    board = spark.createDataFrame([(1, "r", 5), (2, "s", 6)], "id int, run string, score int")
+    runs = spark.createDataFrame([(1, "r", 8), (2, "r", 7), (1, "n", 1), (3, "n", 2), (2, "m", 3)], "at int, run string, score int")
+    got = lambda order: sorted((r.id, r.run, r.score) for r in evaluation.upsert(board, runs, "run", "score", order).collect())
+    assert got("at") == [(1, "r", 7), (2, "s", 6), (3, "m", 3), (4, "n", 2)] and got(None)[0] == (1, "r", 8)
+
+
+def test_names_of_any_script_are_found(spark):
+    """Random names and texts against a plain search by the rule in the docstring."""
+    import re
+
+    r = random.Random(9)
+    parts = ["北京", "京", "a", "ab", "b", "é", "Ü", " ", "-", "'s ", "_", "#1", "旅行", "П", "\n", "!", "𝒳"]
+    make = lambda n: "".join(r.choice(parts) for _ in range(r.randrange(1, n)))
+    names = sorted({make(4) for _ in range(60)} | {"北京", "'s-Hertogenbosch"})
+    texts = [make(14) for _ in range(200)] + ["去北京旅行", "in 's-hertogenbosch.", "", None]
+    plain = lambda t: re.sub(r"[\x00-\x22\x24-\x2F\x3A-\x5E\x60\x7B-\x7F]+", " ", t.lower())
+    word = "abcdefghijklmnopqrstuvwxyz0123456789_#"
+
+    def holds(t, name):
+        t, name = f" {plain(t)} ", plain(name).strip()
+        at = [i for i in range(len(t)) if name and t.startswith(name, i)]
+        return any(not (name[0] in word and t[i - 1] in word) and not (name[-1] in word and t[i + len(name)] in word) for i in at)
+
+    want = {(i, n) for i, t in enumerate(texts) for n in names if t and holds(t, n)}
+    rows, known = spark.createDataFrame(list(enumerate(texts)), "i int, t string"), spark.createDataFrame([(n,) for n in names], "n string")
+    for most in (200_000, 20):
+        got = [(x.i, x.name) for x in records.contained(rows, "t", known, "n", most).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert {"去北京旅行", "in 's-hertogenbosch."} <= {texts[i] for i, n in want if n in ("北京", "'s-Hertogenbosch")}
 
 
 def _call(tool, args, round=1):
     return {"tool": tool, "args": args, "round": round}
 
 
-def test_segments_are_compared():
+CALLS = "seg int, pos int, round int, tool string, args string"
+
+
+def _compared(spark, segments):
+    """(correct, extra, structure, reasons in order of required call, extras last) of each pair of call lists."""
+    rows = lambda side: spark.createDataFrame([(i, p, c["round"], c["tool"], c["args"]) for i, pair in enumerate(segments) for p, c in enumerate(pair[side])], CALLS)
+    want, made = rows(0), rows(1)
+    details = scoring.call_details(want, made, ["seg"])
+    scores = {r.seg: r for r in scoring.segment_scores(details, want, made, ["seg"]).collect()}
+    reasons = defaultdict(list)
+    for r in sorted(details.collect(), key=lambda r: (r.required_pos is None, r.required_pos or 0)):
+        reasons[r.seg].append(r.reason)
+    return [(scores[i].correct, scores[i].extra, scores[i].structure, reasons[i]) if i in scores else None for i in range(len(segments))]
+
+
+def test_segments_are_compared(spark):
     a, b, c = _call("find", '{"x": 1}'), _call("find", '{"x": 2}', 2), _call("book", '{"n": true}', 2)
-    run = lambda want, got: scoring.compare(want, got, [x["round"] for x in want], [x["round"] for x in got])
-    assert run([a, b, c], [a, b, c]) == (3, 0, True, ["correct"] * 3)
-    assert run([a, b, c], [a, {**b, "round": 1}, c]) == (3, 0, False, ["correct"] * 3)
-    assert run([a, b], [b, a]) == (1, 0, False, ["out_of_order", "correct"])
-    assert run([c], [_call("book", '{"n": 1}')]) == (0, 0, False, ["wrong_args:n"])  # a boolean is no number
-    assert run([a], [_call("find", '{"x": 1.0}')]) == (1, 0, True, ["correct"])
-    assert run([a], [_call("find", "[1]")]) == (0, 0, False, ["unparseable_args"])
-    assert run([a], []) == (0, 0, False, ["missing"]) and run([], [a]) == (0, 1, False, ["extra_call"]) and run([], []) == (0, 0, True, [])
+    got = _compared(spark, [
+        ([a, b, c], [a, b, c]), ([a, b, c], [a, {**b, "round": 1}, c]), ([a, b], [b, a]), ([c], [_call("book", '{"n": 1}')]), ([a], [_call("find", '{"x": 1.0}')]),
+        ([a], [_call("find", "[1]")]), ([a], [_call("find", None)]), ([a], []), ([], [a]), ([], []), ([a], [_call("find", '{"x": [1, {"y": 2.0}]}')]), ([_call("f", "oops")], [_call("f", "{}")])])
+    assert got[:3] == [(3, 0, True, ["correct"] * 3), (3, 0, False, ["correct"] * 3), (1, 0, False, ["out_of_order", "correct"])]
+    assert got[3:7] == [(0, 0, False, ["wrong_args:n"]), (1, 0, True, ["correct"]), (0, 0, False, ["unparseable_args"]), (0, 0, False, ["unparseable_args"])]
+    assert got[7:] == [(0, 0, False, ["missing"]), (0, 1, False, ["extra_call"]), None, (0, 0, False, ["wrong_args:x"]), (1, 0, True, ["correct"])]
+
+
+def _plain_comparison(want, made):
+    """By definition: the longest common subsequence by trying all, then each open call the first unused one of its tool."""
+    from functools import cache
+
+    @cache
+    def best(i, j):
+        if i == len(want) or j == len(made):
+            return 0
+        return max(best(i + 1, j), best(i, j + 1), 1 + best(i + 1, j + 1) if want[i][:2] == made[j][:2] else 0)
+
+    pairs, i, j = {}, 0, 0
+    while i < len(want) and j < len(made):
+        if want[i][:2] == made[j][:2]:
+            pairs[i], i, j = j, i + 1, j + 1
+        elif best(i + 1, j) >= best(i, j + 1):
+            i += 1
+        else:
+            j += 1
+    free, reasons = [j for j in range(len(made)) if j not in pairs.values()], []
+    for i, (tool, x, _) in enumerate(want):
+        j = next((j for j in free if made[j][0] == tool), None)
+        if i in pairs or j is None:
+            reasons.append("correct" if i in pairs else "missing")
+        else:
+            free.remove(j)
+            reasons.append("out_of_order" if made[j][1] == x else "wrong_args:x")
+    rounds = lambda calls: [[c[:2] for c in run] for _, run in itertools.groupby(calls, key=lambda c: c[2])]
+    return len(pairs), len(free), rounds(want) == rounds(made), reasons + ["extra_call"] * len(free)
+
+
+def test_random_segments_against_the_definition(spark):
+    """Rounds whose numbers come back, repeated calls and few tools."""
+    r = random.Random(5)
+    some = lambda: [(r.choice("fg"), r.randrange(3), r.choice([1, 2, 1, 3])) for _ in range(r.randrange(1, 7))]
+    pairs = [(x := some(), r.choice([some(), x[:], [(t, a, {1: 4, 2: 1, 3: 2}[n]) for t, a, n in x], x[1:] + x[:1]])) for _ in range(300)]
+    calls = lambda side: [_call(t, json.dumps({"x": a}), n) for t, a, n in side]
+    assert _compared(spark, [(calls(w), calls(m)) for w, m in pairs]) == [_plain_comparison(w, m) for w, m in pairs]
+    assert _compared(spark, [([_call("f", "{}", n) for n in (1, 2, 3)], [_call("f", "{}", n) for n in (1, 2, 1)])])[0][2]
+
+
+def test_every_reason_occurs(spark, small):
+    reasons = {r.reason for r in QUERIES["call_details"](spark, small).select("reason").distinct().collect()}
+    assert reasons - {"wrong_args:at"} == {"correct", "missing", "extra_call", "out_of_order", "unparseable_args", "wrong_args:k"}  # at: a call left out before a changed one
 
 
 def test_segment_match_of_whole_table(spark, small):
@@ -161,18 +260,36 @@ def test_segment_match_of_whole_table(spark, small):
         assert r.correct == _lcs(*same) and len(r.reasons) == len(want) + r.extra and r.reasons.count("correct") == r.correct
 
 
-def test_call_parsers():
+def _read(spark, parser, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", parser.alias("p")).orderBy("i").collect()
+    return [([(c.tool, json.loads(c.args)) for c in r.p.calls], r.p.malformed) for r in rows]
+
+
+def test_call_parsers(spark):
     tag = lambda body: f"<tool_call>{body}</tool_call>"
     one = "<function=f><parameter=a>\n1\n</parameter></function>"
-    assert scoring.tagged_calls(tag(one)) == ([{"tool": "f", "args": '{"a": "1"}'}], False)
-    assert scoring.tagged_calls("plain") == ([], False) and scoring.tagged_calls(None) == ([], False)
-    for text in (tag(one + one), tag("nothing"), tag(one + "rest"), tag(one) + "< tool_call", tag("<function=f><parameter=a>1</parameter><parameter=a>2</parameter></function>")):
-        assert scoring.tagged_calls(text)[1]
+    twice = "<function=f><parameter=a>1</parameter><parameter=b>x</parameter><parameter=a>2</parameter></function>"
+    good = [tag(one), "plain", None, "said " + tag(one) + "\n" + tag("<function=g></function>"), tag("<function=h><parameter=q>line\n\"two\" é</parameter>\n</function>")]
+    got = _read(spark, scoring.tagged_calls(F.col("t")), good)
+    assert got == [([("f", {"a": "1"})], False), ([], False), ([], False), ([("f", {"a": "1"}), ("g", {})], False), ([("h", {"q": 'line\n"two" é'})], False)]
+    bad = _read(spark, scoring.tagged_calls(F.col("t")), [tag(one + one), tag("nothing"), tag(one + "rest"), tag(one) + "< tool_call", tag(twice), "<tool_call>" + one, tag("<function=f>text</function>")])
+    assert all(b for _, b in bad) and bad[4][0] == [("f", {"a": "2", "b": "x"})] and len(bad[0][0]) == 2
     line = lambda body: f"<think>hm</think><|tool_call_start|>{body}<|tool_call_end|>"
-    assert scoring.bracketed_calls(line("[f(a=1, b='x'), g()]")) == ([{"tool": "f", "args": '{"a": 1, "b": "x"}'}, {"tool": "g", "args": "{}"}], False)
-    for body in ("[f(1)]", "[f(a=1, a=2)]", "f(", "[]", "1", "[f(a=open('x'))]", "[f(**x)]"):
-        assert scoring.bracketed_calls(line(body)) == ([], True)
-    assert scoring.bracketed_calls(line("[f()]") + " and prose")[1] and scoring.bracketed_calls(line("f()") * 2) == ([], True)
+    parser = scoring.bracketed_calls()(F.col("t"))
+    assert _read(spark, parser, [line("[f(a=1, b='x'), g()]"), "none", None]) == [([("f", {"a": 1, "b": "x"}), ("g", {})], False), ([], False), ([], False)]
+    broken = ["[f(1)]", "[f(a=1, a=2)]", "f(", "[]", "1", "[f(a=open('x'))]", "[f(**x)]", "[x.f(a=1)]"]
+    assert _read(spark, parser, [line(b) for b in broken]) == [([], True)] * len(broken)
+    ends = _read(spark, parser, [line("[f()]") + " and prose", line("f()") * 2, "<|tool_call_end|>f()<|tool_call_start|>", "<|tool_call_start|>f()"])
+    assert ends == [([("f", {})], True)] + [([], True)] * 3
+
+
+def test_reward_of_parsed_calls(spark):
+    tag = lambda name, v: f"<tool_call><function={name}><parameter=a>{v}</parameter></function></tool_call>"
+    rows = [(0, tag("f", 1)), (0, tag("f", 2)), (0, "quiet"), (1, "quiet"), (1, tag("f", 1)), (0, tag("f", 1) + tag("g", 1)), (0, tag("f", 1) + "<tool_call")]
+    want = F.when(F.col("n") == 0, F.array(F.struct(F.lit("f").alias("tool"), F.lit('{"a": "1"}').alias("args"))))
+    read = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(rows)], "i int, n int, t string").withColumn("p", scoring.tagged_calls(F.col("t")))
+    got = [round(r.r, 6) for r in read.select("i", scoring.emission_reward()(want, "p.calls", "p.malformed").alias("r")).orderBy("i").collect()]
+    assert got == [1.0, 0.0, 0.0, 1.0, 0.0, 0.7, 0.5]
 
 
 def test_json_forms(spark):
@@ -180,7 +297,8 @@ def test_json_forms(spark):
     frame = spark.createDataFrame([(x,) for x in rows], "j string")
     got = [tuple(r) for r in frame.select(scalar.canonical_json("j"), scalar.loose_json("j")).collect()]
     assert got == [('{"a":[true,null],"b":1}', '{"a": [true, null], "b": 1}'), (None, '{"e\u0301": 1, "\u00e9": 2}'), (None, None), (None, None), (None, "[1.5, NaN]"), ('"x"', '"x"')]
-    assert scalar.same_json([1, {"a": 2.0}], [1.0, {"a": 2}]) and not scalar.same_json([1], [True]) and not scalar.same_json(1, 1.0, False)
+    assert leaves.same([1, {"a": 2.0}], [1.0, {"a": 2}]) and not leaves.same([1], [True]) and not leaves.same(1, 1.0, False)
+    assert not leaves.same({"a": ["x"]}, {"a": {"0": "x"}}) and not leaves.same({"a.b": 1}, {"a": {"b": 1}}) and not leaves.same({}, []) and not leaves.same("1", 1)
 
 
 def test_joins_of_hot_and_other_keys_agree(spark):

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from traceloom.functions import leaves
+
 
 def alias(c: Column, classes: list[tuple[str, str]]) -> Column:
     """The name of the first class whose pattern matches the whole value, else the value."""
@@ -106,60 +105,27 @@ def keywords(c: Column, stop: tuple[str, ...]) -> Column:
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(*stop))))
 
 
-def _canonical(v, strict: bool):
-    if isinstance(v, str):
-        return unicodedata.normalize("NFC", v) if strict else v
-    if isinstance(v, list):
-        return [_canonical(x, strict) for x in v]
-    if isinstance(v, dict):
-        out = {_canonical(k, strict): _canonical(x, strict) for k, x in v.items()}
-        if len(out) < len(v):
-            raise ValueError("two keys are one after normalisation")
-        return out
-    if isinstance(v, float) and strict and (v != v or v in (float("inf"), float("-inf"))):
-        raise ValueError("a number that JSON has no form for")
-    return v
-
-
-def _canon(text: str | None, strict: bool) -> str | None:
-    try:
-        v = _canonical(json.loads(text), strict)
-    except (TypeError, ValueError):
-        return None
-    return json.dumps(v, ensure_ascii=False, sort_keys=True, **({"separators": (",", ":"), "allow_nan": False} if strict else {}))
-
-
 @F.pandas_udf(StringType())
 def canonical_json(values: pd.Series) -> pd.Series:
     """Sorted keys, no spaces, NFC strings; null where the text is no JSON, has NaN, or two keys become one."""
-    return values.map(lambda v: _canon(v, True))
+    return values.map(leaves.canonical)
 
 
 @F.pandas_udf(StringType())
 def loose_json(values: pd.Series) -> pd.Series:
     """Sorted keys with the usual spaces, strings as they are; null where the text is no JSON."""
-    return values.map(lambda v: _canon(v, False))
-
-
-def same_json(a, b, numbers_agree: bool = True) -> bool:
-    """Equal values of equal types. A boolean is never a number; an integer is a float of its value only if ``numbers_agree``."""
-    if isinstance(a, dict) and isinstance(b, dict):
-        return a.keys() == b.keys() and all(same_json(a[k], b[k], numbers_agree) for k in a)
-    if isinstance(a, list) and isinstance(b, list):
-        return len(a) == len(b) and all(same_json(x, y, numbers_agree) for x, y in zip(a, b))
-    number = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
-    return a == b and (type(a) is type(b) or (numbers_agree and number(a) and number(b)))
+    return values.map(lambda v: leaves.canonical(v, composed=False))
 
 
 def json_equal(numbers_agree: bool = True):
-    """A pandas UDF of two JSON texts; false where either is no JSON."""
+    """A pandas UDF of two JSON texts: whether they have the same leaves; false where either is no JSON."""
 
     @F.pandas_udf("boolean")
     def equal(a: pd.Series, b: pd.Series) -> pd.Series:
         def one(x, y):
             try:
-                return same_json(json.loads(x), json.loads(y), numbers_agree)
-            except (TypeError, ValueError):
+                return leaves.same(leaves.read_json(x), leaves.read_json(y), numbers_agree)
+            except ValueError:
                 return False
 
         return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="bool")

@@ -74,13 +74,18 @@ def gates(events: DataFrame, rules: list[tuple[str, str, float]]) -> DataFrame:
     return long.join(F.broadcast(r), "metric").select("metric", "op", "bound", F.when(ok, "PASS").otherwise("FAIL").alias("status"))
 
 
-def upsert(board: DataFrame, runs: DataFrame, key: str, value: str) -> DataFrame:
-    """Rows of ``board`` (id, key, value) overwritten by ``runs`` (key, value) with their id kept; new keys get the ids after the largest."""
-    new = runs.join(board.select(key), key, "left_anti")
+def upsert(board: DataFrame, runs: DataFrame, key: str, value: str, order: str | None = None) -> DataFrame:
+    """Rows of ``board`` (id, key, value) overwritten by ``runs`` (key, value) with their id kept; new keys get the ids after the largest.
+
+    Of several runs of a key the last one by ``order`` counts, or, without it,
+    by value, so a key has one row. ``board`` has one row a key.
+    """
+    last = runs.groupBy(key).agg(F.max_by(value, F.struct(*([order] if order else []), value)).alias(value))
+    new = last.join(board.select(key), key, "left_anti")
     top = board.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     placed = running(new.withColumn("one", F.lit(1)), [], [key], "one")
     added = placed.crossJoin(F.broadcast(top)).select((F.col("top") + F.col("upto")).cast("int").alias("id"), key, value)  # top is one row
-    kept = board.join(runs.select(key, F.col(value).alias("__new")), key, "left").select("id", key, F.coalesce("__new", value).alias(value))
+    kept = board.join(last.select(key, F.col(value).alias("__new")), key, "left").select("id", key, F.coalesce("__new", value).alias(value))
     return kept.unionByName(added)
 
 

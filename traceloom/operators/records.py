@@ -7,8 +7,10 @@ empty results, repeated rows are each kept where no key makes them one.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from traceloom.functions import scalar
 from traceloom.session import small_side
@@ -28,18 +30,58 @@ def within_budget(rows: DataFrame, group: str, price: str, ceiling: float) -> Da
     return rows.withColumn("known", known).where(~F.col("known") | F.col(price).isNull() | (F.col(price) <= ceiling)).drop("known")
 
 
-def contained(rows: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
-    """(row, name) pairs whose text holds the name as a run of whole words.
+#: ASCII characters that are no part of a word; others, of any script, are kept.
+GAPS = r"[\x00-\x22\x24-\x2F\x3A-\x5E\x60\x7B-\x7F]+"
+WORD = frozenset("abcdefghijklmnopqrstuvwxyz0123456789_#")
 
-    The names' first words are the join key, so a text is met only by names that
-    begin with one of its words; no pair is formed otherwise.
+
+def plain_words(c: Column) -> Column:
+    """Lower case, with one space for every run of ASCII characters that are no part of a word."""
+    return F.regexp_replace(F.lower(c), GAPS, " ")
+
+
+def contained(rows: DataFrame, text: str, names: DataFrame, name: str, most: int = 200_000) -> DataFrame:
+    """(row, name) pairs whose text holds the name, both as ``plain_words``.
+
+    A name that begins or ends with an ASCII letter, digit, _ or # does not
+    count inside a longer run of these; names of other scripts count anywhere,
+    as their texts have no spaces. Names without any word, and null texts, are
+    in no pair; a name is found once a row.
+
+    Names go to the tasks as an automaton, at most ``most`` at once: a larger
+    registry is dealt by hash and takes a pass over the rows for each deal.
     """
-    words = F.array_distinct(F.split(F.lower(F.col(text)), "[^a-z0-9_#]+"))
-    keyed = rows.withColumn("word", F.explode(words)).where("word <> ''")
-    named = names.select(F.col(name).alias("name")).distinct().withColumn("first", F.element_at(F.split(F.lower("name"), "[^a-z0-9_#]+"), 1))
-    padded = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text)), "[^a-z0-9_#]+", " "), F.lit(" "))
-    inside = padded.contains(F.concat(F.lit(" "), F.regexp_replace(F.lower("name"), "[^a-z0-9_#]+", " "), F.lit(" ")))
-    return keyed.join(small_side(named), F.col("word") == F.col("first")).where(inside).drop("word", "first")
+    import ahocorasick
+
+    known = names.select(F.col(name).alias("name"), F.trim(plain_words(F.col(name))).alias("plain")).where("plain <> ''").distinct()
+    n, schema = known.count(), StructType([*rows.schema.fields, StructField("name", StringType())])
+    deals = -(-n // most)
+    found = rows.where("false").withColumn("name", F.lit(None).cast("string"))
+    for deal in range(deals):
+        forms: dict[str, list[str]] = {}
+        for r in known.where(F.pmod(F.xxhash64("plain"), F.lit(deals)) == deal).collect():  # bounded by most
+            forms.setdefault(r.plain, []).append(r.name)
+        shared = rows.sparkSession.sparkContext.broadcast(forms)
+
+        def run(batches, shared=shared):
+            tree = ahocorasick.Automaton()
+            for plain, of in shared.value.items():
+                tree.add_word(plain, (plain, of))
+            tree.make_automaton()
+            for b in batches:
+                at, hits = [], []
+                for i, t in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                    t, seen = f" {t or ''} ", set()
+                    for end, (plain, of) in tree.iter(t):
+                        inside = (plain[0] in WORD and t[end - len(plain)] in WORD) or (plain[-1] in WORD and t[end + 1] in WORD)
+                        if plain not in seen and not inside:
+                            seen.add(plain)
+                            at += [i] * len(of)
+                            hits += of
+                yield pa.RecordBatch.from_arrays([*b.take(pa.array(at, pa.int64())).columns[:-1], pa.array(hits, pa.string())], schema.names)
+
+        found = found.union(rows.withColumn("__plain", plain_words(F.col(text))).where("__plain IS NOT NULL").mapInArrow(run, schema))
+    return found
 
 
 def nearest(points: DataFrame, places: DataFrame, radius: float, step: float = 1.0) -> DataFrame:

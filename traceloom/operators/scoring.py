@@ -1,7 +1,7 @@
-"""Tool calls: parsers of what a model wrote, and the comparison of made with required calls.
+"""Tool calls: what a model wrote, read as calls, and made calls held against required ones.
 
-Segments are small (a handful of calls), so a pandas UDF compares one segment a
-row; Spark deals the segments. Null texts and arrays count as empty.
+A call is (tool, args) with its arguments as a JSON text. Calls are compared by
+their canonical arguments, a list of (key, text) in order of key.
 """
 
 from __future__ import annotations
@@ -10,164 +10,284 @@ import ast
 import json
 import re
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from traceloom.functions.scalar import same_json
-
-CALL = "struct<tool:string,args:string>"
-MATCH = "correct int, extra int, structure boolean, reasons array<string>"
-PARSED = f"calls array<{CALL}>, malformed boolean"
-
-
-def _args(call) -> dict | None:
-    try:
-        v = json.loads(call["args"])
-    except (TypeError, ValueError):
-        return None
-    return v if isinstance(v, dict) else None
-
-
-def _reason(want, got) -> str | None:
-    """Why two calls of one tool differ; null if they do not."""
-    a, b = _args(want), _args(got)
-    if b is None:
-        return "unparseable_args"
-    a = a or {}
-    if same_json(a, b):
-        return None
-    return "wrong_args:" + min(key for key in a.keys() | b.keys() if key not in a or key not in b or not same_json(a[key], b[key]))
-
-
-def _equal(want, got) -> bool:
-    return want["tool"] == got["tool"] and _reason(want, got) is None
-
-
-def paired(required: list, made: list) -> list[tuple[int, int]]:
-    """A longest common subsequence, the leftmost required call first."""
-    same = [[_equal(r, m) for m in made] for r in required]
-    best = [[0] * (len(made) + 1) for _ in range(len(required) + 1)]
-    for i in reversed(range(len(required))):
-        for j in reversed(range(len(made))):
-            best[i][j] = 1 + best[i + 1][j + 1] if same[i][j] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(required) and j < len(made):
-        if same[i][j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
+from traceloom.functions import leaves
+
+PARTS, CALLS = (ArrayType(StructType([StructField(n, StringType()) for n in names])) for names in (("key", "text"), ("tool", "args")))
+PARSED = StructType([StructField("calls", CALLS), StructField("malformed", BooleanType())])
+
+
+# Canonical arguments
+
+
+def closed_aliases(text: Column, key: Column, classes: dict[str, list[tuple[str, str]]]) -> Column:
+    """A top-level argument's canonical text with whole-value aliases of its key replaced: pattern to name, ``$1`` allowed.
+
+    Only strings have aliases; a pattern must match the whole of one.
+    """
+    out = text
+    for name, pairs in classes.items():
+        for pattern, by in reversed(pairs):
+            whole = f"^string:(?:{pattern})$"
+            out = F.when((key == name) & text.rlike(whole), F.regexp_replace(text, whole, f"string:{by}")).otherwise(out)
+    return out
+
+
+@F.pandas_udf(PARTS)
+def argument_parts(args: pd.Series) -> pd.Series:
+    """Top-level arguments of a JSON object, in order of key, as type and text; null where the text is no JSON object."""
+
+    def text(v) -> str:
+        kind, shown = leaves.scalar_leaf(v) if not isinstance(v, (dict, list)) else ("parts", json.dumps(sorted(leaves.leaves(v).items()), ensure_ascii=False))
+        return f"{kind}:{'' if shown is None else shown}"
+
+    def of(a):
+        try:
+            v = leaves.read_json(a)
+        except ValueError:
+            return None
+        return [{"key": k, "text": text(v[k])} for k in sorted(v)] if isinstance(v, dict) else None
+
+    return args.map(of)
+
+
+def canonical(calls: DataFrame, key: list[str], classes: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
+    """(key, pos, run, tool, args, parts, sign) of calls (key, pos, round, tool, args).
+
+    ``run`` numbers the runs of one round number along ``pos``: a number that
+    comes back later is another round. ``sign`` is equal for equal calls; null
+    ``args`` and those that are no JSON object have null ``parts`` and equal
+    nothing.
+    """
+    along = Window.partitionBy(*key).orderBy("pos")
+    new = F.coalesce((~F.col("round").eqNullSafe(F.lag("round").over(along))) | (F.row_number().over(along) == 1), F.lit(True))
+    read = calls.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    read = read.withColumn("parts", argument_parts("args"))
+    if classes:
+        read = read.withColumn("parts", F.transform("parts", lambda p: F.struct(p["key"].alias("key"), closed_aliases(p["text"], p["key"], classes).alias("text"))))
+    return read.select(*key, "pos", F.col("run").cast("long").alias("run"), "tool", "args", "parts", F.concat(F.to_json(F.array("tool")), F.to_json("parts")).alias("sign"))
+
+
+# Comparison
+
+
+def pairing(want: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """For each wanted sign the place of its partner in a longest common subsequence, else -1; -1 in ``made`` equals nothing.
+
+    Row i of the table holds, for each start, the longest common subsequence of
+    what is left; a row is the running maximum, from the end, of the row below
+    and of it moved by one where the signs are equal. Of several subsequences
+    the one that gives up earlier wanted calls first counts.
+    """
+    n, m = len(want), len(made)
+    equal = want[:, None] == made
+    table = np.zeros((n + 1, m + 1), np.int32)
+    for i in range(n - 1, -1, -1):
+        below = table[i + 1]
+        step = np.maximum(below[:-1], (below[1:] + 1) * equal[i])
+        table[i, :-1] = np.maximum.accumulate(step[::-1])[::-1]
+    out, j = np.full(n, -1), 0
+    for i in range(n):
+        stops = equal[i, j:] | (table[i + 1, j:-1] >= table[i, j + 1 :])  # a partner, or none is worth going on for
+        if not stops.any():
+            break
+        j += int(stops.argmax())
+        if equal[i, j]:
+            out[i], j = j, j + 1
     return out
 
 
-def compare(required: list, made: list, required_rounds: list, made_rounds: list) -> tuple[int, int, bool, list[str]]:
-    """(correct, extra, structure, reasons): a reason for every required call, then ``extra_call`` for each one left over.
+@F.pandas_udf(ArrayType(IntegerType()))
+def partners(want: pd.Series, made: pd.Series) -> pd.Series:
+    """``pairing`` of two arrays of signs; a null array is empty and a null sign equals nothing."""
 
-    An unpaired required call takes the first unused call of its tool. The
-    structure is right if the rounds hold equal calls, place by place.
+    def of(a, b):
+        a, b = ([] if x is None else list(x) for x in (a, b))
+        kinds = {s: i for i, s in enumerate(dict.fromkeys(s for s in a if s is not None))}
+        return pairing(np.array([kinds.get(s, -2) for s in a], np.int64), np.array([kinds.get(s, -1) for s in b], np.int64)).tolist()
+
+    return pd.Series([of(a, b) for a, b in zip(want, made)], dtype=object)
+
+
+def _with_objects(required: DataFrame) -> DataFrame:
+    """Required calls whose arguments are no JSON object ask for none."""
+    return required.withColumn("args", F.when(F.get_json_object("args", "$").startswith("{"), F.col("args")).otherwise("{}"))
+
+
+def call_details(required: DataFrame, made: DataFrame, key: list[str], classes: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
+    """(key, required_pos, made_pos, tool, required_args, made_args, reason): a row for every required call and every extra one.
+
+    Both sides are calls (key, pos, round, tool, args); ``key`` names a segment,
+    whose calls must fit in a row. Reasons: ``correct``; of a required call
+    without a partner that meets the first unused call of its tool,
+    ``unparseable_args``, ``wrong_args:<first differing key>`` or
+    ``out_of_order``; ``missing`` without such a call; ``extra_call`` for calls
+    left over. Required arguments that are no JSON object count as {}.
     """
-    pairs = dict(paired(required, made))
-    used, reasons = set(pairs.values()), []
-    for i, want in enumerate(required):
-        if i in pairs:
-            reasons.append("correct")
-            continue
-        j = next((j for j, got in enumerate(made) if j not in used and got["tool"] == want["tool"]), None)
-        if j is None:
-            reasons.append("missing")
-        else:
-            used.add(j)
-            reasons.append(_reason(want, made[j]) or "out_of_order")
-    extra = len(made) - len(used)
-    shape = lambda rounds: [sum(r == x for r in rounds) for x in dict.fromkeys(rounds)]
-    structure = len(required) == len(made) and shape(required_rounds) == shape(made_rounds) and all(map(_equal, required, made))
-    return len(pairs), extra, structure, reasons + ["extra_call"] * extra
-
-
-def match_segment(required: Column, made: Column) -> Column:
-    """Of two arrays of calls (tool, args, round), in order: correct, extra, structure and reasons."""
-
-    @F.pandas_udf(MATCH)
-    def match(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = []
-        for x, y in zip(a, b):
-            x, y = [list(z) if z is not None else [] for z in (x, y)]
-            rows.append(compare(x, y, [c["round"] for c in x], [c["round"] for c in y]))
-        return pd.DataFrame(rows, columns=["correct", "extra", "structure", "reasons"])
-
-    return match(required, made)
-
-
-BLOCK = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
-MARK = re.compile(r"<\s*/?\s*tool_call")
-FUNCTION = re.compile(r"<function=([^>\s]+)>(.*?)</function>", re.S)
-PARAMETER = re.compile(r"<parameter=([^>\s]+)>\n?(.*?)\n?</parameter>", re.S)
-
-
-def tagged_calls(text: str | None) -> tuple[list[dict], bool]:
-    """Calls of ``<tool_call><function=f><parameter=p>v</parameter></function></tool_call>`` blocks, and whether anything is malformed."""
-    blocks, calls = BLOCK.findall(text or ""), []
-    bad = len(MARK.findall(text or "")) != 2 * len(blocks)
-    for block in blocks:
-        found = FUNCTION.findall(block)
-        bad |= len(found) != 1 or bool(FUNCTION.sub("", block).strip())
-        for name, body in found:
-            given = PARAMETER.findall(body)
-            bad |= len(dict(given)) < len(given) or bool(PARAMETER.sub("", body).strip())
-            calls.append({"tool": name, "args": json.dumps(dict(given), ensure_ascii=False)})
-    return calls, bad
-
-
-def bracketed_calls(text: str | None, opening: str = "<|tool_call_start|>", closing: str = "<|tool_call_end|>") -> tuple[list[dict], bool]:
-    """Calls of one ``[f(a=1), g()]`` between markers: named literal arguments only, read as syntax and never run."""
-    text = re.sub(r"(?is)<think>.*?</think>", "", text or "")
-    if opening not in text and closing not in text:
-        return [], False
-    if text.count(opening) != 1 or text.count(closing) != 1 or text.index(closing) < text.index(opening):
-        return [], True
-    before, rest = text.split(opening)
-    inside, after = rest.split(closing)
-    try:
-        tree = ast.parse(inside.strip(), mode="eval").body
-        nodes = tree.elts if isinstance(tree, (ast.List, ast.Tuple)) else [tree]
-        calls = []
-        for node in nodes:
-            names = [k.arg for k in node.keywords]
-            if node.args or None in names or len(set(names)) < len(names):
-                return [], True
-            calls.append({"tool": node.func.id, "args": json.dumps({k.arg: ast.literal_eval(k.value) for k in node.keywords}, ensure_ascii=False)})
-    except (SyntaxError, ValueError, TypeError, AttributeError, RecursionError, MemoryError):
-        return [], True
-    return calls, not calls or bool(before.strip() or after.strip())
-
-
-def parse_with(parser):
-    """A pandas UDF of a parser, text to (calls, malformed)."""
+    a, b = canonical(_with_objects(required), key, classes), canonical(made, key, classes)
+    row = lambda df: df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", "tool", "args", "parts", "sign"))).alias("calls"))
+    both = row(a).withColumnRenamed("calls", "want").join(row(b).withColumnRenamed("calls", "made"), key, "full")
+    both = both.withColumn("to", partners("want.sign", "made.sign"))
+    want = both.where("want IS NOT NULL").select(*key, F.posexplode("want").alias("i", "w"), "made", "to").select(*key, "w", F.expr("get(made, nullif(get(to, i), -1))").alias("m"))
+    matched = want.where("m IS NOT NULL").select(*key, "w", "m", F.lit("correct").alias("reason"))
+    # The first unpaired call of a tool takes the tool's first unused one, the second the second, and so on.
+    place = lambda c: F.row_number().over(Window.partitionBy(*key, "tool").orderBy(f"{c}.pos"))
+    open_ = want.where("m IS NULL").select(*key, F.col("w.tool").alias("tool"), "w").withColumn("place", place("w"))
+    unused = both.where("made IS NOT NULL").select(*key, F.posexplode("made").alias("j", "m"), "to").where("to IS NULL OR NOT array_contains(to, j)")
+    unused = unused.select(*key, F.col("m.tool").alias("tool"), "m").withColumn("place", place("m"))
+    text = lambda parts, k: f"get(filter({parts}, p -> p.key = {k}), 0).text"
+    differing = F.expr(f"array_min(filter(array_union(w.parts.key, m.parts.key), k -> NOT ({text('w.parts', 'k')} <=> {text('m.parts', 'k')})))")
+    why = F.when(F.col("m.parts").isNull(), "unparseable_args").when(differing.isNull(), "out_of_order").otherwise(F.concat(F.lit("wrong_args:"), differing))
+    why = F.when(F.col("w").isNull(), "extra_call").when(F.col("m").isNull(), "missing").otherwise(why)
+    rest = open_.join(unused, [*key, "tool", "place"], "full").select(*key, "w", "m", why.alias("reason"))
+    return matched.unionByName(rest).select(*key, F.col("w.pos").alias("required_pos"), F.col("m.pos").alias("made_pos"), F.coalesce("w.tool", "m.tool").alias("tool"), F.col("w.args").alias("required_args"), F.col("m.args").alias("made_args"), "reason")
+
+
+def segment_scores(details: DataFrame, required: DataFrame, made: DataFrame, key: list[str], classes: dict[str, list[tuple[str, str]]] | None = None) -> DataFrame:
+    """(key, required, correct, extra, structure) of every segment of either side.
+
+    ``structure``: the same rounds, as runs, of the same number of equal calls,
+    place by place.
+    """
+    shape = lambda df: canonical(df, key, classes).groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "run", "sign"))), lambda c: F.struct(c["run"].alias("run"), c["sign"].alias("sign"))).alias("shape"))
+    a, b = shape(_with_objects(required)).withColumnRenamed("shape", "want"), shape(made).withColumnRenamed("shape", "got")
+    shapes = a.join(b, key, "full").select(*key, F.coalesce(F.col("want") == F.col("got"), F.lit(False)).alias("structure"))
+    n = details.groupBy(*key).agg(F.count("required_pos").alias("required"), F.count_if(F.col("reason") == "correct").alias("correct"), F.count_if(F.col("reason") == "extra_call").alias("extra"))
+    return shapes.join(n, key).select(*key, "required", "correct", "extra", "structure")
+
+
+def task_scores(segments: DataFrame, tasks: DataFrame, task: str) -> DataFrame:
+    """(tasks' columns, required, correct, extra, matched): segments added up by task.
+
+    ``tasks`` has a row a task, with ``complete`` and ``error``; a task matches
+    if all its segments have the right structure, it is complete and no error
+    stopped it. A task without calls on either side has none and may match.
+    """
+    sums = segments.groupBy(task).agg(F.sum("required").alias("required"), F.sum("correct").alias("correct"), F.sum("extra").alias("extra"), F.bool_and("structure").alias("whole"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    matched = F.coalesce("whole", F.lit(True)) & F.coalesce("complete", F.lit(False)) & F.col("error").isNull()
+    return tasks.join(sums, task, "left").select(*tasks.columns, zero("required"), zero("correct"), zero("extra"), matched.alias("matched"))
+
+
+def summary(scores: DataFrame, slices: dict[str, Column], task: str) -> DataFrame:
+    """One row a slice and value, and one for all: rates, latencies, tokens and costs of ``task_scores``.
+
+    Rates have four places, 1.0 for calls where nothing is required; costs six;
+    latencies are nearest ranks to one place, null without one. ``least_task``
+    and ``most_task`` locate the slice's tasks. ``scores`` has cost, latency,
+    tokens_in and tokens_out besides. Tasks are numbered along latency in
+    ranges, so no task holds a slice.
+    """
+    from traceloom.operators.ranks import running
+
+    every = F.explode(F.array(F.struct(F.lit("overall").alias("slice"), F.lit("all").alias("value")), *[F.struct(F.lit(k).alias("slice"), c.cast("string").alias("value")) for k, c in slices.items()]))
+    long = scores.withColumn("s", every).select("s.slice", F.coalesce("s.value", F.lit("")).alias("value"), task, "required", "correct", "extra", "matched", "error", "cost", "latency", "tokens_in", "tokens_out")
+    rate = F.coalesce(F.when(F.sum("required") > 0, F.round(F.sum("correct") / F.sum("required"), 4)), F.lit(1.0))
+    sums = long.groupBy("slice", "value").agg(
+        F.count("*").alias("n"), F.round(F.avg(F.col("matched").cast("int")), 4).alias("trace_match"), rate.alias("call_match"), F.sum("required").alias("required"), F.sum("correct").alias("correct"), F.sum("extra").alias("extra"),
+        F.count("error").alias("errors"), F.count("latency").alias("latencies"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"),
+        F.round(F.sum("cost"), 6).alias("cost"), F.round(F.sum("cost") / F.count("*"), 6).alias("cost_a_task"), F.min(task).alias("least_task"), F.max(task).alias("most_task"))
+    ranked = running(long.where("latency IS NOT NULL").withColumn("one", F.lit(1)), ["slice", "value"], ["latency", task], "one")
+    at = lambda q: F.max(F.when(F.col("upto") == F.greatest(F.lit(1), F.ceil(F.col("total") * q)), F.round("latency", 1)))
+    ranks = ranked.groupBy("slice", "value").agg(at(0.5).alias("p50"), at(0.95).alias("p95"))
+    return sums.join(ranks, ["slice", "value"], "left")
+
+
+# Parsers
+
+
+def tagged_calls(text: Column) -> Column:
+    """Struct (calls, malformed) of ``<tool_call><function=f><parameter=p>v</parameter></function></tool_call>`` blocks; null text has none.
+
+    Column functions alone: blocks are cut out, and in each the function and its
+    parameters. Malformed: a tag of a call outside whole blocks, a block of
+    other than one function, text beside a block's function or a function's
+    parameters, and a parameter given twice.
+    """
+    block, function, parameter = r"(?s)<tool_call>(.*?)</tool_call>", r"(?s)<function=([^>\s]+)>(.*?)</function>", r"(?s)<parameter=([^>\s]+)>\n?(.*?)\n?</parameter>"
+    every = lambda c, pattern, i: F.regexp_extract_all(c, F.lit(pattern), F.lit(i))
+    text = F.coalesce(text, F.lit(""))
+    blocks = every(text, block, 1)
+    beside = lambda c, pattern: F.regexp_replace(F.regexp_replace(c, pattern, ""), r"\s+", "") != ""
+
+    def call(name: Column, body: Column) -> Column:
+        names, values = every(body, parameter, 1), every(body, parameter, 2)
+        last = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda x, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), x["k"]))
+        args = F.coalesce(F.to_json(F.map_from_entries(last)), F.lit("{}"))
+        twice = F.size(F.array_distinct(names)) < F.size(names)
+        return F.struct(name.alias("tool"), args.alias("args"), (twice | beside(body, parameter)).alias("bad"))
+
+    def calls_of(inside: Column) -> Column:
+        names, bodies = every(inside, function, 1), every(inside, function, 2)
+        own = F.transform(F.sequence(F.lit(0), F.size(names) - 1), lambda i: call(F.get(names, i), F.get(bodies, i)))
+        own = F.when(F.size(names) > 0, own).otherwise(F.expr("cast(array() AS array<struct<tool:string,args:string,bad:boolean>>)"))
+        return F.struct(own.alias("calls"), ((F.size(names) != 1) | beside(inside, function)).alias("bad"))
+
+    read = F.transform(blocks, calls_of)
+    calls = F.flatten(F.transform(read, lambda b: b["calls"]))
+    bad = F.regexp_count(text, F.lit(r"<\s*/?\s*tool_call")) != 2 * F.size(blocks)
+    bad = bad | F.exists(read, lambda b: b["bad"]) | F.exists(calls, lambda c: c["bad"])
+    return F.struct(F.transform(calls, lambda c: F.struct(c["tool"].alias("tool"), c["args"].alias("args"))).alias("calls"), bad.alias("malformed"))
+
+
+def _literal_call(node: ast.expr) -> dict:
+    """A call of a plain name with distinct named literals; ValueError for anything else."""
+    if not isinstance(node, ast.Call) or not isinstance(node.func, ast.Name) or node.args:
+        raise ValueError("no call of named arguments")
+    given = {k.arg: ast.literal_eval(k.value) for k in node.keywords}
+    if None in given or len(given) < len(node.keywords):
+        raise ValueError("an argument without a name, or one twice")
+    return {"tool": node.func.id, "args": json.dumps(given, ensure_ascii=False)}
+
+
+def bracketed_calls(opening: str = "<|tool_call_start|>", closing: str = "<|tool_call_end|>"):
+    """A pandas UDF, text to (calls, malformed), of one ``[f(a=1), g()]`` between markers: literals only, read as syntax and never run."""
+    thought = re.compile(r"<think>.*?</think>", re.S | re.I)
+    marked = re.compile(re.escape(opening) + "|" + re.escape(closing))
+
+    def of(text: str | None) -> tuple[list[dict], bool]:
+        text = thought.sub("", text or "")
+        marks, parts = marked.findall(text), marked.split(text)
+        if not marks:
+            return [], False
+        if marks != [opening, closing]:
+            return [], True
+        try:
+            tree = ast.parse(parts[1].strip(), mode="eval").body
+            calls = list(map(_literal_call, tree.elts if isinstance(tree, (ast.List, ast.Tuple)) else [tree]))
+        except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
+            return [], True
+        return calls, not calls or bool(parts[0].strip() or parts[2].strip())
 
     @F.pandas_udf(PARSED)
     def parse(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parser(t) for t in texts], columns=["calls", "malformed"])
+        return pd.DataFrame([of(t) for t in texts], columns=["calls", "malformed"])
 
     return parse
 
 
-def emission_reward(parser, w_call: float = 0.8, w_struct: float = 0.2, w_extra: float = 0.1, w_format: float = 0.3, low: float = 0.0, high: float = 1.0):
-    """A pandas UDF of required calls and a text: calls are compared place by place; silence is right where none is required."""
+def emission_reward(w_call: float = 0.8, w_struct: float = 0.2, w_extra: float = 0.1, w_format: float = 0.3, low: float = 0.0, high: float = 1.0):
+    """A pandas UDF of required calls, made calls and whether these are malformed: calls are held against each other place by place; silence is right where none is required."""
+
+    def right(want, made) -> bool:
+        try:
+            return want["tool"] == made["tool"] and leaves.same(leaves.read_json(want["args"]), leaves.read_json(made["args"]))
+        except ValueError:
+            return False
 
     @F.pandas_udf("double")
-    def reward(required: pd.Series, texts: pd.Series) -> pd.Series:
-        out = []
-        for want, text in zip(required, texts):
-            want = list(want) if want is not None else []
-            made, bad = parser(text)
-            right = sum(map(_equal, want, made))
-            extra = max(0, len(made) - len(want))
-            share = right / len(want) if want else float(not made and not bad)
-            whole = not bad and len(made) == len(want) == right
-            out.append(min(high, max(low, w_call * share + w_struct * whole - w_extra * extra - w_format * bad)))
-        return pd.Series(out, dtype="float64")
+    def reward(required: pd.Series, calls: pd.Series, malformed: pd.Series) -> pd.Series:
+        want, made = (c.map(lambda x: [] if x is None else list(x)) for c in (required, calls))
+        n, m, bad = want.map(len), made.map(len), malformed.fillna(False).astype(bool)
+        hits = pd.Series([sum(map(right, a, b)) for a, b in zip(want, made)], index=n.index, dtype="int64")
+        silent = ((m == 0) & ~bad).astype(float)
+        share = (hits / n.where(n > 0, 1)).where(n > 0, silent)
+        whole = ~bad & (n == m) & (n == hits)
+        return (w_call * share + w_struct * whole - w_extra * (m - n).clip(lower=0) - w_format * bad).clip(low, high).astype("float64")
 
     return reward

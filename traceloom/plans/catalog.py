@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from traceloom.functions import text
 from traceloom.operators import arguments, audits, conversations, evaluation, evidence, graph, retrieval, sampling
 from traceloom.plans import records as record_queries
+from traceloom.plans import scores as score_queries
 from traceloom.plans import worlds as world_queries
 from traceloom.session import small_side, table
 from traceloom.streaming import episodes
@@ -160,5 +161,6 @@ def _credit(events: DataFrame) -> DataFrame:
 
 _add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 AND c >= r THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
 
-QUERIES |= record_queries.QUERIES | world_queries.QUERIES
-ORACLES |= record_queries.ORACLES | world_queries.ORACLES
+for group in (record_queries, world_queries, score_queries):
+    QUERIES |= group.QUERIES
+    ORACLES |= group.ORACLES

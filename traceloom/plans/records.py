@@ -224,12 +224,13 @@ _add("canonical_json", "events", lambda e: e.select("event_id", scalar.canonical
      "SELECT event_id, json(props)::VARCHAR AS strict, props AS loose, true AS equal, false AS identical FROM events")
 
 def _segments(e: DataFrame) -> DataFrame:
-    """Required: a user's first day; made: the last."""
+    """Required: the calls of a user's first day; made: those of the last, counted from its first."""
     w = Window.partitionBy("user_id")
-    days = e.withColumn("day", _day()).withColumn("a", F.min("day").over(w)).withColumn("z", F.max("day").over(w)).where("day IN (a, z)")
-    calls = "transform(array_sort(collect_list(struct(ts, event_id, event_type, props)) FILTER (WHERE day = {})), x -> struct(x.event_type AS tool, x.props AS args, hour(x.ts) AS round))"
-    by = days.groupBy("user_id").agg(F.expr(calls.format("a")).alias("required"), F.expr(calls.format("z")).alias("made"))
-    return by.select("user_id", scoring.match_segment(F.col("required"), F.col("made")).alias("m")).select("user_id", "m.*")
+    days = e.withColumn("day", _day()).withColumn("a", F.min("day").over(w)).withColumn("z", F.max("day").over(w))
+    calls = lambda d: days.where(F.col("day") == F.col(d)).select("user_id", F.struct("ts", "event_id").alias("pos"), F.hour("ts").alias("round"), F.col("event_type").alias("tool"), F.col("props").alias("args"))
+    details = scoring.call_details(calls("a"), calls("z"), ["user_id"])
+    reasons = details.groupBy("user_id").agg(F.array_sort(F.collect_list("reason")).alias("reasons"))
+    return scoring.segment_scores(details, calls("a"), calls("z"), ["user_id"]).join(reasons, "user_id")
 
 
 _add("segment_match", "events", _segments, None)
@@ -239,10 +240,10 @@ def _rendered(e: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     body = F.concat(F.lit("<tool_call>\n<function="), "event_type", F.lit(">\n<parameter=k>\n"), k, F.lit("\n</parameter>\n</function>\n</tool_call>"), F.when(F.col("event_id") % 5 == 0, "</tool_call").otherwise(""))
     line = F.concat(F.lit("<|tool_call_start|>["), "event_type", F.lit("(k="), k, F.lit(")]<|tool_call_end|>"), F.when(F.col("event_id") % 7 == 0, " and more").otherwise(""))
-    p = e.select("event_id", "event_type", "props", body.alias("body"), scoring.parse_with(scoring.tagged_calls)(body).alias("x"), scoring.parse_with(scoring.bracketed_calls)(line).alias("b"))
+    p = e.select("event_id", "event_type", "props", scoring.tagged_calls(body).alias("x"), scoring.bracketed_calls()(line).alias("b"))
     want = F.array(F.struct(F.col("event_type").alias("tool"), F.concat(F.lit('{"k": "'), F.get_json_object("props", "$.k"), F.lit('"}')).alias("args")))
     first = lambda c: F.try_element_at(F.col(f"{c}.calls"), F.lit(1))
-    return p.select("event_id", first("x")["tool"].alias("tool"), F.get_json_object(first("x")["args"], "$.k").alias("k"), F.col("x.malformed").alias("bad_tags"), F.get_json_object(first("b")["args"], "$.k").alias("bracket_k"), F.col("b.malformed").alias("bad_brackets"), F.round(scoring.emission_reward(scoring.tagged_calls)(want, F.col("body")), 6).alias("reward"))
+    return p.select("event_id", first("x")["tool"].alias("tool"), F.get_json_object(first("x")["args"], "$.k").alias("k"), F.col("x.malformed").alias("bad_tags"), F.get_json_object(first("b")["args"], "$.k").alias("bracket_k"), F.col("b.malformed").alias("bad_brackets"), F.round(scoring.emission_reward()(want, F.col("x.calls"), F.col("x.malformed")), 6).alias("reward"))
 
 
 _add("parsed_calls", "events", _rendered, """

@@ -46,13 +46,20 @@ def sealed(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
 
 
 def append_new(df: DataFrame, path: str, key: str) -> int:
-    """Appends the rows whose key is not in the table; a key that is there with other values is an error. Returns the number added."""
-    spark = df.sparkSession
+    """Appends the rows whose key is not in the table; returns the number added.
+
+    Equal rows of one append are written once. A key that comes with two values,
+    in the append or against the table, is an error, and then nothing is written.
+    """
+    spark, rest = df.sparkSession, [c for c in df.columns if c != key]
+    df = df.distinct()
+    clash = df.groupBy(key).count().where("count > 1")
+    if not clash.isEmpty():
+        raise ValueError(f"{key} comes with two values in one append")
     if not _there(spark, path):
         df.write.parquet(path)
         return spark.read.parquet(path).count()
     old = spark.read.parquet(path)
-    rest = [c for c in df.columns if c != key]
     differs = df.join(old.select(key, *(F.col(c).alias(f"__{c}") for c in rest)), key).where(~F.forall(F.array(*(F.col(c).eqNullSafe(F.col(f"__{c}")) for c in rest)), lambda x: x))
     if not differs.isEmpty():
         raise ValueError(f"{key} is there with other values")
