@@ -28,9 +28,9 @@ from traceloom.llm import vec
 from traceloom.session import shared_folder
 
 #: Bytes of text aligned at once; a longer text is aligned alone.
-SLICE = 1 << 23
-#: Bytes given to a tokenizer as one string.
-BLOCK = 1 << 15
+SLICE = 1 << 22
+#: Bytes given to a tokenizer as one string, and how many such strings at once.
+BLOCK, FEW = 1 << 15, 4
 #: Pairs that are broadcast: the ones in most documents.
 HOT_PAIRS = 300_000
 SPACE_MARK = "▁"
@@ -55,7 +55,8 @@ class ByteLevel:
         self.sizes = np.array([len(t) for t in self.token], np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+        few = (texts[i : i + FEW] for i in range(0, len(texts), FEW))  # what the library returns takes some hundred bytes a token
+        return [e.ids for some in few for e in self.model.encode_batch(some, add_special_tokens=False)]
 
 
 class Pieces:
