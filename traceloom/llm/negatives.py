@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traceloom.llm import vec
-from traceloom.session import shared_folder
+from traceloom.session import shared_folder, width
 
 #: Rows that the rotation is fitted on, by least hash of their id.
 FIT_ROWS = 10_000
@@ -255,7 +255,9 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     found = spark.read.schema("anchor long, mark long, rank int, id long, score long").parquet(f"{base}/positives")
 
     # Other labels: parts of all rows, each of which every anchor meets.
-    total = sizes.groupBy("dim").agg(F.sum("n").alias("n")).select("dim", F.ceil(F.col("n") / fits).alias("parts"))
+    # As many parts as there are partitions, while a part has some thousand rows.
+    dealt = F.least(F.lit(width(spark)).cast("long"), F.ceil(F.col("n") / ROWS))
+    total = sizes.groupBy("dim").agg(F.sum("n").alias("n")).select("dim", F.greatest(F.ceil(F.col("n") / fits), dealt).alias("parts"))
     share = lambda df: df.join(total, "dim")
     down = lambda x: f"((({x}) - pmod({x}, 100L)) div 100L)"  # noqa: E731  of a hundredth, in integers
     bounds = F.expr(f"-{down(f'-{floor}L * score')}").alias("low"), F.expr(down(f"{ceiling}L * score")).alias("high")
