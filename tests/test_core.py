@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from traceloom.functions import leaves, scalar
-from traceloom.operators import evaluation, graph, ranks, records, scoring, worlds
+from traceloom.operators import differences, evaluation, graph, ranks, records, schemas, scoring, selection, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -383,3 +383,58 @@ def test_ranks_of_a_large_and_small_groups(spark):
     want = {(g, k): (i + 1, len(keys)) for g, keys in by.items() for i, k in enumerate(sorted(keys))}
     assert {(r.g, r.key): (r["rank"], r["n"]) for r in ranks.hash_ranks(hashed, "g", "key", 1).collect()} == want
     assert ranks.running(df.where("false"), ["g"], ["x"], "w").count() == 0
+
+
+def test_schema_findings_of_single_values(spark):
+    schema = {
+        "type": "object", "required": ["a", "b"], "additionalProperties": False,
+        "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": ["string", "null"], "minLength": 2}, "l": {"type": "array", "maxItems": 2, "items": {"type": "object", "properties": {"n": {"type": "number"}}}}, "o'k": {"type": "boolean", "default": True}},
+    }
+    cases = {
+        '{"a": 1, "b": "xy"}': [], '{"a": 1.0, "b": null, "l": []}': [], None: [("$", "required")], "oops": [("$", "json")], "[1]": [("$", "type")], '{"a": true, "b": "xy"}': [("$.a", "type")],
+        '{"a": -1, "b": "x", "z": 1}': [("$.a", "minimum"), ("$.b", "minLength"), ("$.z", "additionalProperties")], '{"b": null}': [("$.a", "required")], '{"a": null, "b": null}': [("$.a", "type")],
+        '{"a": 1, "b": null, "l": [{"n": 1.5}, {"n": "1"}, 3]}': [("$.l", "maxItems"), ("$.l[1].n", "type"), ("$.l[2]", "type")], '{"a": 1, "b": null, "o\'k": 0}': [("$.o'k", "type")], '{"a": 1, "a": 2, "b": null}': [("$", "json")],
+    }
+    rows = spark.createDataFrame([(x,) for x in cases], "j string")
+    got = rows.select("j", schemas.violations(F.col("j"), schema).alias("f"), schemas.filled(F.col("j"), schema).alias("r")).collect()
+    assert {r.j: sorted((f.path, f.rule) for f in r.f) for r in got} == {k: sorted(v) for k, v in cases.items()}
+    assert {r.j: r.r["o'k"] for r in got if r.r} == {k: True for k, v in cases.items() if not v}
+    for bad in ({"type": "object", "oneOf": []}, {"type": "string", "format": "email"}):
+        with pytest.raises(ValueError):
+            schemas.violations(F.col("j"), bad)
+
+
+def test_audit_of_versions(spark):
+    schema = "k int, j string, n int, key string"
+    left = spark.createDataFrame([(1, '{"a": [1, {"b": 2}]}', 1, "x"), (None, "{}", 1, "x"), (2, "no json", None, "x"), (3, "{}", 1, "x"), (4, "{}", 1, "x"), (4, "{}", 1, "x"), (6, None, 1, "x")], schema)
+    right = spark.createDataFrame([(1, '{"a": [1.0, {"b": "2", "c": null}]}', 1, "y"), (None, "[]", 1, "x"), (2, "no json!", 0, "x"), (4, "{}", 1, "x"), (5, "{}", 1, "x"), (6, "null", 1, "x")], schema)
+    got = sorted(((r.k or 0, r.path, r.problem) for r in differences.audit(left, right, ["k"], ("j",)).collect()))
+    assert got == [
+        (0, "$.j", "type"), (1, "$.j.a[1].b", "type"), (1, "$.j.a[1].c", "only right"), (1, "$.key", "value"), (2, "$.j", "value"), (2, "$.n", "type"), (3, "$", "missing right"), (4, "$", "repeated left"), (5, "$", "missing left")]
+    assert differences.audit(left.where("k <> 4"), left.where("k <> 4"), ["k"], ("j",)).isEmpty() and differences.audit(left.limit(0), right.limit(0), ["k"]).isEmpty()
+    fewer = {(r.k, r.path, r.problem) for r in differences.audit(left.where("k = 3"), left.where("k = 3").drop("n"), ["k"]).collect()}
+    assert fewer == {(3, "$.n", "only left")}
+
+
+def test_exact_selection_against_all_choices(monkeypatch):
+    r = random.Random(1)
+    for _ in range(400):
+        monkeypatch.setattr(selection, "TABLED", r.choice([0, 2, 5, 16]))
+        d = r.randrange(1, 4)
+        kinds = [(v, r.randrange(1, 4)) for v in {tuple(r.randrange(4) for _ in range(d)) for _ in range(r.randrange(1, 5))}]
+        target = tuple(r.randrange(8) for _ in range(d))
+        sums = lambda xs: tuple(sum(x * v[j] for x, (v, _) in zip(xs, kinds)) for j in range(d))  # noqa: B023, E731
+        got = selection.solve(kinds, target)
+        if got is None:
+            assert all(sums(xs) != target for xs in itertools.product(*(range(n + 1) for _, n in kinds)))
+        else:
+            assert sums(got) == target and all(0 <= x <= n for x, (_, n) in zip(got, kinds))
+
+
+def test_selection_without_an_answer_is_an_error(spark):
+    rows = spark.createDataFrame([(g, r) for g in range(4) for r in "aab"], "g int, r string")
+    assert selection.choose_groups(rows, "g", "r", {"a": 4, "b": 2}).count() == 2
+    for targets in ({"a": 3, "b": 1}, {"a": 4}, {"a": 10, "b": 5}):
+        with pytest.raises(ValueError):
+            selection.choose_groups(rows, "g", "r", targets)
+    assert selection.choose_groups(rows.limit(0), "g", "r", {"a": 0}).count() == 0
