@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from traceloom.functions import leaves, scalar
-from traceloom.operators import differences, evaluation, graph, ranks, records, schemas, scoring, selection, worlds
+from traceloom.operators import differences, evaluation, graph, hybrid, ranks, records, schemas, scoring, selection, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -438,3 +438,26 @@ def test_selection_without_an_answer_is_an_error(spark):
         with pytest.raises(ValueError):
             selection.choose_groups(rows, "g", "r", targets)
     assert selection.choose_groups(rows.limit(0), "g", "r", {"a": 0}).count() == 0
+
+
+def test_cells_that_cannot_hold_a_hit_stay_closed(spark):
+    """Clustered vectors, equal ones and a cell of many parts: as the full scan, with few cells opened."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    x = np.repeat(r.normal(size=(12, 16)), 60, axis=0) + 0.02 * r.normal(size=(720, 16))
+    x = np.concatenate([x, np.tile(x[0], (200, 1))]).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(None, [0.0] * 16), (5000, None)], "vec_id long, embedding array<float>")
+    hits, opened = hybrid.vector_search(hybrid.build_index(rows, n_cells=24, part_rows=50), rows.where("vec_id % 20 = 0 AND vec_id < 5000"), "vec_id", "embedding", 10)
+    dots = x.astype(float) @ x.astype(float).T
+    score = np.floor(np.abs(dots) * 1e4 + 0.5) * np.sign(dots) / 1e4
+    want = {(i, j, k + 1) for i in range(0, 920, 20) for k, j in enumerate(sorted((j for j in range(920) if j != i), key=lambda j: (-score[i, j], j))[:10])}
+    assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == want
+    seen = opened.collect()
+    assert len(seen) == 46 and sum(o.opened for o in seen) < 0.5 * sum(o.cells for o in seen)
+    none = hybrid.vector_search(hybrid.build_index(rows.limit(0)), rows.limit(0), "vec_id", "embedding", 3)
+    assert none[0].count() == none[1].count() == 0
+
+
+def test_search_uses_both_strategies(spark, small):
+    assert {r.strategy for r in QUERIES["hybrid_search"](spark, small).select("strategy").distinct().collect()} == {"location_priority", "hybrid_fallback"}

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from traceloom.operators.ranks import running
 from traceloom.session import small_side
 
 
@@ -63,17 +64,13 @@ def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
 def rrf(docs: DataFrame, first: tuple[str, ...], second: tuple[str, ...], weights=(1.5, 0.7), k: int = 60, least: float = 0.02) -> DataFrame:
     """Weighted reciprocal-rank fusion of two whole keyword rankings, with a threshold.
 
-    Ranks come from counts: rows are few per (tf) value class, so a rank is the
-    number of rows with a larger tf, summed over the distinct values of tf, plus
-    the place among equals, and no window holds a whole ranking.
+    Ranks are counted along ranges of (tf, doc_id), so no task holds a ranking
+    or the many documents of one tf.
     """
     ranks = []
     for n, words in enumerate((first, second)):
-        found = keyword_tf(docs, words)
-        sizes = found.groupBy("tf").agg(F.count("*").alias("c"))
-        above = F.coalesce(F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("tf")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over the few values of tf
-        place = F.row_number().over(Window.partitionBy("tf").orderBy("doc_id")) - 1
-        ranks.append(found.withColumn("place", place).join(sizes.withColumn("above", above), "tf").select("doc_id", (F.col("above") + F.col("place")).alias(f"r{n}")))
+        found = keyword_tf(docs, words).select((-F.col("tf")).alias("less"), "doc_id", F.lit(1).alias("one"))
+        ranks.append(running(found, [], ["less", "doc_id"], "one").select("doc_id", (F.col("upto") - 1).alias(f"r{n}")))
     part = lambda n: F.coalesce(weights[n] / (k + F.col(f"r{n}") + 1), F.lit(0.0))
     both = ranks[0].join(ranks[1], "doc_id", "full")
     return both.select("doc_id", (part(0) + part(1)).alias("score")).where(F.col("score") >= least)
