@@ -126,7 +126,7 @@ def test_a_long_text_of_equal_lines_and_its_bitmap(spark):
     docs = spark.createDataFrame([(1, "\n".join(["same", "own 1", "own 2"] * 20_000)), *((i, "same") for i in range(2, 12))], "doc_id long, text string")
     bits = {r.doc_id: r for r in line_dedup.keep_bitmaps(docs).collect()}
     assert bits[1].n_dropped == 20_000 and len(bits[1].keep_runs) == 20_000  # its own lines are in one document, however often
-    assert [tuple(x) for x in bits[1].keep_runs][:2] == [(1, 2), (4, 2)] and bits[2].keep_runs == []
+    assert [tuple(x) for x in bits[1].keep_runs][:2] == [(1, 2), (4, 2)] and [r.start for r in bits[2].keep_runs] == [1]  # from behind its only line on
 
 
 # op13
