@@ -15,7 +15,7 @@ from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
 from traceloom.sources import files
-from traceloom.streaming import episodes
+from traceloom.streaming import capped, episodes
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -461,3 +461,40 @@ def test_cells_that_cannot_hold_a_hit_stay_closed(spark):
 
 def test_search_uses_both_strategies(spark, small):
     assert {r.strategy for r in QUERIES["hybrid_search"](spark, small).select("strategy").distinct().collect()} == {"location_priority", "hybrid_fallback"}
+
+
+def test_capped_episodes_as_a_stream(spark, small, tmp_path):
+    """Shuffled micro-batches give what the windows give over the table; an action behind the watermark changes nothing."""
+    from datetime import datetime, timedelta
+
+    r, t0 = random.Random(8), datetime(2024, 1, 1)
+    kinds = ["person", "ask", "tool", "final", "other"]
+    rows = [(f"e{i % 12}", t0 + timedelta(seconds=20 * i + r.randrange(20)), i, r.choices(kinds, [{0: 1, 1: 9, 2: 3}[i % 3], 3, 3, 1, 1])[0], r.choice(["a", "b", None])) for i in range(900)]
+    table_ = spark.createDataFrame(rows, "episode string, ts timestamp, seq long, kind string, slot string")
+    want = sorted(map(tuple, capped.ended(table_).collect()))
+    assert len({w[1] for w in want}) >= 2
+    end = rows[-1][1]
+    parts = [r.sample(rows[k : k + 300], 300) for k in range(0, 900, 300)]
+    parts += [[("far", end + timedelta(hours=9), 0, "other", None)], [("e0", t0, 10_000 + k, "final", None) for k in range(3)] + [("far", end + timedelta(hours=20), 1, "other", None)]]
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, table_.schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    capped.keep_in_rocksdb(spark)
+    try:
+        stream = spark.readStream.schema(table_.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        seen = []
+        q = capped.stream_ended(stream, "2 hours").writeStream.outputMode("append").foreachBatch(lambda b, _: seen.extend(map(tuple, b.collect()))).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted(seen) == want
+
+
+def test_every_cap_is_reached(spark):
+    from datetime import datetime, timedelta
+
+    at = lambda i: datetime(2024, 1, 1) + timedelta(seconds=i)
+    lives = {"rounds": ["person"] + (["ask"] * 5 + ["person"]) * 6, "turn": ["person"] + ["ask"] * 9, "turns": ["person", "ask"] * 9, "done": ["person", "final", "final"], "open": ["person", "other"]}
+    rows = [(e, at(i), i, k, "x") for e, kinds in lives.items() for i, k in enumerate(kinds)]
+    got = {r.episode: (r.outcome, r.rounds, r.turns, r.violations, r.reward) for r in capped.ended(spark.createDataFrame(rows, "episode string, ts timestamp, seq long, kind string, slot string")).collect()}
+    assert got == {
+        "rounds": ("max_assistant_rounds", 24, 5, 25, 0.0), "turn": ("max_rounds_per_user_turn", 6, 1, 7, 0.0), "turns": ("max_person_turns", 7, 8, 8, 0.0), "done": ("done", 1, 1, 0, 1.5)}

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.functions import text
-from traceloom.operators import arguments, audits, conversations, evaluation, evidence, graph, retrieval, sampling
+from traceloom.operators import arguments, audits, conversations, evaluation, evidence, retrieval, sampling
 from traceloom.plans import contracts as contract_queries
+from traceloom.plans import flows as flow_queries
 from traceloom.plans import records as record_queries
 from traceloom.plans import scores as score_queries
 from traceloom.plans import search as search_queries
@@ -27,12 +28,6 @@ def _add(name: str, query: Callable, sql: str | None, *tables: str) -> None:
         ORACLES[name] = sql
 
 
-FLOW = [(1, "start", "ask"), (2, "ask", "search"), (3, "search", "ok"), (4, "search", "empty"), (5, "search", "error"), (6, "empty", "ask"), (7, "ok", "book"), (8, "book", "end"), (9, "error", "end"), (10, "empty", "end"), (11, "orphan", "ok"), (12, "book", "stuck")]
-FLOW_SQL = "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, a, b in FLOW) + ") e(edge_id, a, b)"
-
-
-def _flow(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FLOW, "edge_id int, a string, b string")
 
 
 SEG = "WITH m AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS seg FROM conversations), s AS (SELECT conv_id, seg::BIGINT AS seg, count(*) AS n_messages, count(*) FILTER (role = 'assistant') AS n_assistant, sum(length(text))::BIGINT AS n_chars FROM m WHERE seg >= 1 GROUP BY 1, 2) "
@@ -99,12 +94,6 @@ _add("quota_allocation", sampling.quotas, "WITH c AS (SELECT p_brand, count(*) A
 _add("anchor_sample_exact", sampling.anchors, "SELECT lang, toxic, doc_id, rank FROM (SELECT lang, toxic, doc_id, row_number() OVER (PARTITION BY lang, toxic ORDER BY sha256(doc_id::VARCHAR)) AS rank FROM documents JOIN labels USING (doc_id)) WHERE rank <= 5", "documents", "labels")
 _add("batch_schedule", sampling.schedule, "WITH r AS (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY sha256(p_partkey::VARCHAR)) - 1 AS pos, count(*) OVER (PARTITION BY p_brand) AS n FROM part), a AS (SELECT p_brand, p_partkey, pos FROM r UNION ALL SELECT p_brand, p_partkey, pos + n FROM r WHERE pos < (32 - n % 32) % 32) SELECT p_brand, p_partkey, pos // 32 AS batch, pos % 32 AS slot FROM a", "part")
 
-QUERIES["route_enumeration"] = lambda s, d: graph.routes(_flow(s), "start", ("end",))
-ORACLES["route_enumeration"] = f"WITH RECURSIVE w AS (SELECT 'start' AS node, []::INT[] AS path UNION ALL SELECT b, list_append(path, edge_id) FROM w JOIN {FLOW_SQL} ON node = a WHERE NOT list_contains(path, edge_id)) SELECT node, len(path)::INT AS steps, array_to_string(path, '>') AS route FROM w WHERE node = 'end'"
-QUERIES["reachability"] = lambda s, d: graph.reachable(_flow(s), "start")
-ORACLES["reachability"] = f"WITH RECURSIVE w AS (SELECT 'start' AS node, 0 AS steps UNION SELECT b, steps + 1 FROM w JOIN {FLOW_SQL} ON node = a WHERE steps < 12) SELECT node, min(steps) AS steps FROM w GROUP BY 1"
-QUERIES["graph_lint"] = lambda s, d: graph.lint(_flow(s), "start", ("end",))
-ORACLES["graph_lint"] = f"WITH e AS (SELECT * FROM {FLOW_SQL}) SELECT 'dead_end' AS finding, b AS node FROM e WHERE b NOT IN (SELECT a FROM e) AND b <> 'end' UNION SELECT 'unreached', a FROM e WHERE a NOT IN (SELECT b FROM e) AND a <> 'start' UNION SELECT 'terminal_goes_on', a FROM e WHERE a = 'end'"
 
 _add("price_extract", lambda d: d.select("doc_id", text.least_price("text").alias("price")), "SELECT doc_id, list_min(list_filter(list_transform(regexp_extract_all(text, '([0-9]{2,6})', 1), lambda x: x::INT), lambda x: x BETWEEN 30 AND 99999)) AS price FROM documents", "documents")
 _add("rule_audit_long", text.rule_audit, r"WITH w AS (SELECT trim(text) <> '' AS a, NOT contains(text, '<') AS b, NOT regexp_matches(text, 'AKIA[A-Z0-9]{14,}') AS c, length(text) = n_chars AS d, NOT regexp_matches(text, '[a-z0-9.]+@[a-z0-9]+\.[a-z]{2,}') AS e FROM documents), l AS (SELECT 'not_blank' AS rule, a AS ok FROM w UNION ALL SELECT 'no_markup', b FROM w UNION ALL SELECT 'no_key', c FROM w UNION ALL SELECT 'length_is_right', d FROM w UNION ALL SELECT 'no_mail_address', e FROM w) SELECT rule, count(*) FILTER (coalesce(ok, false)) AS n_pass, count(*) FILTER (NOT coalesce(ok, false)) AS n_fail FROM l GROUP BY 1", "documents")
@@ -128,8 +117,6 @@ _add("call_result_audit", audits.call_results, "WITH r AS (SELECT l_orderkey, co
 _add("positional_outer_join", audits.by_position, "WITH r AS (SELECT l_orderkey, l_partkey, l_returnflag = 'R' AS side, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_linenumber, l_partkey) AS pos FROM lineitem), a AS (SELECT l_orderkey, pos, l_partkey AS returned FROM r WHERE side), b AS (SELECT l_orderkey, pos, l_partkey AS other FROM r WHERE NOT side) SELECT * FROM a FULL JOIN b USING (l_orderkey, pos)", "lineitem")
 _add("set_equality", audits.set_difference, "WITH a AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag <> 'R') SELECT side, count(*) AS n FROM (SELECT 'only_returned' AS side, x.* FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'only_other', y.* FROM (FROM b EXCEPT FROM a) y) GROUP BY 1", "lineitem")
 _add("single_result_check", audits.single_result, "SELECT l_partkey, l_suppkey, count(DISTINCT l_extendedprice) AS n_results FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_extendedprice) > 1", "lineitem")
-QUERIES["branch_completeness"] = lambda s, d: audits.branch_gaps(_flow(s), ("search", "book"))
-ORACLES["branch_completeness"] = f"SELECT tool, status, count(edge_id) AS n FROM (VALUES ('search'), ('book')) t(tool), (VALUES ('ok'), ('empty'), ('error')) u(status) LEFT JOIN {FLOW_SQL} ON a = tool AND b = status GROUP BY 1, 2 HAVING count(edge_id) <> 1"
 POS = "p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events)"
 _add("causal_path", audits.causal_path, f"WITH {POS}, s AS (SELECT *, event_type || '_' || lpad(pos::VARCHAR, greatest(2, length(pos::VARCHAR))::INT, '0') AS state FROM p) SELECT event_id, state, coalesce(lead(state) OVER (PARTITION BY user_id ORDER BY pos), 'end') AS next_state FROM s", "events")
 _add("unbound_uses", audits.unbound_uses, f"WITH {POS}, f AS (SELECT user_id, min(pos) FILTER (event_type = 'view') AS f FROM p GROUP BY 1) SELECT user_id, count(*) FILTER (event_type = 'purchase') AS uses, count(*) FILTER (event_type = 'purchase' AND (f IS NULL OR pos < f)) AS unbound FROM p JOIN f USING (user_id) GROUP BY 1", "events")
@@ -163,6 +150,6 @@ def _credit(events: DataFrame) -> DataFrame:
 
 _add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 AND c >= r THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
 
-for group in (record_queries, world_queries, score_queries, contract_queries, search_queries):
+for group in (record_queries, world_queries, score_queries, contract_queries, search_queries, flow_queries):
     QUERIES |= group.QUERIES
     ORACLES |= group.ORACLES
