@@ -15,6 +15,8 @@ from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
 from traceloom.sources import files
+from traceloom.sources import lines as lines_of
+from traceloom.sources.keyed import KeyedTable
 from traceloom.streaming import capped, episodes
 
 
@@ -498,3 +500,62 @@ def test_every_cap_is_reached(spark):
     got = {r.episode: (r.outcome, r.rounds, r.turns, r.violations, r.reward) for r in capped.ended(spark.createDataFrame(rows, "episode string, ts timestamp, seq long, kind string, slot string")).collect()}
     assert got == {
         "rounds": ("max_assistant_rounds", 24, 5, 25, 0.0), "turn": ("max_rounds_per_user_turn", 6, 1, 7, 0.0), "turns": ("max_person_turns", 7, 8, 8, 0.0), "done": ("done", 1, 1, 0, 1.5)}
+
+
+def test_bad_lines_are_named(spark, tmp_path):
+    """Files of many blocks, blank lines, line ends of both kinds; the first bad line by file, at any split size."""
+    r = random.Random(6)
+    for name, wrong in (("a", None), ("b", 777), ("c", 5)):
+        body = ["" if r.random() < 0.1 else json.dumps({"k": i, "t": "x" * r.randrange(60)}) for i in range(1000)]
+        if wrong:
+            body[wrong - 1] = r.choice(['{"k": "no number"}', "[1]", "{k"])
+        (tmp_path / f"{name}.jsonl").write_bytes(("\r\n" if name == "b" else "\n").join(body).encode() + b"\n")
+    lines = {(f, i + 1): x for f in "abc" for i, x in enumerate((tmp_path / f"{f}.jsonl").read_text().split("\n")[:-1])}
+    for size in ("1000", "70000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {(x.file[-7], x.line): x.text for x in lines_of.numbered(spark, str(tmp_path)).collect()}
+            assert got == lines
+            with pytest.raises(ValueError, match=r"b\.jsonl, line 777:"):
+                lines_of.read_strict(spark, str(tmp_path), "k long, t string")
+            good = lines_of.read_strict(spark, str(tmp_path / "a.jsonl"), "k long, t string")
+            assert good.columns == ["k", "t"] and good.count() == sum(x != "" for (f, _), x in lines.items() if f == "a")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_keyed_table_takes_a_batch_once(spark, tmp_path):
+    schema, path = "k int, at int, v string", str(tmp_path / "t")
+    make = lambda *rows: spark.createDataFrame(rows, schema)
+    t = KeyedTable(spark, path, ["k"], ["at"], buckets=4)
+    rows = lambda: sorted(((x.k or 0, x.at, x.v) for x in t.read().collect()))
+    assert t.read() is None and t.write(make((1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "x"), (None, 1, "n")), 0)
+    assert rows() == [(0, 1, "n"), (1, 3, "c"), (2, 1, "x")]
+    assert t.write(make((2, 0, "y"), (3, 1, "z")), 4) and rows() == [(0, 1, "n"), (1, 3, "c"), (2, 0, "y"), (3, 1, "z")]
+    before = rows()
+    assert not t.write(make((2, 9, "again")), 4) and not t.write(make((2, 9, "again")), 3) and rows() == before
+    make((9, 9, "lost")).withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(f"{path}/data/000000000009-lost")  # a batch that never was committed
+    (tmp_path / "t/manifest/half.tmp").write_text("{")
+    assert rows() == before and t.write(make(), 5) and rows() == before
+    with pytest.raises(ValueError):
+        t._commit({"batch": 5, "of": {}, "schema": schema})
+    ledger = KeyedTable(spark, str(tmp_path / "u"), ["k"], immutable=True, buckets=2)
+    assert ledger.write(make((1, 1, "a"), (1, 1, "a")), 0) and ledger.write(make((1, 1, "a"), (2, 2, "b")), 1)
+    for bad in (make((1, 1, "other")), make((7, 1, "a"), (7, 2, "a"))):
+        with pytest.raises(ValueError):
+            ledger.write(bad, 2)
+    assert ledger.read().count() == 2 and ledger.manifest()["batch"] == 1
+
+
+def test_keyed_table_behind_a_stream(spark, tmp_path):
+    schema = "k int, at int, v string"
+    for i in range(3):
+        spark.createDataFrame([(k, i, f"{i}") for k in range(i, i + 3)], schema).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["at"], buckets=3)
+
+    def twice(batch, i):
+        assert t.write(batch, i) and not t.write(batch, i)
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    stream.writeStream.foreachBatch(twice).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.k, r.v) for r in t.read().collect()) == [(0, "0"), (1, "1"), (2, "2"), (3, "2"), (4, "2")]
