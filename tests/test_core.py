@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from traceloom.functions import leaves, scalar
-from traceloom.operators import differences, evaluation, graph, hybrid, ranks, records, schemas, scoring, selection, worlds
+from traceloom.operators import differences, evaluation, graph, hybrid, ranks, records, sampling, schemas, scoring, selection, text_rules, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -559,3 +559,42 @@ def test_keyed_table_behind_a_stream(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     stream.writeStream.foreachBatch(twice).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.k, r.v) for r in t.read().collect()) == [(0, "0"), (1, "1"), (2, "2"), (3, "2"), (4, "2")]
+
+
+def test_mixed_batches(spark):
+    types, counts = {"x": {"a": 3, "b": 1}, "y": {"a": 1, "b": 3}}, {"x": 5, "y": 4}
+    rows = spark.createDataFrame([(i, "a" if i < 15 else "b") for i in range(30)], "id int, s string")  # 19 places for 15 a's, 17 for 15 b's
+    got = sampling.stratified(rows, "id", "s", types, counts)
+    assert sampling.stratified_problems(got, rows, "id", "s", types, counts).isEmpty()
+    out = got.collect()
+    assert sorted((r.batch, r.slot) for r in out) == [(b, s) for b in range(9) for s in range(4)]
+    for least in range(9):
+        assert len({r.id for r in out if r.batch == least}) == 4
+    assert sum(r.occurrence == 2 for r in out) == 6 and {r.id for r in out if r.occurrence == 1} == set(range(30))
+    for bad in ({"x": 1, "y": 1}, {"x": 20, "y": 20}):
+        with pytest.raises(ValueError):
+            sampling.stratified(rows, "id", "s", types, bad)
+    assert {r.problem for r in sampling.stratified_problems(got.where("batch <> 2 OR slot <> 1").union(got.where("batch = 3 AND slot = 0")), rows, "id", "s", types, counts).collect()} >= {"batch of no type", "twice in a batch"}
+
+
+def test_rules_of_texts_and_words_for_dates(spark):
+    from datetime import date
+
+    said = spark.createDataFrame([(date(2024, 1, 5), date(2024, 1, 4)), (date(2024, 1, 8), date(2024, 1, 7)), (date(2024, 1, 14), date(2024, 1, 1)), (date(2024, 1, 20), date(2024, 1, 1))], "day date, today date")
+    got = [set(r[0]) for r in said.select(text_rules.date_words(F.col("day"), F.col("today"))).collect()]
+    assert got[0] == {"1月5日", "1月5号", "2024-01-05", "明天", "这周五", "本周五", "周五"} and got[1] == {"1月8日", "1月8号", "2024-01-08", "明天", "下周一"}
+    assert got[2] == {"1月14日", "1月14号", "2024-01-14", "下周日"} and got[3] == {"1月20日", "1月20号", "2024-01-20"}
+    rules = spark.createDataFrame([("city", "any", "must", "in {city}!"), ("window", "user", "weekday window", ""), ("week", "first user", "relative date", ""), ("last", "last assistant", "must not", r"\\d")], "rule string, scope string, kind string, pattern string")
+    messages = spark.createDataFrame([(1, 0, "user", "in a.b(c! 下周五 周边"), (1, 1, "assistant", "in a.b(c! 1"), (1, 2, "user", "in axb(c! 周六"), (1, 3, "assistant", None), (2, 0, "user", "周一")], "conv_id int, turn int, role string, text string")
+    facts = spark.createDataFrame([(1, date(2024, 1, 5), date(2024, 1, 4), 1, "a.b(c")], "conv_id int, day date, today date, days int, city string")
+    found = {(r.conv_id, r.rule): (r.status, r.n, r.turn) for r in text_rules.audit(messages, facts, rules).collect()}
+    assert found == {(1, "city"): ("FAIL", 4, 2), (1, "window"): ("FAIL", 2, 2), (1, "week"): ("FAIL", 1, 0), (1, "last"): ("PASS", 1, None)}
+    with pytest.raises(ValueError):
+        text_rules.audit(messages, facts, rules.union(rules))
+
+
+def test_both_outcomes_of_text_rules(spark, small):
+    got = defaultdict(set)
+    for r in QUERIES["text_rules"](spark, "/root/testdata/sf0.01").select("rule", "status").distinct().collect():
+        got[r.rule].add(r.status)
+    assert len(got) >= 20 and sum(len(v) == 2 for v in got.values()) >= 10

@@ -12,6 +12,7 @@ from traceloom.operators import arguments, audits, conversations, evaluation, ev
 from traceloom.plans import contracts as contract_queries
 from traceloom.plans import flows as flow_queries
 from traceloom.plans import records as record_queries
+from traceloom.plans import rules as rule_queries
 from traceloom.plans import scores as score_queries
 from traceloom.plans import search as search_queries
 from traceloom.plans import worlds as world_queries
@@ -150,6 +151,6 @@ def _credit(events: DataFrame) -> DataFrame:
 
 _add("segment_reward", _credit, "WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS r, count(*) FILTER (event_type = 'click') AS c, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1) SELECT user_id, round(CASE WHEN r = 0 THEN (x = 0)::INT::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 0.8::DOUBLE * least(c, r) / r + (CASE WHEN x = 0 AND c >= r THEN 0.2::DOUBLE ELSE 0 END) - 0.1::DOUBLE * x)) END, 6) AS reward FROM c", "events")
 
-for group in (record_queries, world_queries, score_queries, contract_queries, search_queries, flow_queries):
+for group in (record_queries, world_queries, score_queries, contract_queries, search_queries, flow_queries, rule_queries):
     QUERIES |= group.QUERIES
     ORACLES |= group.ORACLES

@@ -1,4 +1,4 @@
-"""Queries of schema validation, of the audit of two versions and of exact selection, with their SQL.
+"""Queries of schema validation, of the audit of two versions, of exact selection and of mixed batches, with their SQL.
 
 The given tables hold few JSON texts, so records are made from their columns,
 with faults put in by rule: each finding occurs, and the SQL states the rules.
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from traceloom.operators import differences, schemas, selection
+from traceloom.operators import differences, sampling, schemas, selection
 from traceloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,43 @@ def _split(o: DataFrame) -> DataFrame:
 
 
 _add("exact_group_split", "orders", _split, "SELECT o_orderpriority, count(*) // 10 AS target, count(*) // 10 AS held, count(*) - count(*) // 10 AS left FROM orders GROUP BY 1")
+
+
+#: Batches of 32 orders by priority, in three types.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+TYPES = {name: dict(zip(PRIORITIES, of)) for name, of in (("a", (7, 7, 6, 6, 6)), ("b", (6, 6, 6, 7, 7)), ("c", (6, 7, 7, 6, 6)))}
+
+
+def _batches(o: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """As many batches as the largest priority needs at six a batch, in types that take turns."""
+    most = max((r.n for r in o.groupBy("o_orderpriority").agg(F.count("*").alias("n")).collect()), default=0)  # five priorities
+    n = -(-most // 6)
+    counts = {t: (n + 2 - i) // 3 for i, t in enumerate(sorted(TYPES))}
+    return sampling.stratified(o, "o_orderkey", "o_orderpriority", TYPES, counts), counts
+
+
+BATCHES = """
+WITH o AS (SELECT o_orderkey, o_orderpriority AS stratum, row_number() OVER (PARTITION BY o_orderpriority ORDER BY sha256('row/' || o_orderkey)) - 1 AS at_, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders),
+b AS (SELECT (max(n) + 5) // 6 AS n FROM o),
+tags AS (SELECT type, unnest(range(1, (n + 2 - i) // 3 + 1)) AS k FROM b, (VALUES ('a', 0), ('b', 1), ('c', 2)) t(type, i)),
+batches AS (SELECT type, row_number() OVER (ORDER BY sha256('batch/' || type || '/' || k)) - 1 AS batch FROM tags),
+quota(type, stratum, q) AS (VALUES """ + ", ".join(f"('{t}', '{s}', {q})" for t, of in TYPES.items() for s, q in of.items()) + """),
+wide AS (SELECT batch, stratum, q, sum(q) OVER (PARTITION BY stratum ORDER BY batch) AS upto FROM batches JOIN quota USING (type)),
+places AS (SELECT batch, stratum, unnest(range((upto - q)::BIGINT, upto::BIGINT)) AS place FROM wide),
+put AS (SELECT batch, stratum, o_orderkey, (place >= n)::INT + 1 AS occurrence FROM places JOIN o USING (stratum) WHERE place = at_ OR place = at_ + n)
+"""
+
+_add("mixed_batches", "orders", lambda o: _batches(o)[0], BATCHES + """
+SELECT batch, (row_number() OVER (PARTITION BY batch ORDER BY sha256('slot/' || batch || '/' || o_orderkey)) - 1)::INT AS slot, stratum, o_orderkey, occurrence FROM put""")
+
+
+def _checked(o: DataFrame) -> DataFrame:
+    """The schedule's own problems, none, beside those of one with a row left out, one moved and one put in again."""
+    made, counts = _batches(o)
+    first = F.col("o_orderkey") == F.lit(o.agg(F.min("o_orderkey")).head()[0])
+    broken = made.where((F.col("batch") > 0) | (F.col("slot") > 0) | first).union(made.where((F.col("batch") == 1) & (F.col("slot") == 0)))
+    audit = lambda s, name: sampling.stratified_problems(s, o, "o_orderkey", "o_orderpriority", TYPES, counts).select(F.lit(name).alias("schedule"), "problem")
+    return audit(made, "made").union(audit(broken, "broken").where("problem IN ('twice in a batch', 'batch of no type')"))
+
+
+_add("mixed_batches_audit", "orders", _checked, "SELECT 'broken' AS schedule, unnest(['twice in a batch', 'batch of no type']) AS problem")
