@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import compare
-from traceloom.functions import leaves, scalar
+from traceloom.functions import dialogue, leaves, scalar
 from traceloom.operators import differences, evaluation, graph, hybrid, ranks, records, sampling, schemas, scoring, selection, text_rules, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
@@ -598,3 +598,14 @@ def test_both_outcomes_of_text_rules(spark, small):
     for r in QUERIES["text_rules"](spark, "/root/testdata/sf0.01").select("rule", "status").distinct().collect():
         got[r.rule].add(r.status)
     assert len(got) >= 20 and sum(len(v) == 2 for v in got.values()) >= 10
+
+
+def test_replies(spark, small):
+    got = QUERIES["replies"](spark, small).collect()
+    assert {r.act for r in got} == {"ask", "final", "refusal", "invalid"} and {r.slot for r in got} >= {"travel_date", "hotel_name", "destination", "route_destination", "unknown", None}
+    assert len({r.substantial for r in got}) == 2 and len({r.rating for r in got}) > 3
+    one = lambda c: spark.range(1).select(c).head()[0]
+    rated = {"评分：4.5分": 4.5, "9/10": 4.5, "6.7 / 10, 4.1/5": 4.1, "评分 9, 8/10": 4.0, "7分": None, "none": None}
+    assert {t: one(dialogue.rating(F.lit(t))) for t in rated} == rated
+    assert one(dialogue.act(F.lit(None).cast("string")))["rule"] == "empty" and one(dialogue.act(F.lit("抱歉 暂时！"), ("抱歉暂时。",)))["act"] == "refusal"
+    assert [one(dialogue.weather(F.lit(c), F.lit(p))) for c, p in ((77, "night"), (86, "day"), (4, "day"), (0, "noon"))] == ["雪", "大雪", "未知", "未知"]

@@ -58,16 +58,6 @@ def fixed_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Colu
     return F.sqrt(x * x + y * y)
 
 
-# Weather codes and their labels.
-WEATHER = {0: "clear", 1: "mostly clear", 2: "partly cloudy", 3: "overcast", 45: "fog", 48: "rime fog", 51: "light drizzle", 53: "drizzle", 55: "heavy drizzle", 61: "light rain", 63: "rain", 65: "heavy rain", 71: "light snow", 73: "snow", 75: "heavy snow", 80: "light showers", 81: "showers", 82: "heavy showers", 95: "thunderstorm", 96: "thunderstorm with hail", 99: "heavy thunderstorm with hail"}
-
-
-def weather(code: Column) -> Column:
-    """The label of a weather code, ``unknown`` for any other."""
-    table = F.create_map(*[F.lit(x) for pair in WEATHER.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, code.cast("int")), F.lit("unknown"))
-
-
 def date_range(c: Column) -> Column:
     """Struct (first, last, days) of ``a~b`` or of a single date, both ends included."""
     first = F.to_date(F.trim(F.split_part(c, F.lit("~"), F.lit(1))))

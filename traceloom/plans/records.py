@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from traceloom.functions import scalar
+from traceloom.functions import dialogue, scalar
 from traceloom.operators import records, retrieval, scoring
 from traceloom.session import small_side, table
 
@@ -151,9 +151,9 @@ _add("keyword_extract", "pages", lambda p: p.select("page_id", F.array_join(scal
 _add("code_rewrite", "customer", lambda c: c.select("c_custkey", scalar.rewrite_codes(F.concat(F.lit("code "), F.col("c_custkey") % 7 + 110100, F.lit(" or "), F.col("c_custkey") % 7 + 1101000), {"110101": "110102", "110103": "110109"}).alias("text")), r"""
 SELECT c_custkey, 'code ' || CASE c_custkey % 7 WHEN 1 THEN '110102' WHEN 3 THEN '110109' ELSE (c_custkey % 7 + 110100)::VARCHAR END || ' or ' || (c_custkey % 7 + 1101000) AS text FROM customer""")
 
-_add("weather_labels", "lineitem", lambda l: l.groupBy(scalar.weather(F.col("l_quantity").cast("int")).alias("label")).agg(F.count("*").alias("n")), f"""
-WITH w(code, label) AS (VALUES {', '.join(f"({k}, '{v}')" for k, v in scalar.WEATHER.items())})
-SELECT coalesce(label, 'unknown') AS label, count(*) AS n FROM lineitem LEFT JOIN w ON l_quantity::INT = code GROUP BY 1""")
+_add("weather_labels", "lineitem", lambda l: l.groupBy(dialogue.weather(F.col("l_quantity").cast("int")).alias("label")).agg(F.count("*").alias("n")), f"""
+WITH w(code, label) AS (VALUES {', '.join(f"({k}, '{v}')" for k, v in dialogue.WEATHER.items())})
+SELECT coalesce(label, '未知') AS label, count(*) AS n FROM lineitem LEFT JOIN w ON l_quantity::INT = code GROUP BY 1""")
 
 _add("message_flattening", "conversations", lambda c: records.flatten_messages(c).select("conv_id", F.sha2("flat", 256).alias("flat_sha256")),
      "SELECT conv_id, sha256(string_agg('[' || role || '] ' || coalesce(text, ''), chr(10) ORDER BY turn)) AS flat_sha256 FROM conversations GROUP BY 1")

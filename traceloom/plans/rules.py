@@ -1,4 +1,4 @@
-"""The query of text rules over whole conversations, with its SQL.
+"""Queries of text rules over whole conversations and of replies, with their SQL.
 
 The first user text of a conversation gets a date phrase put in by rule, right
 for some conversations and wrong for others.
@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from traceloom.functions import dialogue
 from traceloom.operators import text_rules
 from traceloom.session import table
 
@@ -83,3 +84,50 @@ SELECT conv_id, rule, CASE WHEN bool_or(broken) THEN 'FAIL' ELSE 'PASS' END AS s
 
 
 ORACLES: dict[str, str] = {"text_rules": _sql()}
+
+
+#: Replies by turns, {n} for the event's number and {k} for its property.
+REPLIES = (
+    "请问您打算什么时候出发？", "您想了解哪家酒店呢？", "您想去哪里？", "导航路线的终点是哪里？", "抱歉，我是旅行助手，只能回答旅行相关的问题。", "为您安排上海市第{n}天行程：上午外滩，下午豫园。", "好的。", "  ", "请问哪个城市的酒店，什么时候入住？",
+    "能否再说一次？", "已为您查到杭州西湖附近酒店，评分：4.{k}分，交通便利。", "rating {k}/10, close to the station", "8.{n} / 10 by guests", "房间干净，服务{k}分，价格便宜。", "抱歉 暂时 无法 提供！！", "Plain prose, event {n}.",
+)
+REFUSAL = "抱歉，暂时无法提供。"
+APPROVED = ("抱歉暂时无法提供", REFUSAL)
+
+
+def _replies(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    n, k = F.col("event_id").cast("string"), F.get_json_object("props", "$.k")
+    text = F.replace(F.replace(F.element_at(F.array(*map(F.lit, REPLIES)), (F.col("event_id") % len(REPLIES) + 1).cast("int")), F.lit("{n}"), n), F.lit("{k}"), k)
+    e = e.withColumn("text", text)
+    act = dialogue.act(F.col("text"), APPROVED, F.col("user_id") % 4 == 0)
+    named = F.when(F.col("user_id") % 3 == 0, F.array(F.lit("上海市"), F.lit(None))).when(F.col("user_id") % 3 == 1, F.array(F.lit("杭 州"))).otherwise(F.array(F.lit(None).cast("string")))
+    part = F.when(F.col("event_id") % 3 == 0, "noon").when(F.col("event_id") % 3 == 1, "day").otherwise("night")
+    return e.select("event_id", act.alias("a"), dialogue.substantial(F.col("text"), named).alias("substantial"), dialogue.rating(F.col("text")).alias("rating"), dialogue.weather(k, part).alias("weather")).select("event_id", "a.act", "a.slot", "a.rule", "substantial", "rating", "weather")
+
+
+QUERIES["replies"] = _replies
+
+
+def _replies_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    hit = {s: f"regexp_matches(text, {quoted(p)})" for s, _, p in dialogue.QUESTIONS}
+    hit["destination"] += f" AND NOT {hit['route_destination']}"
+    slots = "list_filter([" + ", ".join(f"CASE WHEN {h} THEN '{s}' END" for s, h in hit.items()) + "], lambda x: x IS NOT NULL)"
+    strip = lambda t: f"regexp_replace(regexp_replace({t}, '\\s+', '', 'g'), '[。.!！]+$', '')"
+    refused = " OR ".join([f"regexp_matches(text, {quoted(dialogue.REFUSES)})", *(f"{strip('text')} = {strip(quoted(r))}" for r in APPROVED)])
+    rate = ", ".join(f"CASE WHEN try_cast(regexp_extract(raw, {quoted(p)}, 1) AS DOUBLE) <= {s} THEN {'round(' if s == 10 else ''}try_cast(regexp_extract(raw, {quoted(p)}, 1) AS DOUBLE){' / 2, 1)' if s == 10 else ''} END" for p, s in dialogue.RATINGS)
+    labels = " ".join(f"WHEN {c} THEN '{w}'" for c, w in dialogue.WEATHER.items())
+    return f"""
+WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k, replace(replace([{', '.join(map(quoted, REPLIES))}][event_id % {len(REPLIES)} + 1], '{{n}}', event_id::VARCHAR), '{{k}}', json_extract_string(props, '$.k')) AS raw FROM events),
+t AS (SELECT *, trim(raw) AS text, regexp_replace(raw, '\\s+', '', 'g') AS compact, CASE user_id % 3 WHEN 0 THEN '上海' WHEN 1 THEN '杭州' END AS entity FROM e),
+s AS (SELECT *, {slots} AS slots, regexp_extract_all(compact, '[㐀-鿿]') AS signs FROM t),
+a AS (
+  SELECT *, CASE WHEN text = '' THEN 'invalid' WHEN {refused} THEN 'refusal' WHEN user_id % 4 = 0 THEN 'final' WHEN len(slots) > 1 THEN 'invalid' WHEN len(slots) = 1 OR regexp_matches(text, {quoted(dialogue.ASKS)}) THEN 'ask' ELSE 'final' END AS act FROM s)
+SELECT event_id, act, CASE WHEN act = 'ask' THEN coalesce(slots[1], 'unknown') END AS slot,
+       CASE WHEN text = '' THEN 'empty' WHEN act = 'invalid' THEN 'multiple_questions' WHEN act = 'ask' THEN 'ask.' || coalesce(slots[1], 'unknown') || '.v1' END AS rule,
+       length(compact) >= 12 AND len(signs) >= 6 AND len(list_distinct(signs)) >= 4 AND (entity IS NULL OR contains(compact, entity)) AS substantial, coalesce({rate}) AS rating,
+       CASE WHEN event_id % 3 = 0 THEN '未知' ELSE CASE k::INT {labels} ELSE '未知' END END AS weather FROM a"""
+
+
+ORACLES["replies"] = _replies_sql()
