@@ -30,10 +30,10 @@ def by_position(lines: DataFrame) -> DataFrame:
     return a.join(b, ["l_orderkey", "pos"], "full")
 
 
-def set_difference(lines: DataFrame) -> DataFrame:
-    """Suppliers of the returned lines and of the others: how many are on one side only."""
-    a, b = (lines.where(f"{n} (l_returnflag = 'R')").select("l_suppkey").distinct() for n in ("", "NOT"))
-    return a.exceptAll(b).select(F.lit("only_returned").alias("side"), "l_suppkey").union(b.exceptAll(a).select(F.lit("only_other"), "l_suppkey")).groupBy("side").agg(F.count("*").alias("n"))
+def set_difference(lines: DataFrame, key: str = "l_suppkey") -> DataFrame:
+    """Keys of the returned lines and of the others: how many are on one side only."""
+    a, b = (lines.where(f"{n} (l_returnflag = 'R')").select(key).distinct() for n in ("", "NOT"))
+    return a.exceptAll(b).select(F.lit("only_returned").alias("side"), key).union(b.exceptAll(a).select(F.lit("only_other"), key)).groupBy("side").agg(F.count("*").alias("n"))
 
 
 def single_result(lines: DataFrame) -> DataFrame:

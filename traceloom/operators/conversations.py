@@ -52,6 +52,23 @@ def prefixes(messages: DataFrame, final_copies: int = 3) -> DataFrame:
     return ends.select("conv_id", "nth", "n_prior", "chars", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("copy"))
 
 
+def training_prefixes(messages: DataFrame, final_copies: int = 3) -> DataFrame:
+    """(conv_id, nth, copy, conversation): what a model is trained on, with all messages (role, text) up to its target.
+
+    A conversation without a ``tool`` message is one row, whole, with nth 0.
+    Another one gives a row for every assistant message, the last of them
+    ``final_copies`` times; without any it gives none. Null texts stay null. A
+    conversation is held in a row, as its rows are.
+    """
+    whole = messages.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text"))).alias("m"))
+    ends = F.filter(F.transform("m", lambda m, i: F.when(m["role"] == "assistant", i + 1)), lambda i: i.isNotNull())
+    found = whole.withColumn("ends", F.when(F.exists("m", lambda m: F.coalesce(m["role"] == "tool", F.lit(False))), ends).otherwise(F.array(F.lit(None).cast("int"))))
+    each = found.select("conv_id", "m", F.size("ends").alias("of"), F.posexplode("ends").alias("at", "end"))
+    copies = F.when(F.col("end").isNotNull() & (F.col("at") + 1 == F.col("of")), final_copies).otherwise(1)
+    each = each.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    return each.select("conv_id", F.when(F.col("end").isNull(), 0).otherwise(F.col("at") + 1).alias("nth"), "copy", F.slice("m", F.lit(1), F.coalesce("end", F.size("m"))).alias("conversation"))
+
+
 def longest_prefix(messages: DataFrame) -> DataFrame:
     """Of each conversation's prefixes the longest, the first among equals."""
     best = Window.partitionBy("conv_id").orderBy(F.desc("n_prior"), "copy")

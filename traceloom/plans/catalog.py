@@ -36,6 +36,13 @@ _add("conversation_segments", conversations.segment_percentiles, SEG + ", p AS (
 _add("segment_table", conversations.segments, SEG + "SELECT * FROM s", "conversations")
 _add("segment_rounds", conversations.rounds, "WITH l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM conversations), r AS (SELECT *, sum((b IS NULL OR b <> role)::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS round FROM l) SELECT conv_id, round, min(role) AS role, count(*) AS n_messages, min(turn) AS first_turn FROM r GROUP BY 1, 2", "conversations")
 PRE = "WITH m AS (SELECT *, count(*) OVER o AS n_prior, sum(length(text)) OVER o AS chars, count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS n_assistant FROM conversations WINDOW o AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)), a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS nth FROM m WHERE role = 'assistant'), p AS (SELECT conv_id, nth, n_prior, chars::BIGINT AS chars, unnest(range(1, CASE WHEN nth = n_assistant AND n_assistant > 1 THEN 4 ELSE 2 END)) AS copy FROM a) "
+_TOOL = "CASE WHEN role = 'user' AND turn > 0 AND conv_id % 3 < 2 THEN 'tool' ELSE role END"  # two of three conversations have tool messages
+_add("training_prefixes", lambda c: conversations.training_prefixes(c.withColumn("role", F.expr(_TOOL))).select("conv_id", "nth", "copy", F.size("conversation").alias("n"), F.sha2(F.array_join(F.transform("conversation", lambda m: F.concat(m["role"], F.lit(":"), m["text"])), "|"), 256).alias("sha256")), f"""
+WITH m AS (SELECT conv_id, turn, {_TOOL} AS role, text FROM conversations),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n, count(*) FILTER (role = 'tool') OVER (PARTITION BY conv_id) AS tools, count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS of FROM m),
+e AS (SELECT conv_id, i, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS nth, of FROM p WHERE role = 'assistant' AND tools > 0 UNION ALL SELECT conv_id, i, 0, -1 FROM p WHERE i = n AND tools = 0),
+x AS (SELECT conv_id, i, nth, unnest(range(1, CASE WHEN nth = of THEN 4 ELSE 2 END)) AS copy FROM e)
+SELECT x.conv_id, nth::INT AS nth, copy::INT AS copy, x.i::INT AS n, sha256(string_agg(role || ':' || text, '|' ORDER BY p.i)) AS sha256 FROM x JOIN p ON x.conv_id = p.conv_id AND p.i <= x.i GROUP BY x.conv_id, nth, copy, x.i""", "conversations")
 _add("prefix_expansion", conversations.prefixes, PRE + "SELECT * FROM p", "conversations")
 _add("longest_prefix_dedupe", conversations.longest_prefix, PRE + "SELECT conv_id, n_prior, chars FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n_prior DESC, copy) AS r FROM p) WHERE r = 1", "conversations")
 _add("history_cap", conversations.last_n, "WITH b AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM conversations) SELECT conv_id, turn, role, count(*) OVER (PARTITION BY conv_id) - r AS position FROM b WHERE r <= 4", "conversations")
@@ -116,7 +123,7 @@ _add("identity_fingerprint", arguments.fingerprints, "SELECT sha256(p_brand || '
 _add("one_to_one_audit", lambda d, l: audits.one_to_one(d, l, "doc_id"), "WITH a AS (SELECT doc_id, count(*) AS a FROM documents GROUP BY 1), b AS (SELECT doc_id, count(*) AS b FROM labels GROUP BY 1) SELECT CASE WHEN b IS NULL THEN 'only_left' WHEN a IS NULL THEN 'only_right' WHEN a > 1 OR b > 1 THEN 'repeated' ELSE 'matched' END AS status, count(*) AS n, min(doc_id) AS least_key FROM a FULL JOIN b USING (doc_id) GROUP BY 1", "documents", "labels")
 _add("call_result_audit", audits.call_results, "WITH r AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_linenumber) AS d, max(l_linenumber) AS top FROM lineitem GROUP BY 1) SELECT CASE WHEN l_orderkey IS NULL THEN 'no_result' WHEN o_orderkey IS NULL THEN 'no_call' WHEN d < n THEN 'repeated' WHEN top <> n THEN 'gap' ELSE 'ok' END AS status, count(*) AS n_calls FROM orders FULL JOIN r ON o_orderkey = l_orderkey GROUP BY 1", "orders", "lineitem")
 _add("positional_outer_join", audits.by_position, "WITH r AS (SELECT l_orderkey, l_partkey, l_returnflag = 'R' AS side, row_number() OVER (PARTITION BY l_orderkey, l_returnflag = 'R' ORDER BY l_linenumber, l_partkey) AS pos FROM lineitem), a AS (SELECT l_orderkey, pos, l_partkey AS returned FROM r WHERE side), b AS (SELECT l_orderkey, pos, l_partkey AS other FROM r WHERE NOT side) SELECT * FROM a FULL JOIN b USING (l_orderkey, pos)", "lineitem")
-_add("set_equality", audits.set_difference, "WITH a AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT l_suppkey FROM lineitem WHERE l_returnflag <> 'R') SELECT side, count(*) AS n FROM (SELECT 'only_returned' AS side, x.* FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'only_other', y.* FROM (FROM b EXCEPT FROM a) y) GROUP BY 1", "lineitem")
+_add("set_equality", lambda l: audits.set_difference(l, "l_orderkey"), "WITH a AS (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'R') SELECT side, count(*) AS n FROM (SELECT 'only_returned' AS side, x.* FROM (FROM a EXCEPT FROM b) x UNION ALL SELECT 'only_other', y.* FROM (FROM b EXCEPT FROM a) y) GROUP BY 1", "lineitem")
 _add("single_result_check", audits.single_result, "SELECT l_partkey, l_suppkey, count(DISTINCT l_extendedprice) AS n_results FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_extendedprice) > 1", "lineitem")
 POS = "p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events)"
 _add("causal_path", audits.causal_path, f"WITH {POS}, s AS (SELECT *, event_type || '_' || lpad(pos::VARCHAR, greatest(2, length(pos::VARCHAR))::INT, '0') AS state FROM p) SELECT event_id, state, coalesce(lead(state) OVER (PARTITION BY user_id ORDER BY pos), 'end') AS next_state FROM s", "events")
@@ -138,7 +145,7 @@ _add("pattern_cascade", lambda d: d.select("doc_id", text.first_match("text", RA
 TIERS = (("STEEL", "basic"), ("BRASS", "middle"), ("PROMO", "high"), ("1", "first"))
 _add("tier_mapping", lambda p: p.groupBy(text.tier("p_type", TIERS).alias("tier")).agg(F.count("*").alias("n")), "SELECT CASE " + " ".join(f"WHEN contains(p_type, '{a}') THEN '{b}'" for a, b in TIERS) + " ELSE 'none' END AS tier, count(*) AS n FROM part GROUP BY 1", "part")
 _add("block_strip", lambda p: p.select("page_id", F.sha2(text.without_block("html", "script"), 256).alias("digest")), "SELECT page_id, sha256(regexp_replace(html, '(?is)<script>.*?</script>', '', 'g')) AS digest FROM pages", "pages")
-_add("plain_form_groups", lambda c: c.groupBy(F.sha2(text.plain_form("text"), 256).alias("form")).agg(F.count("*").alias("n")).where("n > 1"), r"SELECT sha256(regexp_replace(regexp_replace(text, '[ \t\n\r]+', '', 'g'), '[.!。！]+$', '')) AS form, count(*) AS n FROM conversations GROUP BY 1 HAVING count(*) > 1", "conversations")
+_add("plain_form_groups", lambda c: c.withColumn("text", F.element_at(F.split("text", " "), -1)).groupBy(F.sha2(text.plain_form("text"), 256).alias("form")).agg(F.count("*").alias("n")).where("n > 1"), r"SELECT sha256(regexp_replace(regexp_replace(string_split(text, ' ')[-1], '[ \t\n\r]+', '', 'g'), '[.!。！]+$', '')) AS form, count(*) AS n FROM conversations GROUP BY 1 HAVING count(*) > 1", "conversations")
 _add("dialogue_acts", lambda c: c.groupBy("role", text.dialogue_act("text").alias("act")).agg(F.count("*").alias("n"), F.count_if(text.meaningful("text")).alias("n_meaningful")), "SELECT role, CASE WHEN trim(coalesce(text, '')) = '' THEN 'invalid' WHEN regexp_matches(lower(text), 'cannot|unable|not able to') THEN 'refusal' WHEN contains(text, '?') THEN 'ask' ELSE 'final' END AS act, count(*) AS n, count(*) FILTER (length(replace(text, ' ', '')) >= 12 AND len(list_distinct(string_split(replace(text, ' ', ''), ''))) >= 4) AS n_meaningful FROM conversations GROUP BY 1, 2", "conversations")
 _add("fenced_json", lambda e: e.withColumn("reply", F.concat(F.lit("so:\n```json\n"), "props", F.lit("\n```"))).select("event_id", F.get_json_object(text.fenced_json("reply"), "$.k").alias("k")), "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events", "events")
 
