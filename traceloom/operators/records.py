@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from traceloom.functions import scalar
+from traceloom.operators.ranks import hash_ranks, running
 from traceloom.session import small_side
 
 
@@ -137,19 +138,25 @@ def largest_remainder(counts: DataFrame, key: str, n: str, target: int, floor: i
 
 
 def anchors(rows: DataFrame, key: str, ident: str, shares: DataFrame, salt: str = "anchor") -> DataFrame:
-    """Of each key as many rows as its share, least by a salted SHA-256 of the identifier."""
-    order = Window.partitionBy(key).orderBy(F.sha2(F.concat(F.lit(salt + ":"), F.col(ident).cast("string")), 256))
-    ranked = rows.withColumn("place", F.row_number().over(order))
-    return ranked.join(small_side(shares), key).where(F.col("place") <= F.col("share")).select(key, ident)
+    """Of each key as many rows as its share, least by a salted SHA-256 of the identifier; a large key is ranked in many cells."""
+    hashed = rows.select(key, ident, F.sha2(F.concat(F.lit(salt + ":"), F.col(ident).cast("string")), 256).alias("__hash"))
+    return hash_ranks(hashed, key, "__hash").join(small_side(shares), key).where(F.col("rank") <= F.col("share")).select(key, ident)
 
 
 def roll_up(scores: DataFrame) -> DataFrame:
-    """One row over (required, correct, extra, matched, latency): rates to four places, 1.0 where nothing is required."""
+    """One row over (required, correct, extra, matched, latency): rates to four places, 1.0 where nothing is required.
+
+    Latencies are nearest ranks, counted along ranges of them; equal ones are
+    counted before, so that many of one value make one row.
+    """
     rate = F.when(F.sum("required") > 0, F.round(F.sum("correct") / F.sum("required"), 4)).otherwise(1.0)
-    return scores.agg(
+    sums = scores.agg(
         F.count("*").alias("n"), F.coalesce(F.round(F.avg(F.col("matched").cast("int")), 4), F.lit(0.0)).alias("trace_match"), F.coalesce(rate, F.lit(1.0)).alias("toolcall_match"),
-        F.sum("required").cast("long").alias("required"), F.sum("correct").cast("long").alias("correct"), F.sum("extra").cast("long").alias("extra"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY latency)").alias("p50"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY latency)").alias("p95"))
+        F.sum("required").cast("long").alias("required"), F.sum("correct").cast("long").alias("correct"), F.sum("extra").cast("long").alias("extra"))
+    of = scores.where("latency IS NOT NULL").groupBy("latency").agg(F.count("*").alias("k"))
+    along = running(of, [], ["latency"], "k")
+    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.col("latency")))
+    return sums.crossJoin(along.agg(at(0.5).alias("p50"), at(0.95).alias("p95")))  # one row each
 
 
 def first_result(calls: DataFrame, key: list[str], order: list[str], value: str) -> DataFrame:

@@ -142,11 +142,15 @@ def replay_conversation(messages: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def label_quota(rows: DataFrame, group: str, label: str, ident: str, wanted: dict[str, tuple[int, int]]) -> DataFrame:
-    """(group, label, ident, side): of each label in each group so many rows, the second number of them held out, by hash of the identifier."""
+    """(group, label, ident, side): of each label in each group so many rows, the second number of them held out, by hash of the identifier.
+
+    The largest number is a literal bound of the rank, so a task sends on no more than that of a group.
+    """
+    most = max((n for n, _ in wanted.values()), default=0)
     want = F.create_map(*[F.lit(x) for k, (n, held) in wanted.items() for x in (k, n)])
     held = F.create_map(*[F.lit(x) for k, (n, held) in wanted.items() for x in (k, held)])
     order = Window.partitionBy(group, label).orderBy(F.sha2(F.concat(F.lit("quota:"), F.col(ident).cast("string")), 256), ident)
-    ranked = rows.where(F.col(label).isin(*wanted)).withColumn("rank", F.row_number().over(order))
+    ranked = rows.where(F.col(label).isin(*wanted)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     side = F.when(F.col("rank") <= held[F.col(label)], "held_out").otherwise("train")
     return ranked.where(F.col("rank") <= want[F.col(label)]).select(group, label, ident, side.alias("side"))
 
