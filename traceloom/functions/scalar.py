@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +12,11 @@ from pyspark.sql.types import StringType
 from traceloom.functions import leaves
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def alias(c: Column, classes: list[tuple[str, str]]) -> Column:
     """The name of the first class whose pattern matches the whole value, else the value."""
     out = c

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from traceloom.operators.ranks import running
-from traceloom.session import small_side
+from traceloom.session import cut, small_side
 
 
 def vector_topk(vectors: DataFrame, query_ids: tuple[int, ...], k: int = 10) -> DataFrame:
@@ -54,11 +54,16 @@ def vector_topk_of(vectors: DataFrame, is_query: Column, k: int = 10, block: int
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
-    """Sum of non-overlapping occurrences of each word in lower-cased text; documents without any are left out."""
-    low = F.lower("text")
+def tf(words: tuple[str, ...], text: str = "text") -> Column:
+    """Sum of non-overlapping occurrences of each word in a lower-cased text."""
+    low = F.lower(text)
     counts = [((F.length(low) - F.length(F.replace(low, F.lit(w), F.lit("")))) / len(w)).cast("long") for w in words]
-    return docs.select("doc_id", sum(counts[1:], counts[0]).alias("tf")).where("tf > 0")
+    return sum(counts[1:], counts[0])
+
+
+def keyword_tf(docs: DataFrame, words: tuple[str, ...]) -> DataFrame:
+    """(doc_id, tf) by ``tf``; documents without any of the words are left out."""
+    return docs.select("doc_id", tf(words).alias("tf")).where("tf > 0")
 
 
 def rrf(docs: DataFrame, first: tuple[str, ...], second: tuple[str, ...], weights=(1.5, 0.7), k: int = 60, least: float = 0.02) -> DataFrame:
@@ -67,9 +72,9 @@ def rrf(docs: DataFrame, first: tuple[str, ...], second: tuple[str, ...], weight
     Ranks are counted along ranges of (tf, doc_id), so no task holds a ranking
     or the many documents of one tf.
     """
-    ranks = []
-    for n, words in enumerate((first, second)):
-        found = keyword_tf(docs, words).select((-F.col("tf")).alias("less"), "doc_id", F.lit(1).alias("one"))
+    ranks, counts = [], cut(docs.select("doc_id", *(tf(words).alias(f"t{n}") for n, words in enumerate((first, second)))))  # texts are read once
+    for n in range(2):
+        found = counts.where(f"t{n} > 0").select((-F.col(f"t{n}")).alias("less"), "doc_id", F.lit(1).alias("one"))
         ranks.append(running(found, [], ["less", "doc_id"], "one").select("doc_id", (F.col("upto") - 1).alias(f"r{n}")))
     part = lambda n: F.coalesce(weights[n] / (k + F.col(f"r{n}") + 1), F.lit(0.0))
     both = ranks[0].join(ranks[1], "doc_id", "full")

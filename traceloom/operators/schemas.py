@@ -13,20 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from traceloom.functions.scalar import let
+
 FINDING = "struct<path:string,rule:string,found:string>"
 KNOWN = {"type", "required", "properties", "additionalProperties", "items", "enum", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "pattern", "format", "default"}
 #: Spark's types of the values of simple schema types.
 SIMPLE = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def kind(v: Column) -> Column:
     """The JSON type of a variant: a boolean is no integer; a number without a fraction is one. Null where there is no value."""
-    return _let(F.schema_of_variant(v), lambda t: (
+    return let(F.schema_of_variant(v), lambda t: (
         F.when(t.isNull(), None).when(t == "VOID", "null").when(t == "BOOLEAN", "boolean").when(t == "STRING", "string")
         .when(t.startswith("OBJECT"), "object").when(t.startswith("ARRAY"), "array").when((t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$"), "integer").otherwise("number")))
 
@@ -60,7 +57,7 @@ def _findings(v: Column, schema: dict, path: Column) -> Column:
     unknown = set(schema) - KNOWN
     if unknown or schema.get("format", "date") != "date" or schema.get("additionalProperties", False) is not False:
         raise ValueError(f"not in the schema subset: {sorted(unknown) or schema}")
-    return _let(F.struct(v.alias("v"), kind(v).alias("is")), lambda n: _node(n["v"], n["is"], schema, path))
+    return let(F.struct(v.alias("v"), kind(v).alias("is")), lambda n: _node(n["v"], n["is"], schema, path))
 
 
 def _node(v: Column, is_: Column, schema: dict, path: Column) -> Column:
@@ -96,7 +93,7 @@ def violations(value: Column, schema: dict) -> Column:
     """
     one = lambda rule, found: F.array(F.struct(F.lit("$").alias("path"), F.lit(rule).alias("rule"), found.alias("found")))
     judge = lambda n: F.when(n["text"].isNull(), one("required", F.lit(None).cast("string"))).when(n["v"].isNull(), one("json", n["text"])).otherwise(_findings(n["v"], schema, F.lit("$")))
-    return _let(F.struct(value.alias("text"), F.try_parse_json(value).alias("v")), judge)
+    return let(F.struct(value.alias("text"), F.try_parse_json(value).alias("v")), judge)
 
 
 def _property(v: Column, name: str, inside: dict) -> Column:
@@ -115,7 +112,7 @@ def filled(value: Column, schema: dict) -> Column:
     def fill(v: Column) -> Column:
         return F.struct(*(_property(v, name, inside) for name, inside in schema["properties"].items()))
 
-    return F.when(F.size(violations(value, schema)) == 0, _let(F.try_parse_json(value), fill))
+    return F.when(F.size(violations(value, schema)) == 0, let(F.try_parse_json(value), fill))
 
 
 def findings(rows: DataFrame, key: list[str], value: Column, schema: dict) -> DataFrame:

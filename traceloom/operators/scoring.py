@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from traceloom.functions import leaves
+from traceloom.functions.scalar import let
 
 PARTS, CALLS = (ArrayType(StructType([StructField(n, StringType()) for n in names])) for names in (("key", "text"), ("tool", "args")))
 PARSED = StructType([StructField("calls", CALLS), StructField("malformed", BooleanType())])
@@ -211,28 +212,32 @@ def tagged_calls(text: Column) -> Column:
     """
     block, function, parameter = r"(?s)<tool_call>(.*?)</tool_call>", r"(?s)<function=([^>\s]+)>(.*?)</function>", r"(?s)<parameter=([^>\s]+)>\n?(.*?)\n?</parameter>"
     every = lambda c, pattern, i: F.regexp_extract_all(c, F.lit(pattern), F.lit(i))
-    text = F.coalesce(text, F.lit(""))
-    blocks = every(text, block, 1)
     beside = lambda c, pattern: F.regexp_replace(F.regexp_replace(c, pattern, ""), r"\s+", "") != ""
 
     def call(name: Column, body: Column) -> Column:
-        names, values = every(body, parameter, 1), every(body, parameter, 2)
-        last = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda x, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), x["k"]))
-        args = F.coalesce(F.to_json(F.map_from_entries(last)), F.lit("{}"))
-        twice = F.size(F.array_distinct(names)) < F.size(names)
-        return F.struct(name.alias("tool"), args.alias("args"), (twice | beside(body, parameter)).alias("bad"))
+        def given(p: Column) -> Column:
+            names, values = p["k"], p["v"]
+            last = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda x, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), x["k"]))
+            args = F.coalesce(F.to_json(F.map_from_entries(last)), F.lit("{}"))
+            twice = F.size(F.array_distinct(names)) < F.size(names)
+            return F.struct(name.alias("tool"), args.alias("args"), (twice | beside(body, parameter)).alias("bad"))
+
+        return let(F.struct(every(body, parameter, 1).alias("k"), every(body, parameter, 2).alias("v")), given)
 
     def calls_of(inside: Column) -> Column:
-        names, bodies = every(inside, function, 1), every(inside, function, 2)
-        own = F.transform(F.sequence(F.lit(0), F.size(names) - 1), lambda i: call(F.get(names, i), F.get(bodies, i)))
-        own = F.when(F.size(names) > 0, own).otherwise(F.expr("cast(array() AS array<struct<tool:string,args:string,bad:boolean>>)"))
-        return F.struct(own.alias("calls"), ((F.size(names) != 1) | beside(inside, function)).alias("bad"))
-
-    read = F.transform(blocks, calls_of)
-    calls = F.flatten(F.transform(read, lambda b: b["calls"]))
-    bad = F.regexp_count(text, F.lit(r"<\s*/?\s*tool_call")) != 2 * F.size(blocks)
-    bad = bad | F.exists(read, lambda b: b["bad"]) | F.exists(calls, lambda c: c["bad"])
-    return F.struct(F.transform(calls, lambda c: F.struct(c["tool"].alias("tool"), c["args"].alias("args"))).alias("calls"), bad.alias("malformed"))
+        def own(f: Column) -> Column:
+            calls = F.zip_with(f["names"], f["bodies"], call)
+            return F.struct(calls.alias("calls"), ((F.size(f["names"]) != 1) | beside(inside, function)).alias("bad"))
+
+        return let(F.struct(every(inside, function, 1).alias("names"), every(inside, function, 2).alias("bodies")), own)
+
+    def whole(read: Column) -> Column:
+        calls, blocks = F.flatten(F.transform(read["blocks"], lambda b: b["calls"])), read["blocks"]
+        bad = (F.regexp_count(read["text"], F.lit(r"<\s*/?\s*tool_call")) != 2 * F.size(blocks)) | F.exists(blocks, lambda b: b["bad"])
+        return let(calls, lambda c: F.struct(F.transform(c, lambda x: F.struct(x["tool"].alias("tool"), x["args"].alias("args"))).alias("calls"), (bad | F.exists(c, lambda x: x["bad"])).alias("malformed")))
+
+    known = let(F.coalesce(text, F.lit("")), lambda t: F.struct(t.alias("text"), F.transform(every(t, block, 1), calls_of).alias("blocks")))
+    return let(known, whole)
 
 
 def _literal_call(node: ast.expr) -> dict:
