@@ -283,6 +283,40 @@ def test_substring_dedup_random_and_awkward(spark):
     assert substring_dedup.repeat_digest(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("counters", [4, 200, 1000])
+def test_substring_dedup_of_passages_in_all_documents(spark, counters):
+    """A notice in every document, a chorus in a third, and their variants: some windows are frequent, some are not."""
+    r = random.Random(counters)
+    notice, chorus = [f"n{i}" for i in range(30)], [f"c{i}" for i in range(25)]
+    docs = []
+    for i in range(150):
+        body = [r.choice("xyzuvw") for _ in range(r.randrange(30))]
+        parts = [body, notice, *([chorus] if i % 3 == 0 else []), notice[: r.randrange(1, 30)] + ["cut"]]
+        r.shuffle(parts)
+        docs.append((i * 7 % 150, " ".join(sum(parts, []))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    (hot, wide), total = substring_dedup.frequent(frame, (5, 10), counters)
+    assert len(hot) <= counters and len(wide) <= counters and total == sum(max(0, len(t.split()) - 4) for _, t in docs)
+    assert counters == 4 or len(wide) > 0
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in substring_dedup.repeat_digest(frame, 10, counters).collect()}
+    assert got == brute_repeats(docs, 10)
+
+
+def test_tally_keeps_what_is_frequent():
+    r = np.random.default_rng(5)
+    for keep in (3, 20, 500):
+        h = r.zipf(1.3, 40_000).astype(np.uint64)
+        tally = substring_dedup.Tally(keep, limit=1000)
+        for part in np.array_split(h, 90):
+            tally.add(part)
+        tally.fold()
+        true = dict(zip(*(x.tolist() for x in np.unique(h, return_counts=True))))
+        held = dict(zip(tally.values.tolist(), tally.counts.tolist()))
+        assert tally.total == len(h) and len(held) <= keep
+        assert all(n <= true[v] for v, n in held.items())
+        assert all(held.get(v, 0) >= n - len(h) / keep for v, n in true.items())
+
+
 # op8
 
 
