@@ -120,12 +120,17 @@ class Tally:
             self.fold()
 
     def fold(self) -> None:
-        if not self.held:
+        if self.held:
+            new, n = np.unique(np.concatenate(self.parts), return_counts=True)
+            total, self.parts, self.held = self.held, [], 0
+            self.merge(new, n, total)
+
+    def merge(self, values: np.ndarray, counts: np.ndarray, total: int) -> None:
+        """Add the counters of another tally. The sum is as near as one tally of all would be."""
+        self.total += total
+        values, counts = np.concatenate([self.values, values]), np.concatenate([self.counts, counts])
+        if not len(values):
             return
-        new, n = np.unique(np.concatenate(self.parts), return_counts=True)
-        self.total += self.held
-        self.parts, self.held = [], 0
-        values, counts = np.concatenate([self.values, new]), np.concatenate([self.counts, n])
         by = np.argsort(values, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], values[by][1:] != values[by][:-1])))
         values, counts = values[by][first], np.add.reduceat(counts[by], first)
@@ -133,17 +138,26 @@ class Tally:
             counts = counts - np.partition(counts, -self.keep - 1)[-self.keep - 1]
         self.values, self.counts = values[counts > 0], counts[counts > 0]
 
-    def shares(self) -> tuple[np.ndarray, np.ndarray]:
-        """Values with at least one in ``keep`` of the total, and their counts."""
-        own = self.counts * self.keep >= self.total
+    def shares(self, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Values with at least one in ``keep`` of the total and a count of ``least``, and their counts."""
+        own = (self.counts >= least) & (self.counts * self.keep >= self.total)
         return self.values[own], self.counts[own]
 
 
+TALLY = "size int, total long, hashes binary, counts binary"
+
+
+def _tallies(size: int, total: int, values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), pa.array([total]), pa.array([values.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["size", "total", "hashes", "counts"])
+
+
 def frequent(docs: DataFrame, sizes: tuple[int, ...], keep: int) -> tuple[list[np.ndarray], int]:
     """For each window size the sorted hashes of at most ``keep`` frequent windows; and the number of all windows of the first.
 
-    Of one window a task leaves out at most two in ``keep`` of all it reads, so
-    a window that is not returned has less than three in ``keep`` of all.
+    Each task sends one tally, less what occurs in it but once or in less than
+    one in ``keep`` of its windows; tallies are merged in two steps. A window
+    that is not returned has less than three in ``keep`` of all occurrences and
+    one for each task.
     """
 
     def run(batches):
@@ -154,17 +168,22 @@ def frequent(docs: DataFrame, sizes: tuple[int, ...], keep: int) -> tuple[list[n
                     t.add(vec.windows(w, size)[1])
         for size, t in zip(sizes, tallies):
             t.fold()
-            values, counts = t.shares()
-            # The total is the row without a value.
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values) + 1, size, np.int32)), pa.array([None, *values.view(np.int64).tolist()], pa.int64()), pa.array(np.append(t.total, counts))], ["size", "value", "n"])
+            yield _tallies(size, t.total, *t.shares(2))
 
-    tally = cut(docs.select("doc_id", "text").mapInArrow(vec.tidy(run), "size int, value long, n long").groupBy("size", "value").agg(F.sum("n").alias("n")))
-    total = {r["size"]: r["n"] for r in tally.where("value IS NULL").collect()}
-    out = []
-    for size in sizes:
-        rows = tally.where(f"value IS NOT NULL AND size = {size} AND n * {keep} >= {total.get(size, 0)}").select("value").toArrow()
-        out.append(np.sort(rows.column(0).to_numpy().astype(np.int64).view(np.uint64)))
-    return out, total.get(sizes[0], 0)
+    def merge(batches):
+        tallies: dict[int, Tally] = {}
+        for b in batches:
+            for size, total, h, n in zip(*(c.to_pylist() for c in b.columns[:4])):
+                tallies.setdefault(size, Tally(keep)).merge(np.frombuffer(h, np.uint64), np.frombuffer(n, np.int64), total)
+        for size, t in tallies.items():
+            yield _tallies(size, t.total, t.values, t.counts)
+
+    parts = docs.select("doc_id", "text").mapInArrow(vec.tidy(run), TALLY).withColumn("part", F.spark_partition_id())
+    some = parts.repartition(width(docs.sparkSession), "part").mapInArrow(vec.tidy(merge), TALLY)
+    got = {size: Tally(keep) for size in sizes}
+    for r in some.repartition(1).mapInArrow(vec.tidy(merge), TALLY).collect():
+        got[r["size"]].merge(np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["counts"], np.int64), r["total"])
+    return [np.sort(got[size].shares()[0]) for size in sizes], got[sizes[0]].total
 
 
 def _among(sorted_values: np.ndarray, h: np.ndarray) -> np.ndarray:
