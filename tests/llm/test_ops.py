@@ -450,6 +450,84 @@ def test_secrets_outside_the_base_patterns_are_added(spark):
     assert len(added & slugs) < 0.2 * len(slugs), (len(added & slugs), len(slugs))
 
 
+def plain_findings(text):
+    """The contract's base findings by plain scans of other patterns, none of them the library's."""
+    word, out = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"), []
+    at = 0
+    head = re.compile("[\"']? *[:=] *[\"']?")
+    while at < len(text):
+        name = next((n for n in ("password", "passwd", "secret", "token", "api_key", "apikey") if "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text[at : at + len(n)]) == n), None)
+        m = name and head.match(text, at + len(name))
+        end = begin = m.end() if m else at
+        while m and end < len(text) and text[end] in word:
+            end += 1
+        if end > begin and end - begin >= 12:
+            out.append((at, 0, end))
+        at = end if end > begin else at + 1
+    for kind, start, chars, least in ((1, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 18), (2, "", "0123456789abcdef", 16)):
+        at = 0
+        while at < len(text):
+            end = at + len(start)
+            while text.startswith(start, at) and end < len(text) and text[end] in chars:
+                end += 1
+            if text.startswith(start, at) and end > at + len(start):
+                if end - at >= least:
+                    out.append((at, kind, end))
+                at = end
+            else:
+                at += 1
+    return sorted(out)
+
+
+def test_base_secrets_of_whole_tables_and_random_texts(spark, small):
+    r = random.Random(11)
+    bits = ["password", "PASSWD", "api_key", "ApiKey", "token", "secret", "AKIA", "akia", "=", ":", " ", "'", '"', "abcdef012345", "XYZ789XYZ789", "é", "-._", "0123456789abcdef", "\n", "\t"]
+    made = [(-1 - i, "".join(r.choice(bits) for _ in range(r.randrange(1, 60)))) for i in range(1500)]
+    docs = documents(spark, small) + made
+    frame = table(spark, small, "documents").select("doc_id", "text").union(spark.createDataFrame(made, "doc_id long, text string"))
+    got = {x.doc_id: (x.n_assign, x.n_access, x.n_hex, x.base_sha256) for x in secrets.scan_secrets(frame, (secrets.CharNet(), float("inf"))).collect()}
+    want = {}
+    for i, t in docs:
+        found = plain_findings(t or "")
+        want[i] = (*(sum(k == n for _, k, _ in found) for n in range(3)), hashlib.sha256(",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in found).encode()).hexdigest())
+    assert got == want and sum(w[1] for w in want.values()) > 20
+
+
+def test_added_secrets_are_right_more_often_than_wrong(spark):
+    """Bare keys of several alphabets among findings, mail hosts, long words, dates and paths, with copies of some texts."""
+    r = np.random.default_rng(8)
+    pick = lambda chars, n: "".join(r.choice(list(chars), n))
+    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    words = lambda n, a=2, z=9: " ".join(pick(low, int(r.integers(a, z))) for _ in range(n))
+    rows, planted = [], set()
+    for i in range(1600):
+        kind, bare = i % 16, None
+        if kind in (0, 1):
+            bare = (pick(low + up + num, 32), pick(low + up + num + "+/", 40))[kind]
+            middle = bare
+        elif kind < 6:
+            middle = (f"token={pick(low + up + num, 30)}", f'api_key: "{pick(low + up + num + "+/", 40)}"', f"id {pick('0123456789abcdef', 32)}", f"password = {pick(low + num, 20)} {words(1, 12, 16)}")[kind - 2]
+        else:
+            middle = (f"{words(1)}.{r.integers(10, 99)}@mail{r.integers(1, 9)}.example.com", words(1, 12, 18), f"on 2024-0{r.integers(1, 9)}-1{r.integers(0, 9)}T10", f"at /usr/share/{words(1)}/{words(1)}")[kind % 4]
+        planted |= {i} if bare else set()
+        rows.append((i, f"{words(5)} {middle} {words(5)}"))
+    copied = [(10_000 + i, t) for i, t in rows if i % 160 < 2]
+    docs = spark.createDataFrame(rows + copied, "doc_id long, text string")
+    added = {x.doc_id for x in secrets.scan_secrets(docs).collect() if x.n_added}
+    planted |= {10_000 + i for i, _ in rows if i % 160 < 2}
+    right = len(added & planted)
+    assert right >= 0.75 * len(planted) and right >= 0.9 * len(added), (right, len(planted), len(added))
+
+
+def test_what_is_learnt_from_is_bounded_in_bytes(spark):
+    """Candidates of a megabyte, found and not found by the base patterns: learnt from in part, scored whole."""
+    r = random.Random(4)
+    long = lambda: "".join(r.choice("abXY09+/") for _ in range(1_000_000))
+    rows = [(i, f"token={long()}" if i % 2 else f"see {long()}") for i in range(6)] + [(i, f"token=aB3dE5gH7jK9{i} or plain-words-like-{i}") for i in range(6, 40)]
+    got = {x.doc_id: x for x in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].spans.startswith("assign:0:1000006") for i in (1, 3, 5)) and len(got) == 40
+
+
 @pytest.mark.parametrize("long", [60, 3 * secrets.PIECE])
 def test_character_network_sees_the_whole_candidate(long):
     """Candidates that differ only at their end differ in score, and every position counts once, in any block."""
