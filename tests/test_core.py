@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from traceloom.functions import dialogue, leaves, scalar
-from traceloom.operators import differences, evaluation, graph, hybrid, ranks, records, sampling, schemas, scoring, selection, text_rules, worlds
+from traceloom.operators import differences, evaluation, flows, graph, hybrid, ranks, records, sampling, schemas, scoring, selection, text_rules, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -25,6 +25,22 @@ def test_against_sql(spark, small, name):
     assert compare.difference(QUERIES[name](spark, small), compare.duck(small), ORACLES[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["route_enumeration", "reachability"])
+def test_walks_do_not_count_edges_again(spark, small, name):
+    """Joins with the edges read them as written, not the tables they were counted from."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    reads, real = [], flows.cut
+    flows_cut = lambda df: reads.append(df.columns) or real(df)
+    flows.cut = flows_cut
+    try:
+        QUERIES[name](spark, small)
+    finally:
+        flows.cut = real
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert reads == [["edge_id", "a", "b"]]
+
+
 def test_vector_topk_answers_every_query(spark, small):
     ids = [r.vec_id for r in table(spark, small, "embeddings").select("vec_id").collect()]
     got = defaultdict(int)
