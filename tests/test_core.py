@@ -261,6 +261,21 @@ def test_random_segments_against_the_definition(spark):
     assert _compared(spark, [([_call("f", "{}", n) for n in (1, 2, 3)], [_call("f", "{}", n) for n in (1, 2, 1)])])[0][2]
 
 
+@pytest.mark.parametrize("name", ["call_details", "segment_scores", "task_scores"])
+def test_calls_are_read_once(spark, small, name):
+    """Two readings of arguments, one a side, and one comparison."""
+    assert str(QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan()).count("ArrowEvalPython") == 3
+
+
+def test_scores_of_compared_segments(spark):
+    rows = lambda calls: spark.createDataFrame([(s, p, 1, t, a) for s, p, t, a in calls], CALLS)
+    want, made = rows([(1, 0, "f", "{}"), (1, 1, None, "{}"), (1, 2, "g", "{}"), (2, 0, "f", "{}"), (None, 0, "f", "{}")]), rows([(1, 0, None, "[]"), (1, 1, "g", '{"x": 1}'), (1, 2, "g", "{}"), (3, 0, "f", "{}")])
+    both = scoring.compared(want, made, ["seg"])
+    details, scores = scoring.details_of(both, ["seg"]), scoring.scores_of(both, ["seg"])
+    assert sorted(scores.collect()) == sorted(scoring.segment_scores(details, want, made, ["seg"]).collect()) == [(1, 3, 1, 2, False), (2, 1, 0, 0, False), (3, 0, 0, 1, False)]
+    assert sorted(r.reason for r in details.collect()) == ["correct", "extra_call", "extra_call", "extra_call", "missing", "missing", "missing", "missing"]
+
+
 def test_every_reason_occurs(spark, small):
     reasons = {r.reason for r in QUERIES["call_details"](spark, small).select("reason").distinct().collect()}
     assert reasons - {"wrong_args:at"} == {"correct", "missing", "extra_call", "out_of_order", "unparseable_args", "wrong_args:k"}  # at: a call left out before a changed one

@@ -46,10 +46,12 @@ def _calls(e: DataFrame) -> tuple[DataFrame, DataFrame]:
     return required, kept.union(extra)
 
 
-def _scored(e: DataFrame) -> tuple[DataFrame, DataFrame]:
-    required, made = _calls(e)
-    details = scoring.call_details(required, made, SEGMENT, CLASSES)
-    return details, scoring.segment_scores(details, required, made, SEGMENT, CLASSES)
+def _compared(e: DataFrame) -> DataFrame:
+    return scoring.compared(*_calls(e), SEGMENT, CLASSES)
+
+
+def _scored(e: DataFrame) -> DataFrame:
+    return scoring.scores_of(_compared(e), SEGMENT)
 
 
 # A required call is paired unless it is left out, changed, unreadable or moved; see the module's text.
@@ -72,10 +74,10 @@ segments AS (
   SELECT user_id, day, count(required) AS required, count(*) FILTER (reason = 'correct') AS correct, count(*) FILTER (reason = 'extra_call') AS extra, bool_and(reason = 'correct') AS structure
   FROM details GROUP BY 1, 2)"""
 
-_add("call_details", lambda e: _scored(e)[0].select("user_id", F.col("required_pos.event_id").alias("required_event"), F.col("made_pos.event_id").alias("made_event"), "tool", "reason"),
+_add("call_details", lambda e: scoring.details_of(_compared(e), SEGMENT).select("user_id", F.col("required_pos.event_id").alias("required_event"), F.col("made_pos.event_id").alias("made_event"), "tool", "reason"),
      EXPECTED + " SELECT user_id, required AS required_event, made AS made_event, tool, reason FROM details")
 
-_add("segment_scores", lambda e: _scored(e)[1], EXPECTED + " SELECT * FROM segments")
+_add("segment_scores", _scored, EXPECTED + " SELECT * FROM segments")
 
 
 def _tasks(e: DataFrame) -> DataFrame:
@@ -94,9 +96,9 @@ scores AS (
   SELECT t.*, s.required, s.correct, s.extra, whole AND complete AND error IS NULL AS matched
   FROM tasks t JOIN (SELECT user_id, sum(required)::BIGINT AS required, sum(correct)::BIGINT AS correct, sum(extra)::BIGINT AS extra, bool_and(structure) AS whole FROM segments GROUP BY 1) s USING (user_id))"""
 
-_add("task_scores", lambda e: scoring.task_scores(_scored(e)[1], _tasks(e), "user_id"), TASKS + " SELECT * FROM scores")
+_add("task_scores", lambda e: scoring.task_scores(_scored(e), _tasks(e), "user_id"), TASKS + " SELECT * FROM scores")
 
-_add("score_summary", lambda e: scoring.summary(scoring.task_scores(_scored(e)[1], _tasks(e), "user_id"), {"route": F.col("user_id") % 4, "outcome": F.coalesce("error", F.lit("none"))}, "user_id").withColumn("cost", F.round("cost", 4)).withColumn("cost_a_task", F.round("cost_a_task", 4)), TASKS + """,
+_add("score_summary", lambda e: scoring.summary(scoring.task_scores(_scored(e), _tasks(e), "user_id"), {"route": F.col("user_id") % 4, "outcome": F.coalesce("error", F.lit("none"))}, "user_id").withColumn("cost", F.round("cost", 4)).withColumn("cost_a_task", F.round("cost_a_task", 4)), TASKS + """,
 long AS (
   SELECT 'overall' AS slice, 'all' AS value, * FROM scores UNION ALL SELECT 'route', (user_id % 4)::VARCHAR, * FROM scores UNION ALL SELECT 'outcome', coalesce(error, 'none'), * FROM scores)
 SELECT slice, value, count(*) AS n, round(avg(matched::INT), 4) AS trace_match, CASE WHEN sum(required) > 0 THEN round(sum(correct) / sum(required), 4) ELSE 1.0 END::DOUBLE AS call_match, sum(required)::BIGINT AS required,
