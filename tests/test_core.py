@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from traceloom.functions import dialogue, leaves, scalar
-from traceloom.operators import differences, evaluation, flows, graph, hybrid, ranks, records, sampling, schemas, scoring, selection, text_rules, worlds
+from traceloom.operators import differences, evaluation, flows, graph, hybrid, ranks, records, retrieval, sampling, schemas, scoring, selection, text_rules, worlds
 from traceloom.operators.graph import connected_components
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
@@ -25,6 +25,14 @@ def test_against_sql(spark, small, name):
     assert compare.difference(QUERIES[name](spark, small), compare.duck(small), ORACLES[name]) == ""
 
 
+def test_blocks_that_a_task_holds_do_not_grow_with_the_vectors(spark):
+    vectors = spark.range(0, 2000, 1, 2).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float")).alias("embedding"))
+    for n in (500, 2000):
+        cells = retrieval.block_cells(vectors.where(f"vec_id < {n}"), F.col("vec_id") % 5 == 0, block=5)
+        held = [r["count"] for r in cells.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == (n // 5) * (n // 25) and max(held) <= 100
+
+
 @pytest.mark.parametrize("name", ["route_enumeration", "reachability"])
 def test_walks_do_not_count_edges_again(spark, small, name):
     """Joins with the edges read them as written, not the tables they were counted from."""
