@@ -33,6 +33,20 @@ def test_blocks_that_a_task_holds_do_not_grow_with_the_vectors(spark):
         assert sum(held) == (n // 5) * (n // 25) and max(held) <= 100
 
 
+def test_audits_hold_little_in_a_task(spark, small):
+    """Replays are counted by their results themselves, and a schedule is made once for all rules."""
+    plan = lambda name: str(QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan())
+    assert "sha2(" not in plan("replay_determinism")
+    assert "Window" not in plan("schedule_audit")
+
+
+def test_schedule_audit_counts_what_is_missing_or_repeated(spark):
+    source = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, None)], "i int")
+    schedule = spark.createDataFrame([("g", 1, 0), ("g", 1, 0), ("g", 1, 1), ("g", 2, 1), ("g", None, 2), ("g", 9, 2)], "g string, i int, batch int")
+    got = {r.rule: (r.bad, r.status) for r in worlds.schedule_audit(schedule, source, "g", "i", 2, 2).collect()}
+    assert got == {"covers the sources": (2, "FAIL"), "occurrences": (1, "FAIL"), "full batches": (2, "FAIL")}
+
+
 @pytest.mark.parametrize("name", ["route_enumeration", "reachability"])
 def test_walks_do_not_count_edges_again(spark, small, name):
     """Joins with the edges read them as written, not the tables they were counted from."""
