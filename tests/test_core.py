@@ -47,6 +47,12 @@ def test_schedule_audit_counts_what_is_missing_or_repeated(spark):
     assert got == {"covers the sources": (2, "FAIL"), "occurrences": (1, "FAIL"), "full batches": (2, "FAIL")}
 
 
+def test_versions_are_taken_apart_once(spark, small):
+    """Four readings of leaves, of two sides' columns and JSON; the versions themselves are not read again."""
+    plan = str(QUERIES["version_audit"](spark, small)._jdf.queryExecution().optimizedPlan())
+    assert plan.count("json_leaves(") == 4 and "parquet" not in plan
+
+
 @pytest.mark.parametrize("name", ["route_enumeration", "reachability"])
 def test_walks_do_not_count_edges_again(spark, small, name):
     """Joins with the edges read them as written, not the tables they were counted from."""

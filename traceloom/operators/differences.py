@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traceloom.functions.leaves import json_leaves
+from traceloom.session import cut
 
 
 def row_leaves(columns: list[str], json_columns: list[str]) -> Column:
@@ -26,8 +27,8 @@ def audit(left: DataFrame, right: DataFrame, key: list[str], json_columns: tuple
     further. Problems of a leaf: ``only left``, ``only right``, ``type``,
     ``value``. Equal tables give no rows. Keys are compared null-safe.
 
-    Both sides are shuffled once by key; only records that differ are taken
-    apart, and their leaves meet by key and path.
+    Both sides are shuffled once by key; only records that differ are written
+    and taken apart, and their leaves meet by key and path.
     """
     columns = sorted((set(left.columns) | set(right.columns)) - set(key))
 
@@ -42,18 +43,20 @@ def audit(left: DataFrame, right: DataFrame, key: list[str], json_columns: tuple
     both = a.join(b, same_key, "full")
     named = [F.when(F.col("l_n").isNotNull(), F.col(f"l_{k}")).otherwise(F.col(f"r_{k}")).alias(k) for k in key]
     both = both.select(*named, "l_n", "l_row", "r_n", "r_row")
+    if [f for f in left.schema if f.name in columns] == [f for f in right.schema if f.name in columns]:
+        both = both.where(~(F.col("l_n").eqNullSafe(1) & F.col("r_n").eqNullSafe(1) & F.col("l_row").eqNullSafe(F.col("r_row"))))  # equal rows need not be taken apart
+    both = cut(both)
     none = F.lit(None).cast("string")
     problem = F.when(F.col("l_n").isNull(), "missing left").when(F.col("r_n").isNull(), "missing right").when(F.col("l_n") > 1, "repeated left").when(F.col("r_n") > 1, "repeated right")
     records = both.select(*key, F.lit("$").alias("path"), problem.alias("problem"), none.alias("left"), none.alias("right")).where("problem IS NOT NULL")
     met = both.where("l_n = 1 AND r_n = 1")
-    if [f for f in left.schema if f.name in columns] == [f for f in right.schema if f.name in columns]:
-        met = met.where(~F.col("l_row").eqNullSafe(F.col("r_row")))  # equal rows need not be taken apart
 
     def taken(row: str, df: DataFrame) -> DataFrame:
         own = [c for c in columns if c in df.columns]
         apart = met.select(*key, f"{row}.*") if own else met.select(*key)
         parts = row_leaves(own, [c for c in json_columns if c in own]) if own else F.expr("cast(array() AS array<struct<path:string,type:string,value:string>>)")
-        return apart.select(*key, F.explode(parts).alias("x")).select(*key, "x.*")
+        # Of an inner explode Spark derives a filter that takes records apart again.
+        return apart.select(*key, F.explode_outer(parts).alias("x")).where("x IS NOT NULL").select(*key, "x.*")
 
     x, y = taken("l_row", left).alias("x"), taken("r_row", right).alias("y")
     on = [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in key] + [F.col("x.path") == F.col("y.path")]
