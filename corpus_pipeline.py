@@ -23,7 +23,7 @@ STAGES = [
     ("exact_dedup", lambda spark, docs, sf_dir: keep_first_copies(docs)),
     ("jaccard_join", lambda spark, docs, sf_dir: keep_one_of_each(docs)),
     ("decontamination", lambda spark, docs, sf_dir: drop_contaminated(docs, table(spark, sf_dir, "benchmark"))),
-    ("packing", lambda spark, docs, sf_dir: pack(docs, tokenizer("word_bpe_49k.json"))),
+    ("packing", lambda spark, docs, sf_dir: pack(docs, tokenizer("word_bpe_49k.json"), words=100_000)),  # executors still hold what earlier stages took
 ]
 
 #: The toxicity stage trains a classifier and packing solves a linear program; tests hold run() against brute force.

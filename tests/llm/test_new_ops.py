@@ -207,3 +207,29 @@ def test_slices_of_texts_are_bounded(monkeypatch):
     texts = pa.array(["x" * n for n in (10, 0, 95, 300, 5, 5, 90)] + [None])
     cuts = alignment.slices(texts)
     assert [i for lo, hi in cuts for i in range(lo, hi)] == list(range(8)) and all(sum(len(t or "") for t in texts.to_pylist()[lo:hi]) <= 100 + 300 for lo, hi in cuts)
+
+
+# packing in the pipeline
+
+
+def test_a_worker_drops_what_another_operator_kept():
+    """Words of the packing held no more once a worker runs another operator's task, and no more than asked for."""
+    from traceloom.llm import packing, vec
+
+    path, texts = tokenizer("word_bpe_49k.json"), [[f"w{k}x{i}" for i in range(600)] for k in range(8)]
+    whole, few = packing.WordCoder(path), vec.keep("few", lambda: packing.WordCoder(path, words=1000))
+    for t in texts:
+        assert few.code([" ".join(t)]) == whole.code([" ".join(t)])
+        assert len(few.known) <= 1600 and len(few.older) <= 1600
+
+    def other(batches):
+        assert not vec._kept
+        yield from batches
+
+    def again(batches):
+        vec.keep("few", lambda: 1)
+        yield from batches
+
+    assert list(vec.tidy(again)([1])) == [1] and vec._kept == {"few": 1}
+    assert list(vec.tidy(again)([2])) == [2] and vec._kept == {"few": 1}
+    assert list(vec.tidy(other)([3])) == [3]

@@ -26,7 +26,6 @@ PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens
 #: Words kept by a Python worker between tasks. Beyond it they become the older half of the cache, from which
 #: a word that occurs again comes back without being coded anew.
 CACHE_WORDS = 500_000
-_coders: dict[str, "WordCoder"] = {}
 
 
 class WordCoder:
@@ -37,15 +36,16 @@ class WordCoder:
     one pre-split list, so that normalising, splitting and merging are its own.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
+        self.words = words
         self.full = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > self.words:
             self.known, self.older = {}, self.known
         new = {w for t in texts for w in t}.difference(self.known)
         again = new.intersection(self.older)
@@ -66,18 +66,16 @@ class WordCoder:
         return [b"".join(map(get, c)) for c in chunks]
 
 
-def coder(path: str) -> WordCoder:
-    if path not in _coders:
-        _coders[path] = WordCoder(path)
-    return _coders[path]
+def coder(path: str, words: int = CACHE_WORDS) -> WordCoder:
+    return vec.keep((path, words), lambda: WordCoder(path, words))
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, words: int = CACHE_WORDS) -> DataFrame:
     """Each document's ids and ``end_id``, cut into pieces of at most ``capacity``."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        own = coder(tokenizer)
+        own = coder(tokenizer, words)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1)
             for lo in range(0, len(ids), 512):
@@ -200,17 +198,18 @@ def slots(plan: list[tuple[np.ndarray, int]], m: int) -> tuple[list[list[tuple[i
     return of, sequence
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 8, end_id: int = 1, rows_a_bucket: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, grid: int = 8, end_id: int = 1, rows_a_bucket: int = 50_000, words: int = CACHE_WORDS) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece.
 
     Null text counts as empty and yields the one piece [end_id]. Repeated rows
     are packed as often as they occur; a null doc_id is kept. No documents give
     no pieces. Padding comes from the grid (under ``grid`` tokens a piece) and
     from at most a few hundred remainder sequences. Only doc_id and text are
-    read.
+    read. A worker holds ``words`` words, and as many again that it may yet
+    need; fewer cost time, not pieces.
     """
     m = -(-capacity // grid)
-    cutting = cut(pieces(docs, tokenizer, capacity, end_id)).withColumn("class", F.expr(f"cast((length + {grid - 1}) div {grid} - 1 AS int)"))
+    cutting = cut(pieces(docs, tokenizer, capacity, end_id, words)).withColumn("class", F.expr(f"cast((length + {grid - 1}) div {grid} - 1 AS int)"))
     demand = np.zeros(m, np.int64)
     for c, n in cutting.groupBy("class").count().collect():  # at most m rows
         demand[c] = n

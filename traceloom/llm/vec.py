@@ -25,6 +25,22 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
+_kept: dict[object, object] = {}
+_runs: list[tuple[str, str]] = []  # the operator whose tasks this worker runs
+
+
+def keep(key: object, make: Callable) -> object:
+    """What ``make`` returns, held by the Python worker until it begins a task of another operator."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def begin(run: tuple[str, str]) -> None:
+    """Drops what the worker keeps for another operator than ``run``."""
+    if _runs != [run]:
+        _kept.clear()
+        _runs[:] = [run]
 
 
 def tidy(run: Callable) -> Callable:
@@ -32,9 +48,11 @@ def tidy(run: Callable) -> Callable:
 
     Python workers live on between tasks, each with what its allocators hold.
     """
+    name = (run.__module__, run.__qualname__)
 
     @functools.wraps(run)
     def to_the_end(batches):
+        begin(name)
         try:
             yield from run(batches)
         finally:
