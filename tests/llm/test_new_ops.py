@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from test_ops import AWKWARD, awkward, documents, empty
-from traceloom.llm import alignment, line_dedup, negatives
+from traceloom.llm import alignment, line_dedup, negatives, secrets
 from traceloom.llm.queries import tokenizer
 
 # op11
@@ -233,3 +233,28 @@ def test_a_worker_drops_what_another_operator_kept():
     assert list(vec.tidy(again)([1])) == [1] and vec._kept == {"few": 1}
     assert list(vec.tidy(again)([2])) == [2] and vec._kept == {"few": 1}
     assert list(vec.tidy(other)([3])) == [3]
+
+
+# op10
+
+
+def test_secrets_are_learnt_from_every_finding(spark, monkeypatch):
+    """Access keys whose hashes are above those of 3,000 findings, among as many others and like unlabelled words."""
+    r = np.random.default_rng(4)
+    pick = lambda chars, n: "".join(r.choice(list(chars), n))
+    up = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rows = [(i, f"id {pick('0123456789abcdef', 32)} end" if i % 2 else f"see {pick(up, 24)} end") for i in range(7200)]
+    own, free = [], iter(range(10_000, 10**6))
+    while len(own) < 16:  # of the quarter that is not trained on, and as many others
+        doc, key = next(free), "AKIA" + pick(up, 20)
+        at = int.from_bytes(hashlib.blake2b(f"{doc}:4:{key}".encode(), digest_size=7).digest(), "big")
+        if at > 0.95 * 2**56 and (at % 4 == 0) == (len(own) % 2 == 0):
+            own.append((doc, f"see {key} end"))
+    monkeypatch.setattr(secrets, "SHARD", 2500)
+    monkeypatch.setattr(secrets, "EFFORT", 12_000)
+    docs = spark.createDataFrame(rows + own, "doc_id long, text string")
+    net, least = secrets.fit(docs.repartition(1))
+    logits = net.logits([secrets.encode(t, 4, 28) for _, t in own[::2]])
+    assert (logits >= least).all(), (logits, least)
+    again, same = secrets.fit(docs.repartition(5))
+    assert same == least and all((a == b).all() for a, b in zip((net.kernel, net.shift, net.out), (again.kernel, again.shift, again.out)))
