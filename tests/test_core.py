@@ -12,6 +12,7 @@ import compare
 from traceloom.functions import dialogue, leaves, scalar
 from traceloom.operators import differences, evaluation, flows, graph, hybrid, ranks, records, retrieval, sampling, schemas, scoring, selection, text_rules, worlds
 from traceloom.operators.graph import connected_components
+from traceloom.plans import contracts
 from traceloom.plans.catalog import ORACLES, QUERIES
 from traceloom.session import table
 from traceloom.sources import files
@@ -465,6 +466,24 @@ def test_schema_findings_of_single_values(spark):
             schemas.violations(F.col("j"), bad)
 
 
+def test_schema_of_properties_read_at_once(spark):
+    """Names that differ in case alone or hold dots and backticks, several types, no type, and orders judged on all partitions."""
+    one = {"type": "integer", "minimum": 5}
+    schema = {"type": ["object", "array"], "properties": {"n": one, "N": {"type": "string"}, "x.y": one, "`": {"enum": ["a"]}}, "required": ["N"], "additionalProperties": False, "items": {"maximum": 3}}
+    cases = {
+        '{"n": 4, "N": "a", "x.y": 5}': [("$.n", "minimum", "4")], '{"n": "6", "x.y": 1.5, "`": "b", "z": 0}': [("$.N", "required", None), ("$.n", "type", "string"), ("$.x.y", "type", "number"), ("$.`", "enum", '"b"'), ("$.z", "additionalProperties", None)],
+        "[1, 4, null, \"5\"]": [("$[1]", "maximum", "4")], "7": [("$", "type", "integer")], "null": [("$", "type", "null")],
+    }
+    for only, is_ in (("object", "array"), (["array"], "object")):
+        for text in ("[]", "{}"):
+            found = spark.range(1).select(schemas.violations(F.lit(text), {"type": only, "properties": {"n": one}, "items": {}}).alias("f")).head().f
+            assert [tuple(f) for f in found] == ([("$", "type", is_)] if (text == "[]") == (is_ == "array") else [])
+    got = spark.createDataFrame([(x,) for x in cases], "j string").select("j", schemas.violations(F.col("j"), schema).alias("f")).collect()
+    assert {r.j: [tuple(f) for f in r.f] for r in got} == cases
+    orders, lines = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("orders", "lineitem"))
+    assert contracts._orders(orders, lines).select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_audit_of_versions(spark):
     schema = "k int, j string, n int, key string"
     left = spark.createDataFrame([(1, '{"a": [1, {"b": 2}]}', 1, "x"), (None, "{}", 1, "x"), (2, "no json", None, "x"), (3, "{}", 1, "x"), (4, "{}", 1, "x"), (4, "{}", 1, "x"), (6, None, 1, "x")], schema)

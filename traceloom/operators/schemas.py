@@ -40,48 +40,107 @@ def _key(name: str) -> str:
     return f"$[{quote}{name}{quote}]"
 
 
-def _checks(v: Column, schema: dict, is_: Column) -> list[tuple[str, Column]]:
-    """(rule, broken) of the schema's limits; each looks only at values of its own type."""
-    text, number, n_items = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "double"), F.size(F.try_variant_get(v, "$", "array<variant>"))
-    a_string, a_number, an_array = is_ == "string", is_.isin("integer", "number"), is_ == "array"
-    limits: dict[str, Callable[[object], Column]] = {
-        "minimum": lambda x: a_number & (number < x), "maximum": lambda x: a_number & (number > x), "minLength": lambda x: a_string & (F.length(text) < x), "maxLength": lambda x: a_string & (F.length(text) > x),
-        "minItems": lambda x: an_array & (n_items < x), "maxItems": lambda x: an_array & (n_items > x), "pattern": lambda x: a_string & ~text.rlike(x),
-        "format": lambda x: a_string & ~(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, "yyyy-MM-dd").isNotNull()),
-        "enum": lambda x: ~F.coalesce(F.to_json(v).isin(*(json.dumps(e, ensure_ascii=False, separators=(",", ":")) for e in x)), F.lit(False))}
-    return [(rule, limit(schema[rule])) for rule, limit in limits.items() if rule in schema]
+def _is(t: Column, name: str) -> Column:
+    """Whether a JSON value whose Spark type is ``t`` has a schema type; integers are numbers."""
+    simple = {"null": "VOID", "boolean": "BOOLEAN", "string": "STRING"}
+    if name in simple:
+        return t == simple[name]
+    if name in ("object", "array"):
+        return t.startswith(name.upper())
+    if name == "integer":
+        return (t == "BIGINT") | t.rlike(r"^DECIMAL\(\d+,0\)$")
+    return (t == "BIGINT") | (t == "DOUBLE") | t.startswith("DECIMAL") if name == "number" else F.lit(False)
+
+
+def _found(path: Column, rule: str, value: Column) -> Column:
+    return F.struct(path.alias("path"), F.lit(rule).alias("rule"), value.alias("found"))
+
+
+def _checks(v: Column, schema: dict, test: Callable[[str], Column | bool], n_items: Column) -> list[tuple[str, Column]]:
+    """(rule, broken) of the schema's limits; each looks only at values of its own type, and one that ``test`` rules out is left out."""
+    text, number = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "double")
+    limits: dict[str, tuple[str, Callable[[object], Column]]] = {
+        "minimum": ("number", lambda x: number < x), "maximum": ("number", lambda x: number > x), "minLength": ("string", lambda x: F.length(text) < x), "maxLength": ("string", lambda x: F.length(text) > x),
+        "minItems": ("array", lambda x: n_items < x), "maxItems": ("array", lambda x: n_items > x), "pattern": ("string", lambda x: ~text.rlike(x)),
+        "format": ("string", lambda x: ~(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text, "yyyy-MM-dd").isNotNull())),
+        "enum": ("", lambda x: ~F.coalesce(F.to_json(v).isin(*(json.dumps(e, ensure_ascii=False, separators=(",", ":")) for e in x)), F.lit(False)))}
+    out = []
+    for rule, (of, limit) in limits.items():
+        own = test(of) if of else True
+        if rule in schema and own is not False:
+            out.append((rule, limit(schema[rule]) if own is True else own & limit(schema[rule])))
+    return out
 
 
 def _findings(v: Column, schema: dict, path: Column) -> Column:
-    """Findings on a value that is there."""
+    """Findings on a value that is there; ``v`` is named several times, so it has to be a bound one.
+
+    Where one type alone is allowed, a value that is read as it has it, and only
+    others are asked what they are.
+    """
     unknown = set(schema) - KNOWN
     if unknown or schema.get("format", "date") != "date" or schema.get("additionalProperties", False) is not False:
         raise ValueError(f"not in the schema subset: {sorted(unknown) or schema}")
-    return let(F.struct(v.alias("v"), kind(v).alias("is")), lambda n: _node(n["v"], n["is"], schema, path))
-
-
-def _node(v: Column, is_: Column, schema: dict, path: Column) -> Column:
     types = [schema["type"]] if isinstance(schema.get("type"), str) else schema.get("type", [])
-    fits = is_.isin(*types, *(["integer"] if "number" in types else [])) if types else F.lit(True)
-    found = lambda where, rule, value: F.struct(where.alias("path"), F.lit(rule).alias("rule"), value.alias("found"))
-    own = [F.when(broken, found(path, rule, F.to_json(v))) for rule, broken in _checks(v, schema, is_)]
+    wrong = lambda is_: F.array(_found(path, "type", is_))
+    only = types[0] if len(types) == 1 else None
+    known = (lambda name: name == only or (name, only) == ("number", "integer")) if only else None
+    if only == "object" and schema.get("properties"):
+        return let(_members(v, schema), lambda o: F.when(o.isNull(), wrong(kind(v))).otherwise(_node(v, schema, path, known, o, None)))
+    if only == "array":
+        return let(F.try_variant_get(v, "$", "array<variant>"), lambda a: F.when(a.isNull(), wrong(kind(v))).otherwise(_node(v, schema, path, known, None, a)))
+    if not types and not set(schema) - {"default"}:
+        return _none()
+
+    def judge(t: Column) -> Column:
+        test = known or (lambda name: _is(t, name))
+        inner = let(F.struct(_members(v, schema).alias("o"), F.try_variant_get(v, "$", "array<variant>").alias("a")), lambda n: _node(v, schema, path, test, n["o"], n["a"])) if set(schema) & {"properties", "required", "items", "minItems", "maxItems"} else _node(v, schema, path, test, None, None)
+        if not types:
+            return inner
+        fits = _is(t, types[0])
+        for name in types[1:]:
+            fits = fits | _is(t, name)
+        return F.when(fits, inner).otherwise(wrong(kind(v)))
+
+    return let(F.schema_of_variant(v), judge)
+
+
+def _members(v: Column, schema: dict) -> Column:
+    """Struct m0, m1 and so on of the schema's properties as variants, read at once; null where the value is no object."""
+    names = list(schema.get("properties", {}))
+    for name in names:
+        _key(name)
+    if not names:
+        return F.lit(None).cast("struct<m0:variant>")
+    quoted = ("`" + name.replace("`", "``") + "`" for name in names)
+    return F.try_variant_get(v, "$", "struct<" + ",".join(f"{q}:variant" for q in quoted) + ">").cast("struct<" + ",".join(f"m{i}:variant" for i in range(len(names))) + ">")
+
+
+def _node(v: Column, schema: dict, path: Column, test: Callable[[str], Column | bool], o: Column | None, a: Column | None) -> Column:
+    """Findings on a value of a type that fits: its own, then those of its properties, of further keys and of its items."""
+    own = [(broken, _found(path, rule, F.to_json(v))) for rule, broken in _checks(v, schema, test, F.size(a) if a is not None else F.lit(None))]
     deeper = []
     properties = schema.get("properties", {})
-    for name, inside in properties.items():
-        child, at = F.try_variant_get(v, _key(name), "variant"), F.concat(path, F.lit(f".{name}"))
+    for i, (name, inside) in enumerate(properties.items() if o is not None else ()):
+        child, at = o[f"m{i}"], F.concat(path, F.lit(f".{name}"))
         if name in schema.get("required", ()):
-            own.append(F.when((is_ == "object") & child.isNull(), found(at, "required", F.lit(None).cast("string"))))
-        deeper.append(F.when((is_ == "object") & child.isNotNull(), _findings(child, inside, at)))
-    if "additionalProperties" in schema:
-        extra = F.filter(F.json_object_keys(F.to_json(v)), lambda k: ~k.isin(*properties) if properties else F.lit(True))
-        deeper.append(F.when(is_ == "object", F.transform(extra, lambda k: F.struct(F.concat(path, F.lit("."), k).alias("path"), F.lit("additionalProperties").alias("rule"), F.lit(None).cast("string").alias("found")))))
-    if "items" in schema:
-        each = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x, i: _findings(x, schema["items"], F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
-        deeper.append(F.when(is_ == "array", F.flatten(each)))
-    inner = F.concat(*[F.coalesce(x, _none()) for x in deeper], _none())
+            own.append((o.isNotNull() & child.isNull(), _found(at, "required", F.lit(None).cast("string"))))
+        deeper.append(F.when(child.isNotNull(), _findings(child, inside, at)).otherwise(_none()))
+    if "additionalProperties" in schema and test("object") is not False:
+        extra = F.filter(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), lambda k: ~k.isin(*properties) if properties else F.lit(True))
+        deeper.append(F.coalesce(F.transform(extra, lambda k: _found(F.concat(path, F.lit("."), k), "additionalProperties", F.lit(None).cast("string"))), _none()))
+    if "items" in schema and a is not None:
+        each = F.transform(a, lambda x, i: _findings(x, schema["items"], F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        deeper.append(F.coalesce(F.flatten(each), _none()))
     if own:
-        inner = F.concat(F.filter(F.array(*own), lambda f: f.isNotNull()), inner)
-    return F.when(fits, inner).otherwise(F.array(found(path, "type", is_)))
+        some = own[0][0]
+        for broken, _ in own[1:]:
+            some = some | broken
+        all_ = F.array(own[0][1]) if len(own) == 1 else F.filter(F.array(*(F.when(broken, f) for broken, f in own)), lambda f: f.isNotNull())
+        deeper.insert(0, F.when(some, all_).otherwise(_none()))
+    if len(deeper) > 1:
+        return F.flatten(F.array(*deeper))
+    return deeper[0] if deeper else _none()
 
 
 def violations(value: Column, schema: dict) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from traceloom.operators import differences, sampling, schemas, selection
-from traceloom.session import table
+from traceloom.session import table, width
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,9 +75,10 @@ ORDER_SCHEMA = {
 
 
 def _orders(o: DataFrame, l: DataFrame) -> DataFrame:
-    """Orders with their lines as nested records."""
-    lines = l.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("double").alias("q"), F.col("l_returnflag").alias("flag")))).alias("lines"))
-    return o.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority").join(lines, "o_orderkey", "left")
+    """Orders with their lines as nested records, on all of the session's partitions: judging them costs far more than their bytes tell Spark."""
+    n = width(o.sparkSession)
+    lines = l.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").repartition(n, "l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("double").alias("q"), F.col("l_returnflag").alias("flag")))).alias("lines"))
+    return o.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority").repartition(n, "o_orderkey").join(lines, "o_orderkey", "left")
 
 
 _add("schema_of_nested", "orders lineitem", lambda o, l: schemas.findings(_orders(o, l), ["o_orderkey"], F.to_json(F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "lines")), ORDER_SCHEMA).groupBy("rule", F.regexp_replace("path", r"\d+", "#").alias("place")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least")), """
